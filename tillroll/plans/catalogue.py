@@ -307,18 +307,20 @@ def stream_event_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """Events arriving in three spans of time, every one twice, unique within the watermark."""
     root = scratch_dir(spark, "events")
     source = feeds.table(spark, sf, "events")
-    events = source.withColumn("ts", F.col("ts").cast("timestamp"))
-    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
-    step = (last - first) // 3 + 1
-    stream = (
-        spark.readStream.schema(events.schema).parquet(f"{root}/in").withWatermark("ts", "10 minutes")
-    )
-    for i in range(3):
-        span = events.where((F.unix_micros("ts") - first) // step == i)
-        span.unionByName(span).write.mode("append").parquet(f"{root}/in")
-        query = dedup_stream(stream, "event_id", "within_watermark").writeStream
+    first, last = source.agg(F.min("ts"), F.max("ts")).first()
+    third = (last - first) / 3
+    cuts = [F.lit(str(first + i * third)).cast("timestamp_ntz") for i in (1, 2)]
+    ts = F.col("ts")
+    spans = [ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]
+    for span in spans:
+        events = source.where(span).withColumn("ts", ts.cast("timestamp"))
+        events.unionByName(events).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        unique = dedup_stream(
+            stream.withWatermark("ts", "10 minutes"), "event_id", "within_watermark"
+        )
         (
-            query.option("checkpointLocation", f"{root}/checkpoint")
+            unique.writeStream.option("checkpointLocation", f"{root}/checkpoint")
             .trigger(availableNow=True)
             .start(f"{root}/out")
             .awaitTermination()
