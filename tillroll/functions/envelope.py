@@ -17,9 +17,8 @@ def strip_quotes(line: Column) -> Column:
 
 def encode(record: Column) -> Column:
     """The record as a JSON string literal; null stays null."""
-    wrapped = F.to_json(F.struct(record.alias("v")))
-    literal = F.substr(wrapped, F.lit(len('{"v":') + 1), F.length(wrapped) - len('{"v":}'))
-    return F.when(record.isNotNull(), literal)
+    literal = F.btrim(F.to_json(F.array(record)), F.lit("[]"))
+    return F.nullif(literal, F.lit("null"))
 
 
 def decode(value: Column, mode: str = "json") -> Column:

@@ -35,25 +35,18 @@ def decode_feed(
 
     ``_corrupt`` holds the text of a record that is not what the feed declares.
     """
-    text = env.decode(F.col("value"), envelope)
+    value = F.col("value")
     parsed = F.from_json(
-        F.col("_text"),
+        F.coalesce(env.decode(value, envelope), value),
         f"{fields or feed.fields}, _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
+    # Spread by a generator, not by a projection: later filters cannot move below it, where
+    # each would parse the record once more.
     return (
         log_text(log)
         .where(F.col("key") == feed.key)
-        .select("key", *CARRIED, "value", text.alias("_text"))
-        .select("key", *CARRIED, "value", parsed.alias("_record"))
-        .select(
-            "key",
-            *CARRIED,
-            "_record.*",
-            F.when(F.col("_record").isNull(), F.col("value")).alias("_unread"),
-        )
-        .withColumn("_corrupt", F.coalesce("_corrupt", "_unread"))
-        .drop("_unread")
+        .select("key", *CARRIED, F.inline(F.array(parsed)))
     )
 
 
