@@ -1,0 +1,141 @@
+import json
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tillroll.operators.product import clean_products
+from tillroll.operators.quality import feed_counts, rejected
+from tillroll.operators.records import decode_feed, decode_transaction_lines, routed
+from tillroll.schemas import CUSTOMER, PRODUCT, TRANSACTION
+from tillroll.sinks.log import as_log
+
+RECORD = {
+    "transaction_id": "t1",
+    "transaction_time": "2020-01-01T10:00:00",
+    "customer_id": "c1",
+    "delivery_address": {"address": "1 High St", "postcode": "N1", "city": "London", "country": "UK"},
+    "purchases": {
+        "products": [
+            {"sku": "s1", "quanitity": "2", "price": "1.00", "total": "2.00"},
+            {"sku": "s2", "quantity": "1", "price": "3.00", "total": "1.005"},
+        ],
+        "total_cost": "5",
+    },
+}
+
+
+def log_of(spark, feed, *records):
+    lines = [(r if isinstance(r, str) else json.dumps(r),) for r in records]
+    return as_log(routed(spark.createDataFrame(lines, "value string"), feed))
+
+
+def test_lines_of_a_nested_record(spark):
+    rows = decode_transaction_lines(log_of(spark, TRANSACTION, RECORD)).orderBy("sku").collect()
+    assert [(r.sku, r.quanitity, r.price, r.total) for r in rows] == [
+        ("s1", "2", "1.00", Decimal("2.00")),
+        ("s2", "1", "3.00", Decimal("1.01")),
+    ]
+    first = rows[0]
+    assert (first.total_cost, first.city, first.postcode) == (Decimal("5.00"), "London", "N1")
+    assert (first.key, first.transaction_id, first.customer_id) == ("transaction", "t1", "c1")
+
+
+def test_numbers_and_quoted_parts(spark):
+    """JSON numbers parse as text; quoted nested parts need the text mode, which takes both."""
+    numeric = json.loads(json.dumps(RECORD))
+    numeric["purchases"]["total_cost"] = 5
+    numeric["purchases"]["products"][0]["total"] = 2.0
+    quoted = dict(RECORD, purchases=json.dumps(RECORD["purchases"]))
+    quoted["delivery_address"] = json.dumps(RECORD["delivery_address"])
+    for record, mode in ((numeric, "struct"), (RECORD, "text"), (quoted, "text")):
+        lines = decode_transaction_lines(log_of(spark, TRANSACTION, record), nested=mode)
+        got = lines.orderBy("sku").select("sku", "total", "total_cost", "city").collect()
+        assert [tuple(r) for r in got] == [
+            ("s1", Decimal("2.00"), Decimal("5.00"), "London"),
+            ("s2", Decimal("1.01"), Decimal("5.00"), "London"),
+        ]
+
+
+def test_empty_and_malformed_baskets_give_no_lines(spark):
+    empty = dict(RECORD, purchases={"products": [], "total_cost": "0"})
+    none = {k: v for k, v in RECORD.items() if k != "purchases"}
+    log = log_of(spark, TRANSACTION, empty, none, "not json", "")
+    assert decode_transaction_lines(log).count() == 0
+    kept = decode_transaction_lines(log, keep_empty=True)
+    assert kept.where("transaction_id = 't1'").count() == 2
+
+
+def test_malformed_amounts_become_null(spark):
+    bad = json.loads(json.dumps(RECORD))
+    bad["purchases"]["products"][0]["total"] = "two"
+    rows = decode_transaction_lines(log_of(spark, TRANSACTION, bad)).orderBy("sku").collect()
+    assert [r.total for r in rows] == [None, Decimal("1.01")]
+
+
+def test_only_the_feeds_own_key_is_read(spark):
+    log = log_of(spark, TRANSACTION, RECORD).unionByName(
+        log_of(spark, CUSTOMER, {"id": "c1", "email": "a@b.c"})
+    )
+    assert [r.id for r in decode_feed(log, CUSTOMER).collect()] == ["c1"]
+
+
+PRODUCTS = [
+    {"sku": "a", "price": "1.5", "popularity": "2"},
+    {"sku": "a", "price": "1.5", "popularity": "2"},
+    {"sku": "b", "price": "0", "popularity": "0.5"},
+    {"sku": "c", "price": "-0.01", "popularity": "1"},
+    {"sku": "d", "price": "n/a", "popularity": "1"},
+    {"sku": "e", "price": "1", "popularity": "0"},
+    {"sku": "f", "price": "1"},
+    "not json",
+    {"price": "1", "popularity": "1"},
+]
+
+
+def test_products_cleaned(spark):
+    records = decode_feed(log_of(spark, PRODUCT, *PRODUCTS), PRODUCT)
+    rows = clean_products(records.drop("offset")).orderBy("sku").collect()
+    assert [(r.sku, r.price, r.popularity) for r in rows] == [
+        (None, 1.0, 1.0),
+        ("a", 1.5, 2.0),
+        ("b", 0.0, 0.5),
+    ]
+    assert clean_products(records, keep="any").count() == 3
+
+
+def test_rejects_and_counts_are_the_rest(spark):
+    records = decode_feed(log_of(spark, PRODUCT, *PRODUCTS), PRODUCT)
+    bad = rejected(records, "product").select("sku", "reason", "_corrupt")
+    assert sorted(map(str, bad.collect())) == sorted(
+        [
+            "Row(sku='c', reason='price', _corrupt=None)",
+            "Row(sku='d', reason='price', _corrupt=None)",
+            "Row(sku='e', reason='popularity', _corrupt=None)",
+            "Row(sku='f', reason='popularity', _corrupt=None)",
+            "Row(sku=None, reason='corrupt', _corrupt='not json')",
+        ]
+    )
+    assert tuple(feed_counts(records, "product").first()) == ("product", 9, 5)
+
+
+def test_a_record_is_parsed_once(spark):
+    """Filters on parsed fields stay above the parser."""
+    records = decode_feed(log_of(spark, PRODUCT, *PRODUCTS), PRODUCT)
+    plan = clean_products(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(sku") == 1
+
+
+def test_routing(spark):
+    for feed in (CUSTOMER, PRODUCT, TRANSACTION):
+        row = log_of(spark, feed, '"{"a":1}"').first()
+        assert (row.key.decode(), row.partition, row.topic) == (feed.key, feed.partition, "h-and-b")
+        assert row.value.decode() == json.dumps('{"a":1}')
+        assert json.loads(json.loads(row.value)) == {"a": 1}
+
+
+def test_log_shape_is_kafkas(spark):
+    from tillroll.schemas import LOG_FIELDS
+
+    want = spark.createDataFrame([], LOG_FIELDS).dtypes
+    assert log_of(spark, PRODUCT, "x").dtypes == want
+    assert log_of(spark, PRODUCT, "x").where(F.col("timestamp").isNull()).count() == 0
