@@ -1,0 +1,126 @@
+"""One key holding a third of the rows or more must not make one large task."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.operators.basket import running_totals, with_basket_total, with_running_total
+from tillroll.operators.customer import erase_customers, latest_customers
+from tillroll.operators.lookup import lookup_join
+from tillroll.plans.curate import curate, enrich_lines
+
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """Lines of which a third share one customer, one sku and one transaction."""
+    path = str(tmp_path_factory.mktemp("skew") / "lines")
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("string")
+    spark.range(0, 120_000, 1, 8).select(
+        F.concat(F.lit("t"), hot).alias("transaction_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_time"),
+        hot.alias("customer_id"),
+        hot.alias("sku"),
+        F.lit("1").alias("quanitity"),
+        (F.col("id") % 9).cast("decimal(30,2)").alias("total"),
+        (F.col("id") % 4000).cast("decimal(30,2)").alias("total_cost"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    columns = [
+        "first_name", "last_name", "email", "phone_number", "address", "city", "country",
+        "postcode", "last_change", "segment",
+    ]
+    one = [F.sha2(F.concat_ws("-", F.lit(c), "id"), 256).alias(c) for c in columns]
+    return spark.range(1000).select((F.col("id") % 500).cast("string").alias("id"), *one)
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    return spark.range(500).select(
+        F.col("id").cast("string").alias("sku"),
+        F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        F.lit("c").alias("category"),
+        F.lit(1.0).cast("float").alias("popularity"),
+    )
+
+
+@pytest.fixture
+def small_limits(conf):
+    """Limits scaled down to the fixture, as if it were large; no broadcasts."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="30KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="30KB",
+    )
+
+
+def executed(df):
+    """The final plan of a run that writes nothing."""
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    return query.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_aggregated_lookup_is_split(small_limits, lines, customers):
+    joined = lookup_join(lines, latest_customers(customers), {"customer_id": "id"})
+    assert "SortMergeJoin(skew=true)" in executed(joined)
+    assert joined.count() == lines.count()
+
+
+def test_product_join_is_split(small_limits, lines, products):
+    assert "SortMergeJoin(skew=true)" in executed(enrich_lines(lines, products))
+
+
+def test_erasure_join_is_split(small_limits, spark, lines):
+    """A third of the customer records share one id, which asked to be forgotten."""
+    people = lines.select(
+        F.col("customer_id").alias("id"),
+        F.col("transaction_time").alias("email"),
+        F.col("transaction_time").alias("phone_number"),
+    )
+    requests = spark.range(0, 500, 7).select(F.col("id").cast("string").alias("customer_id"))
+    erased = erase_customers(people, requests, method="null")
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", executed(erased))
+    assert erased.where("id = '7' and email is null").count() > 40_000
+
+
+def test_line_joins_of_both_totals_are_split(small_limits, lines):
+    one_cost = lines.withColumn("total_cost", F.when(F.col("sku") == "7", 1).otherwise(F.col("total_cost")))
+    for frame in (with_basket_total(lines), with_running_total(one_cost)):
+        assert "SortMergeJoin(skew=true)" in executed(frame)
+
+
+def test_running_total_never_windows_over_all_lines_of_a_customer(lines):
+    plan = running_totals(lines)._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
+    assert len(windows) == 2
+    over_blocks, within_block = sorted(windows, key=lambda w: "_block" in w)
+    # The window over the whole customer reads block sums, at most one row per block.
+    assert "customer_id" in over_blocks
+    below = plan[plan.index(f"[{over_blocks}]") :]
+    assert below.index("sum(_sum") < below.index("sum(total")
+    assert "customer_id" in within_block and "_block" in within_block
+
+
+def test_hot_customer_is_spread_over_blocks(lines):
+    from tillroll.operators.basket import _block
+
+    hot = lines.where("customer_id = '7'").select("total_cost").distinct()
+    sizes = hot.groupBy(_block(F.col("total_cost"), 1024).alias("b")).count()
+    largest, blocks = sizes.agg(F.max("count"), F.count("*")).first()
+    assert blocks > 500 and largest < hot.count() / 100
+
+
+def test_curated_result_does_not_depend_on_splitting(conf, lines, customers, products):
+    plain = {m: curate(lines, products, customers, mode=m).count() for m in ("running", "per_transaction")}
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+    )
+    for mode, n in plain.items():
+        assert curate(lines, products, customers, mode=mode).count() == n
