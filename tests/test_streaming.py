@@ -1,0 +1,382 @@
+import json
+from datetime import datetime
+
+import pytest
+from compare import spark_bag
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryException
+
+from tillroll.operators.quality import observed
+from tillroll.operators.records import decode_feed, routed
+from tillroll.schemas import CUSTOMER, ERASURE, FEEDS, PRODUCT, TRANSACTION
+from tillroll.session import use_rocksdb_state
+from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
+from tillroll.sources.files import feed_lines, stream_feed_lines
+from tillroll.sources.log import read_log_files, with_event_time
+from tillroll.sources.tables import read_landed
+from tillroll.streaming.dedup import dedup_stream
+from tillroll.streaming.feeds import (
+    Landing,
+    land_customers,
+    land_erasures,
+    land_products,
+    land_rejects,
+    land_transactions,
+    start_landing,
+    wait,
+)
+
+
+@pytest.fixture
+def landing(tmp_path):
+    return Landing(tables=f"{tmp_path}/tables", checkpoints=f"{tmp_path}/checkpoints", once=True)
+
+
+class Log:
+    """A file-backed log, published to batch by batch."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.batch = spark, f"{path}/log", 0
+
+    def publish(self, feed, *records, at="2020-01-01 10:30:00"):
+        lines = [(r if isinstance(r, str) else json.dumps(r),) for r in records]
+        frame = self.spark.createDataFrame(lines, "value string")
+        time = F.lit(at).cast("timestamp")
+        log = as_log(routed(frame, feed, time=time), first_offset=self.batch << 43)
+        write_log_files(log, self.path, self.batch)
+        self.batch += 1
+
+    def read(self, feed, **options):
+        return read_log_files(self.spark, self.path, [feed.partition], **options)
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    return Log(spark, tmp_path)
+
+
+def product(sku, price="1", popularity="1", **more):
+    return {"sku": sku, "price": price, "popularity": popularity, **more}
+
+
+def person(id, last_change="1"):
+    return {"id": id, "email": f"{id}@x", "phone_number": "07", "last_change": last_change}
+
+
+def landed(spark, to, table, *columns):
+    rows = read_landed(spark, to.tables, table, fmt=to.fmt).select(*columns).collect()
+    return sorted(map(tuple, rows), key=str)
+
+
+# --- de-duplication ------------------------------------------------------------------------
+
+BATCHES = [
+    [("a", "2020-01-01 00:00:00"), ("a", "2020-01-01 00:01:00")],
+    [("b", "2020-01-01 05:00:00")],
+    [("a", "2020-01-01 06:00:00")],
+    [("c", "2020-01-01 00:02:00")],
+]
+
+
+def run_batches(spark, path, mode, **options):
+    """Rows out, state rows, rows removed and late rows dropped, batch by batch."""
+    rows_out, progress = [], []
+    for i, batch in enumerate(BATCHES):
+        frame = spark.createDataFrame(
+            [(k, datetime.fromisoformat(t), 10 * i + j) for j, (k, t) in enumerate(batch)],
+            "sku string, timestamp timestamp, offset bigint",
+        )
+        frame.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(frame.schema).parquet(f"{path}/in")
+        if mode == "within_watermark":
+            stream = with_event_time(stream, "10 minutes")
+        out = []
+        query = (
+            dedup_stream(stream, "sku", mode, **options)
+            .writeStream.foreachBatch(lambda b, _: out.extend(r.sku for r in b.collect()))
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        rows_out.append(out)
+        state = [p.stateOperators[0] for p in query.recentProgress if p.stateOperators]
+        progress.append(
+            (
+                state[-1].numRowsTotal,
+                sum(s.numRowsRemoved for s in state),
+                sum(s.numRowsDroppedByWatermark for s in state),
+            )
+        )
+    return rows_out, progress
+
+
+@pytest.mark.parametrize("salts", [1, 8])
+def test_forever_emits_a_key_once_for_the_life_of_the_checkpoint(spark, tmp_path, salts):
+    rows, state = run_batches(spark, tmp_path, "forever", salts=salts)
+    assert rows == [["a"], ["b"], [], ["c"]]
+    assert all(removed == late == 0 for _, removed, late in state)
+    if salts == 1:
+        assert [total for total, _, _ in state] == [1, 2, 2, 3]
+
+
+def test_within_watermark_forgets_and_drops_late_rows(spark, tmp_path):
+    rows, state = run_batches(spark, tmp_path, "within_watermark")
+    assert rows[0] == ["a"] and rows[1] == ["b"]
+    assert rows[3] == []
+    assert sum(late for _, _, late in state) == 1
+    assert sum(removed for _, removed, _ in state) >= 2
+    assert max(total for total, _, _ in state) <= 2
+
+
+def test_forever_works_with_rocksdb(spark, tmp_path, conf):
+    conf(spark__sql__streaming__stateStore__providerClass="", **{
+        "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "false"
+    })
+    use_rocksdb_state(spark)
+    assert run_batches(spark, tmp_path, "forever")[0] == [["a"], ["b"], [], ["c"]]
+
+
+def test_a_hot_key_is_thinned_before_it_meets_in_one_task(spark, tmp_path):
+    """9,000 copies of one key: at most one per salt reaches the task that holds the key."""
+    frame = spark.range(9000).select(
+        F.lit("hot").alias("sku"), F.col("id").alias("offset")
+    )
+    frame.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in")
+    query = (
+        dedup_stream(stream, "sku", salts=8)
+        .writeStream.format("noop")
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    last, first = query.recentProgress[-1].stateOperators
+    dropped = {op.operatorName: 0 for op in (last, first)}
+    assert dropped and first.numRowsTotal == 8 and last.numRowsTotal == 1
+    assert last.customMetrics.get("numDroppedDuplicateRows") == 7
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError):
+        dedup_stream(spark.range(1), "id", "sometimes")
+
+
+# --- landing -------------------------------------------------------------------------------
+
+
+def test_products_land_once_across_restarts(spark, log, landing):
+    log.publish(PRODUCT, product("a"), product("a"), product("b", "n/a"), product("c", "0"))
+    land_products(log.read(PRODUCT), landing).awaitTermination()
+    log.publish(PRODUCT, product("a", "2"), product("d"), at="2020-01-01 11:00:00")
+    land_products(log.read(PRODUCT), landing).awaitTermination()
+    got = landed(spark, landing, "product", "sku", "price", "date", "hour")
+    assert got == [(s, p, "2020-01-01", "00") for s, p in (("a", 1.0), ("c", 0.0), ("d", 1.0))]
+
+
+def test_products_within_the_watermark(spark, log, landing):
+    to = Landing(**{**landing.__dict__, "product_dedup": "within_watermark"})
+    log.publish(PRODUCT, product("a"), product("a"), product("b", popularity="0"))
+    land_products(log.read(PRODUCT), to).awaitTermination()
+    assert landed(spark, to, "product", "sku") == [("a",)]
+
+
+def test_transactions_land_in_the_hour_of_the_log(spark, log, landing):
+    record = {
+        "transaction_id": "t1",
+        "customer_id": "c1",
+        "purchases": {"products": [{"sku": "s", "total": "2"}], "total_cost": "2"},
+    }
+    log.publish(TRANSACTION, record, at="2020-01-01 09:59:00")
+    log.publish(TRANSACTION, record, at="2020-01-01 10:00:00")
+    land_transactions(log.read(TRANSACTION), landing).awaitTermination()
+    rows = landed(spark, landing, "transaction", "transaction_id", "date", "hour")
+    assert rows == [("t1", "2020-01-01", "09"), ("t1", "2020-01-01", "10")]
+    one = read_landed(spark, landing.tables, "transaction", date="2020-01-01", hour="09")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_one_file_per_micro_batch_gives_the_same(spark, log, landing, tmp_path):
+    for i in range(3):
+        log.publish(CUSTOMER, *[person(str(j)) for j in range(i, 10, 3)])
+    whole = landing
+    piecewise = Landing(tables=f"{tmp_path}/t2", checkpoints=f"{tmp_path}/c2", once=True)
+    land_customers(log.read(CUSTOMER), whole).awaitTermination()
+    land_customers(log.read(CUSTOMER, max_files_per_trigger=1), piecewise).awaitTermination()
+    assert landed(spark, whole, "customer", "id", "email") == landed(
+        spark, piecewise, "customer", "id", "email"
+    )
+    batches = read_landed(spark, piecewise.tables, "customer").select("batch").distinct()
+    assert batches.count() >= 3
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_erasures_take_effect_on_the_next_batch(spark, log, landing, fmt):
+    to = Landing(**{**landing.__dict__, "fmt": fmt, "mask": "null"})
+
+    def erase(*ids):
+        log.publish(ERASURE, *[{"customer-id": i, "email": None} for i in ids])
+        land_erasures(log.read(ERASURE), to).awaitTermination()
+
+    def arrive(*ids, seen):
+        log.publish(CUSTOMER, *[person(i, str(seen)) for i in ids])
+        land_customers(log.read(CUSTOMER), to).awaitTermination()
+
+    arrive("z", seen=0)  # before any erasure has landed
+    erase("a")
+    arrive("a", "a", seen=1)
+    erase("b")
+    arrive("b", seen=2)
+    arrive("a", seen=3)
+    arrive("c", seen=4)
+    got = landed(spark, to, "customer", "last_change", "id", "email")
+    assert got == sorted(
+        [("0", "z", "z@x"), ("1", "a", None), ("1", "a", None), ("2", "b", None),
+         ("3", "a", None), ("4", "c", "c@x")], key=str,
+    )
+
+
+def test_a_repeated_batch_lands_once(spark, log, landing, tmp_path):
+    """As after a crash between writing a batch and noting it: the commit is taken back."""
+    log.publish(CUSTOMER, person("1"), person("2"))
+    land_customers(log.read(CUSTOMER), landing).awaitTermination()
+    commits = tmp_path / "checkpoints" / "customer" / "commits"
+    for f in commits.iterdir():
+        f.unlink()
+    land_customers(log.read(CUSTOMER), landing).awaitTermination()
+    assert landed(spark, landing, "customer", "id") == [("1",), ("2",)]
+
+
+def test_a_new_checkpoint_does_not_replace_earlier_batches(spark, log, landing, tmp_path):
+    log.publish(CUSTOMER, person("1"))
+    land_customers(log.read(CUSTOMER), landing).awaitTermination()
+    fresh = Landing(**{**landing.__dict__, "checkpoints": f"{tmp_path}/fresh"})
+    land_customers(log.read(CUSTOMER), fresh).awaitTermination()
+    assert landed(spark, landing, "customer", "id") == [("1",), ("1",)]
+
+
+def test_rejects_are_kept_with_their_reason(spark, log, landing):
+    log.publish(PRODUCT, product("a"), product("b", "n/a"), "not json")
+    land_rejects(log.read(PRODUCT), PRODUCT, landing).awaitTermination()
+    rows = spark.read.parquet(f"{landing.tables}/rejected_product")
+    got = rows.select("sku", "reason", F.col("price")).collect()
+    assert sorted(map(tuple, got), key=str) == [("b", "price", "n/a"), (None, "corrupt", None)]
+
+
+def test_batch_metrics(spark, log, landing):
+    log.publish(PRODUCT, product("a"), product("b", "n/a"), product("c"))
+    query = land_products(log.read(PRODUCT), landing)
+    query.awaitTermination()
+    metrics = [p.observedMetrics["product"] for p in query.recentProgress if p.numInputRows]
+    assert [(m.records, m.rejected) for m in metrics] == [(3, 1)]
+
+
+def test_observed_in_batch(spark, log):
+    from pyspark.sql import Observation
+
+    log.publish(PRODUCT, product("a"), product("b", "n/a"))
+    seen = Observation("batch")
+    records = decode_feed(log.read(PRODUCT, streaming=False), PRODUCT)
+    observed(records, "product", seen).collect()
+    assert seen.get == {"records": 2, "rejected": 1}
+
+
+def test_stream_equals_batch(spark, log, landing):
+    from tillroll.operators.records import decode_transaction_lines
+
+    for i in range(4):
+        lines = [{"sku": f"s{j}", "total": j, "quantity": "1"} for j in range(i)]
+        log.publish(
+            TRANSACTION,
+            {"transaction_id": f"t{i}", "purchases": {"products": lines, "total_cost": i}},
+        )
+    land_transactions(log.read(TRANSACTION), landing).awaitTermination()
+    batch = decode_transaction_lines(log.read(TRANSACTION, streaming=False))
+    columns = [c for c in batch.columns if c not in ("timestamp", "offset")]
+    stream = read_landed(spark, landing.tables, "transaction")
+    assert spark_bag(stream.select(*columns)) == spark_bag(batch.select(*columns))
+
+
+def test_a_failing_query_surfaces(spark, log, landing, tmp_path):
+    """A live landing stops waiting as soon as one of its queries fails."""
+    log.publish(PRODUCT, product("a"))
+    live = Landing(**{**landing.__dict__, "once": False, "fmt": "no_such_format"})
+    good = Landing(tables=f"{tmp_path}/ok", checkpoints=f"{tmp_path}/okc", every="1 second")
+    queries = [land_customers(log.read(CUSTOMER), good), land_products(log.read(PRODUCT), live)]
+    try:
+        with pytest.raises(StreamingQueryException):
+            wait(spark, queries, once=False)
+    finally:
+        for q in queries:
+            q.stop()
+        spark.streams.resetTerminated()
+
+
+# --- feed files to log -----------------------------------------------------------------------
+
+
+def write_feed(spark, root, feed, hour, *lines):
+    frame = spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1)
+    path = f"{root}/date=2020-01-01/hour={hour}/{feed.file_name}"
+    frame.write.mode("append").option("compression", "gzip").text(path)
+
+
+def test_files_are_read_once_and_late_ones_are_found(spark, tmp_path):
+    root, log = f"{tmp_path}/feeds", f"{tmp_path}/log"
+
+    def publish():
+        stream = stream_feed_lines(spark, root, PRODUCT)
+        time = F.to_timestamp(F.concat_ws(" ", "date", "hour"), "yyyy-MM-dd HH")
+        records = routed(stream, PRODUCT, time=time)
+        stream_to_log_files(records, log, f"{tmp_path}/checkpoint").awaitTermination()
+        rows = read_log_files(spark, log, streaming=False)
+        return sorted((r.value.decode(), r.timestamp.hour) for r in rows.collect())
+
+    write_feed(spark, root, PRODUCT, "09", "a", "", "  ", "b")
+    write_feed(spark, root, CUSTOMER, "09", "not this one")
+    assert publish() == [('"a"', 9), ('"b"', 9)]
+    assert publish() == [('"a"', 9), ('"b"', 9)]
+    write_feed(spark, root, PRODUCT, "08", "late")
+    assert publish() == [('"a"', 9), ('"b"', 9), ('"late"', 8)]
+    offsets = [r.offset for r in read_log_files(spark, log, streaming=False).collect()]
+    assert len(set(offsets)) == 3
+
+
+def test_feed_file_as_a_plain_file(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "date=2020-01-01" / "hour=00"
+    folder.mkdir(parents=True)
+    with gzip.open(folder / PRODUCT.file_name, "wt") as f:
+        f.write('{"sku":"é"}\n\n{"sku":"b"}\n')
+    rows = feed_lines(spark, str(tmp_path), PRODUCT, date="2020-01-01", hour="00", partitions=3)
+    assert rows.rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, rows.collect())) == [
+        ('{"sku":"b"}', "2020-01-01", "00"),
+        ('{"sku":"é"}', "2020-01-01", "00"),
+    ]
+
+
+def test_a_feed_that_has_not_arrived_is_empty(spark, tmp_path):
+    rows = feed_lines(spark, str(tmp_path), ERASURE, date="2020-01-01", hour="00")
+    assert rows.count() == 0 and rows.columns == ["value", "date", "hour"]
+
+
+def test_all_four_queries(spark, log, landing):
+    log.publish(ERASURE, {"customer-id": "1", "email": "1@x"})
+    log.publish(PRODUCT, product("a"))
+    log.publish(CUSTOMER, person("1"), person("2"))
+    log.publish(
+        TRANSACTION,
+        {"transaction_id": "t", "purchases": {"products": [{"sku": "a", "total": "1"}]}},
+    )
+    queries = start_landing(log.read, landing)
+    assert set(queries) == set(FEEDS)
+    wait(spark, queries.values(), once=True)
+    assert {t: len(landed(spark, landing, t, "key")) for t in FEEDS} == {
+        "erasure": 1, "product": 1, "customer": 2, "transaction": 1,
+    }
+    emails = dict(landed(spark, landing, "customer", "id", "email"))
+    assert emails["2"] == "2@x" and "@" not in emails["1"]
