@@ -1,0 +1,86 @@
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tillroll.session import or_empty, scratch_dir
+from tillroll.sinks.log import as_log, write_log_files
+from tillroll.sources.log import kafka_options, peek, read_kafka, read_log_files
+
+
+def log(spark, n, first_offset=0):
+    rows = spark.range(n).select(
+        F.lit("t").alias("topic"),
+        F.lit("k").cast("binary").alias("key"),
+        F.concat(F.lit("v"), "id").cast("binary").alias("value"),
+        (F.col("id") % 4).cast("int").alias("partition"),
+    )
+    return as_log(rows, first_offset=first_offset)
+
+
+def test_kafka_options():
+    got = kafka_options("host:9092", [0, 3], max_offsets_per_trigger=10)
+    assert json.loads(got.pop("assign")) == {"h-and-b": [0, 3]}
+    assert got == {
+        "kafka.bootstrap.servers": "host:9092",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "10",
+    }
+    latest = kafka_options("h", [1], topic="x", starting_offsets="latest", fail_on_data_loss=True)
+    assert latest["startingOffsets"] == "latest" and latest["failOnDataLoss"] == "true"
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_kafka(spark, "host:9092", [0])
+
+
+def test_log_files_keep_the_shape_and_prune_partitions(spark, tmp_path):
+    written = log(spark, 40)
+    write_log_files(written, str(tmp_path), 0)
+    back = read_log_files(spark, str(tmp_path), streaming=False)
+    assert sorted(back.dtypes) == sorted(written.dtypes)
+    assert back.count() == 40
+    one = read_log_files(spark, str(tmp_path), [2], streaming=False)
+    assert one.count() == 10
+    assert "PartitionFilters: [isnotnull(partition" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_published_again_replaces_itself(spark, tmp_path):
+    for batch, n in ((0, 8), (1, 4), (0, 8)):
+        write_log_files(log(spark, n, batch << 43), str(tmp_path), batch)
+    back = read_log_files(spark, str(tmp_path), streaming=False)
+    assert back.count() == 12
+    assert back.select("partition", "offset").distinct().count() == 12
+
+
+def test_peek_is_in_log_order(spark):
+    rows = peek(log(spark, 100).repartition(5), 3).collect()
+    assert [(r.key, r.value) for r in rows] == [("k", "v0"), ("k", "v1"), ("k", "v2")]
+
+
+class Session:
+    """As much of a session as the scratch folder depends on."""
+
+    def __init__(self, master, **options):
+        self.sparkContext = self
+        self.master = master
+        self.conf = options
+
+
+def test_scratch_folder_follows_the_session():
+    shared = Session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    first, second = scratch_dir(shared, "a"), scratch_dir(shared, "a")
+    assert first.startswith("hdfs:///shared/tillroll-a-") and first != second
+    assert "tillroll-" in scratch_dir(Session("local[2]"), "a")
+    with pytest.raises(ValueError):
+        scratch_dir(Session("yarn"), "a")
+
+
+def test_only_missing_paths_count_as_empty(spark, tmp_path):
+    missing = or_empty(spark, lambda: spark.read.parquet(f"{tmp_path}/none"), "a string")
+    assert missing.count() == 0 and missing.columns == ["a"]
+    with pytest.raises(AnalysisException):
+        or_empty(spark, lambda: spark.range(1).select("nope"), "a string")
