@@ -28,6 +28,7 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "10",
     }
+    assert kafka_options("h", [1], min_partitions=8)["minPartitions"] == "8"
     latest = kafka_options("h", [1], topic="x", starting_offsets="latest", fail_on_data_loss=True)
     assert latest["startingOffsets"] == "latest" and latest["failOnDataLoss"] == "true"
 

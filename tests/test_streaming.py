@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from time import sleep
 
 import pytest
 from compare import spark_bag
@@ -12,9 +13,9 @@ from tillroll.schemas import CUSTOMER, ERASURE, FEEDS, PRODUCT, TRANSACTION
 from tillroll.session import use_rocksdb_state
 from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
 from tillroll.sources.files import feed_lines, stream_feed_lines
-from tillroll.sources.log import read_log_files, with_event_time
+from tillroll.sources.log import read_log_files
 from tillroll.sources.tables import read_landed
-from tillroll.streaming.dedup import dedup_stream
+from tillroll.streaming.dedup import _latest_in_batch, dedup_stream
 from tillroll.streaming.feeds import (
     Landing,
     land_customers,
@@ -22,6 +23,7 @@ from tillroll.streaming.feeds import (
     land_products,
     land_rejects,
     land_transactions,
+    show,
     start_landing,
     wait,
 )
@@ -88,8 +90,6 @@ def run_batches(spark, path, mode, **options):
         )
         frame.coalesce(1).write.mode("append").parquet(f"{path}/in")
         stream = spark.readStream.schema(frame.schema).parquet(f"{path}/in")
-        if mode == "within_watermark":
-            stream = with_event_time(stream, "10 minutes")
         out = []
         query = (
             dedup_stream(stream, "sku", mode, **options)
@@ -158,6 +158,31 @@ def test_a_hot_key_is_thinned_before_it_meets_in_one_task(spark, tmp_path):
     assert last.customMetrics.get("numDroppedDuplicateRows") == 7
 
 
+def test_copies_are_thinned_within_arrow_batches(spark, tmp_path):
+    """Of a key's copies the latest is kept, so that a late copy cannot hide one on time."""
+    frame = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") != 1, F.col("id").cast("string"))
+        .alias("sku"),
+        F.timestamp_seconds(F.lit(1_600_000_000) - F.col("id")).alias("timestamp"),
+    )
+    thinned = frame.coalesce(1).mapInArrow(_latest_in_batch("sku", "timestamp"), frame.schema)
+    rows = {r.sku: r.timestamp.timestamp() for r in thinned.collect()}
+    assert thinned.count() == len(rows) == 6001
+    assert rows["hot"] == 1_600_000_000 and rows[None] == 1_600_000_000 - 1
+
+    frame.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in")
+    (
+        dedup_stream(stream, "sku", "within_watermark")
+        .writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{tmp_path}/out")
+        .awaitTermination()
+    )
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.select("sku").distinct().count() == 6001
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         dedup_stream(spark.range(1), "id", "sometimes")
@@ -265,6 +290,18 @@ def test_rejects_are_kept_with_their_reason(spark, log, landing):
     assert sorted(map(tuple, got), key=str) == [("b", "price", "n/a"), (None, "corrupt", None)]
 
 
+def test_console(spark, log, landing, capfd):
+    log.publish(PRODUCT, product("seen"))
+    records = decode_feed(log.read(PRODUCT), PRODUCT).select("sku", "price")
+    show(records, f"{landing.checkpoints}/console", "peek").awaitTermination()
+    printed, patience = "", 50
+    while "|seen|" not in printed and patience:  # the JVM's output comes through a pipe
+        printed += capfd.readouterr().out
+        patience -= 1
+        sleep(0.1)
+    assert "|seen|" in printed
+
+
 def test_batch_metrics(spark, log, landing):
     log.publish(PRODUCT, product("a"), product("b", "n/a"), product("c"))
     query = land_products(log.read(PRODUCT), landing)

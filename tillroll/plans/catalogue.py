@@ -316,9 +316,7 @@ def stream_event_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
         events = source.where(span).withColumn("ts", ts.cast("timestamp"))
         events.unionByName(events).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
-        unique = dedup_stream(
-            stream.withWatermark("ts", "10 minutes"), "event_id", "within_watermark"
-        )
+        unique = dedup_stream(stream, "event_id", "within_watermark", time="ts")
         (
             unique.writeStream.option("checkpointLocation", f"{root}/checkpoint")
             .trigger(availableNow=True)
