@@ -154,13 +154,13 @@ def test_several_slices_at_once(spark, tmp_path, fmt):
 def test_slices_prune_to_their_folders(spark, roots):
     landing, _ = roots
     one = read_landed(spark, landing, "customer", date=DAY, hour="10")
-    assert len(one.inputFiles()) >= 1
-    scanned = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in scanned and "hour" in scanned
-    assert {r.id for r in one.collect()} == {"c1"}
-    assert {r.city for r in read_landed_until(spark, landing, "customer", DAY, "10").collect()} == {
-        "Rome", "Oslo", "Bonn",
-    }
+    assert all("hour=10" in f for f in one.inputFiles())
+    assert [(r.date, r.hour, r.batch) for r in one.collect()] == [(DAY, "10", "b0")] * 2
+    assert read_landed(spark, landing, "customer", date=DAY).count() == 4
+    assert read_landed(spark, landing, "customer", hour="09").count() == 1
+    until = read_landed_until(spark, landing, "customer", DAY, "10")
+    assert "PartitionFilters: [(" in until._jdf.queryExecution().executedPlan().toString()
+    assert {r.city for r in until.collect()} == {"Rome", "Oslo", "Bonn"}
 
 
 def test_target_files_and_pinned_hours(spark, tmp_path):
@@ -174,6 +174,8 @@ def test_target_files_and_pinned_hours(spark, tmp_path):
     landed = read_landed(spark, str(tmp_path), "erasure")
     assert len(landed.inputFiles()) == 1
     assert landed.select("date", "hour").distinct().collect() == [(DAY, "00")]
+    assert write_curated(rows_at(spark, *[(DAY, "01")] * 50), f"{tmp_path}/c", target_files=2) == 50
+    assert len(read_curated(spark, f"{tmp_path}/c").inputFiles()) == 2
 
 
 def test_curate_reads_only_what_it_needs(spark, roots, conf):

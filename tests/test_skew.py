@@ -116,6 +116,14 @@ def test_hot_customer_is_spread_over_blocks(lines):
     assert blocks > 500 and largest < hot.count() / 100
 
 
+def test_every_line_join_of_the_curate_job_is_split(small_limits, lines, customers, products):
+    """A hot transaction, then a hot sku, then a hot customer: whole baskets of equal total."""
+    whole = lines.groupBy("transaction_id").agg(F.sum("total").alias("total_cost"))
+    lines = lookup_join(lines.drop("total_cost"), whole, {"transaction_id": "transaction_id"})
+    plan = executed(curate(lines, products, customers, mode="per_transaction"))
+    assert plan.count("SortMergeJoin(skew=true)") >= 4
+
+
 def test_curated_result_does_not_depend_on_splitting(conf, lines, customers, products):
     plain = {m: curate(lines, products, customers, mode=m).count() for m in ("running", "per_transaction")}
     conf(

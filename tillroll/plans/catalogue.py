@@ -15,10 +15,11 @@ from tillroll.plans.curate import curate, curate_slice, enrich_lines
 from tillroll.schemas import CUSTOMER, ERASURE, FEEDS, LANDED_FIELDS, PRODUCT, TRANSACTION, Feed
 from tillroll.session import scratch_dir
 from tillroll.sinks.curated import write_curated
+from tillroll.sinks.landed import land
 from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
 from tillroll.sources.files import feed_lines, stream_feed_lines
 from tillroll.sources.log import peek, read_log_files
-from tillroll.sources.tables import read_curated, read_json, read_landed
+from tillroll.sources.tables import read_curated, read_json, read_landed, read_landed_until
 from tillroll.streaming.dedup import dedup_stream
 from tillroll.streaming.feeds import (
     Landing,
@@ -189,6 +190,19 @@ def customer_latest(spark: SparkSession, sf: str) -> DataFrame:
     return customer.latest_customers(_clean_customers(spark, sf))
 
 
+def customer_latest_until(spark: SparkSession, sf: str) -> DataFrame:
+    """First versions landed at 09 and 11, second ones at 10: the newest as of 10."""
+    root = scratch_dir(spark, "landed")
+    second = F.col("last_change") > "2020-01-01T06"
+    hour = F.when(second, "10").when(F.col("phone_number").isNull(), "11").otherwise("09")
+    rows = _clean_customers(spark, sf).withColumns(
+        {"key": F.lit("customer"), "date": F.lit("2020-01-01"), "hour": hour}
+    )
+    land(rows, root, "customer", "b0")
+    upto = read_landed_until(spark, root, "customer", "2020-01-01", "10")
+    return customer.latest_customers(upto).select(*CUSTOMER_COLUMNS)
+
+
 def erasure_land(spark: SparkSession, sf: str) -> DataFrame:
     """The erasure list written as JSON and read with its declared schema."""
     path = scratch_dir(spark, "erasure")
@@ -392,6 +406,7 @@ QUERIES = {
         customer_erased_salted,
         customer_erased_murmur3,
         customer_latest,
+        customer_latest_until,
         erasure_land,
         feed_quality,
         basket_running_total,

@@ -172,6 +172,11 @@ from customer_known c left join (
         "customer_known",
     ),
     "customer_latest": with_feeds("select * from customer_latest", "customer_latest"),
+    "customer_latest_until": with_feeds(
+        """select * from customer_erased where last_change > '2020-01-01T06' or phone_number is not null
+qualify row_number() over (partition by id order by last_change desc) = 1""",
+        "customer_erased",
+    ),
     "erasure_land": with_feeds("select customer_id, email from feed_erasure", "feed_erasure"),
     "feed_quality": with_feeds(
         """select 'erasure' as feed, count(*) as records, cast(0 as bigint) as rejected

@@ -30,12 +30,13 @@ def land(
     """Write one batch of sliced rows.
 
     A batch owns its folder in each slice and replaces it, so that writing it twice leaves it
-    once. ``target_files`` merges small batches; by default writing stays as parallel as the
-    batch.
+    once. By default a batch is written by the tasks that hold it; ``target_files`` deals its
+    rows out to that many, so that small batches make few files and what comes before keeps
+    its parallelism.
     """
     out = rows.drop(*CARRIED, "_corrupt").withColumn("batch", F.lit(batch))
     if target_files:
-        out = out.coalesce(target_files)
+        out = out.repartition(target_files)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

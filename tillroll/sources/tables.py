@@ -23,16 +23,15 @@ def read_landed(
     date: str | None = None,
     hour: str | None = None,
 ) -> DataFrame:
-    """A landed feed, or one slice of it."""
-    fields = f"{LANDED_FIELDS[feed_name]}, {LANDED_PARTITIONS}"
-    rows = or_empty(
-        spark, lambda: spark.read.schema(fields).format(fmt).load(f"{root}/{feed_name}"), fields
-    )
+    """A landed feed, or one slice of it; only the folders of the slice are listed."""
+    base = f"{root}/{feed_name}"
+    path = base
     if date is not None:
-        rows = rows.where(F.col("date") == date)
-    if hour is not None:
-        rows = rows.where(F.col("hour") == hour)
-    return rows
+        path += f"/date={date}" if hour is None else f"/date={date}/hour={hour}"
+    fields = f"{LANDED_FIELDS[feed_name]}, {LANDED_PARTITIONS}"
+    reader = spark.read.schema(fields).format(fmt).option("basePath", base)
+    rows = or_empty(spark, lambda: reader.load(path), fields)
+    return rows.where(F.col("hour") == hour) if date is None and hour is not None else rows
 
 
 def read_landed_until(
