@@ -109,7 +109,8 @@ def test_products_of_another_slice(spark, roots):
 
 def test_running_a_slice_again_changes_nothing_else(spark, roots):
     landing, root = roots
-    land_at(frame(spark, "transaction", line("t9", "c2", "s2", "1", "1")), landing, "transaction", "11")
+    later = frame(spark, "transaction", line("t9", "c2", "s2", "1", "1"))
+    land_at(later, landing, "transaction", "11")
     for hour in ("10", "11", "10", "10"):
         curate_slice(spark, landing, root, DAY, hour)
     kept = [r for r in curated(spark, root) if r[0] == "t9"]
@@ -119,7 +120,8 @@ def test_running_a_slice_again_changes_nothing_else(spark, roots):
 def test_a_slice_that_came_out_empty_is_emptied(spark, roots):
     landing, root = roots
     curate_slice(spark, landing, root, DAY, "10")
-    land_at(frame(spark, "transaction", line("t1", "c1", "s1", "2", "6")), landing, "transaction", "10")
+    corrected = frame(spark, "transaction", line("t1", "c1", "s1", "2", "6"))
+    land_at(corrected, landing, "transaction", "10")
     assert curate_slice(spark, landing, root, DAY, "10") == 0
     assert curated(spark, root) == []
 

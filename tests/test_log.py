@@ -46,7 +46,8 @@ def test_log_files_keep_the_shape_and_prune_partitions(spark, tmp_path):
     assert back.count() == 40
     one = read_log_files(spark, str(tmp_path), [2], streaming=False)
     assert one.count() == 10
-    assert "PartitionFilters: [isnotnull(partition" in one._jdf.queryExecution().executedPlan().toString()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition" in plan
 
 
 def test_a_batch_published_again_replaces_itself(spark, tmp_path):

@@ -13,7 +13,9 @@ RECORD = {
     "transaction_id": "t1",
     "transaction_time": "2020-01-01T10:00:00",
     "customer_id": "c1",
-    "delivery_address": {"address": "1 High St", "postcode": "N1", "city": "London", "country": "UK"},
+    "delivery_address": {
+        "address": "1 High St", "postcode": "N1", "city": "London", "country": "UK",
+    },
     "purchases": {
         "products": [
             {"sku": "s1", "quanitity": "2", "price": "1.00", "total": "2.00"},

@@ -90,7 +90,8 @@ def test_erasure_join_is_split(small_limits, spark, lines):
 
 
 def test_line_joins_of_both_totals_are_split(small_limits, lines):
-    one_cost = lines.withColumn("total_cost", F.when(F.col("sku") == "7", 1).otherwise(F.col("total_cost")))
+    cost = F.when(F.col("sku") == "7", 1).otherwise(F.col("total_cost"))
+    one_cost = lines.withColumn("total_cost", cost)
     for frame in (with_basket_total(lines), with_running_total(one_cost)):
         assert "SortMergeJoin(skew=true)" in executed(frame)
 
@@ -125,7 +126,8 @@ def test_every_line_join_of_the_curate_job_is_split(small_limits, lines, custome
 
 
 def test_curated_result_does_not_depend_on_splitting(conf, lines, customers, products):
-    plain = {m: curate(lines, products, customers, mode=m).count() for m in ("running", "per_transaction")}
+    modes = ("running", "per_transaction")
+    plain = {m: curate(lines, products, customers, mode=m).count() for m in modes}
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__enabled="false",

@@ -1 +1 @@
-"""Retail feeds on Spark: decode, clean, anonymise, land and curate them with DataFrame operators."""
+"""Retail feeds on Spark: decode, clean, anonymise, land and curate them."""

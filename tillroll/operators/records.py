@@ -94,7 +94,9 @@ def decode_transaction_lines(
     return transaction_lines(records, keep_empty=keep_empty)
 
 
-def routed(lines: DataFrame, feed: Feed, topic: str = TOPIC, *, time: Column | None = None) -> DataFrame:
+def routed(
+    lines: DataFrame, feed: Feed, topic: str = TOPIC, *, time: Column | None = None
+) -> DataFrame:
     """Raw lines (column ``value``) as log records, keyed and sent to the feed's partition.
 
     ``time`` sets the records' timestamp in a file-backed log; a broker sets its own.

@@ -17,7 +17,7 @@ from tillroll.session import scratch_dir
 from tillroll.sinks.curated import write_curated
 from tillroll.sinks.landed import land
 from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
-from tillroll.sources.files import feed_lines, stream_feed_lines
+from tillroll.sources.files import feed_lines
 from tillroll.sources.log import peek, read_log_files
 from tillroll.sources.tables import read_curated, read_json, read_landed, read_landed_until
 from tillroll.streaming.dedup import dedup_stream
@@ -29,6 +29,7 @@ from tillroll.streaming.feeds import (
     land_rejects,
     land_transactions,
     start_landing,
+    start_publishing,
     wait,
 )
 
@@ -371,16 +372,14 @@ def feeds_to_curated(spark: SparkSession, sf: str) -> DataFrame:
     to = Landing(tables=f"{root}/landed", checkpoints=f"{root}/checkpoints", once=True)
     for feed in FEEDS.values():
         _write_feed_hour(_raw(spark, sf, feed), f"{root}/feeds", feed, feed.hour or "10")
-    arrival = F.to_timestamp(F.concat_ws(" ", "date", "hour"), "yyyy-MM-dd HH")
-    publishing = [
-        stream_to_log_files(
-            routed(stream_feed_lines(spark, f"{root}/feeds", f), f, time=arrival),
-            f"{root}/log/{f.name}",
-            f"{root}/checkpoints/publish-{f.name}",
-        )
-        for f in FEEDS.values()
-    ]
-    wait(spark, publishing, once=True)
+    publishing = start_publishing(
+        spark,
+        f"{root}/feeds",
+        lambda records, feed: stream_to_log_files(
+            records, f"{root}/log/{feed.name}", f"{root}/checkpoints/publish-{feed.name}"
+        ),
+    )
+    wait(spark, publishing.values(), once=True)
     landing = start_landing(
         lambda f: read_log_files(spark, f"{root}/log/{f.name}", [f.partition]), to
     )

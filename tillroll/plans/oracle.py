@@ -107,6 +107,40 @@ where t.total_price = t.total_cost""",
     )
 
 
+def murmur3(text: str) -> str:
+    """32-bit Murmur3 of ASCII text with seed 42, as text; Spark mixes trailing bytes singly."""
+    mask = "4294967295::ubigint"
+
+    def rotated(x: str, by: int) -> str:
+        return f"(((({x}) << {by}) | (({x}) >> {32 - by})) & {mask})"
+
+    byte = f"unicode(substr({text}, i::bigint, 1))::ubigint"
+    blocks = f"length({text}) // 4"
+    words = (
+        f"list_transform(range(0, {blocks}), lambda b: list_sum(list_transform(range(1, 5), "
+        f"lambda j: unicode(substr({text}, 4 * b + j, 1)) * (1 << (8 * (j - 1)))))::ubigint)"
+    )
+    tail = f"list_transform(range(4 * ({blocks}) + 1, length({text}) + 1), lambda i: {byte})"
+    k = f"(k * 3432918353::ubigint) & {mask}"
+    mixed_in = f"({rotated('xor(h, k)', 13)} * 5 + 3864292196) & {mask}"
+    mixed = (
+        f"list_transform(list_concat({words}, {tail}), "
+        f"lambda k: ({rotated(k, 15)} * 461845907::ubigint) & {mask})"
+    )
+    h = f"(list_reduce({mixed}, lambda h, k: {mixed_in}, 42::ubigint))"
+    steps = [
+        f"xor(h, length({text})::ubigint)",
+        f"(xor(h, h >> 16) * 2246822507::ubigint) & {mask}",
+        f"(xor(h, h >> 13) * 3266489909::ubigint) & {mask}",
+        "xor(h, h >> 16)",
+    ]
+    for step in steps:
+        h = f"list_transform([{h}], lambda h: {step})[1]"
+    signed = "case when v > 2147483647 then v - 4294967296 else v end"
+    number = f"list_transform([({h})::bigint], lambda v: {signed})[1]"
+    return f"(case when {text} is null then '42' else cast({number} as varchar) end)"
+
+
 DAY = ", strftime(o_orderdate, '%Y-%m-%d') as day"
 QUARTER = (
     ", strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') as date"
@@ -165,6 +199,17 @@ from events order by event_id limit 20""",
     as phone_number,
   case when e.customer_id is null then c.last_name else sha256('pepper' || c.last_name) end
     as last_name)
+from customer_known c left join (
+  select distinct customer_id from feed_erasure where customer_id is not null) e
+  on c.id = e.customer_id""",
+        "feed_erasure",
+        "customer_known",
+    ),
+    "customer_erased_murmur3": with_feeds(
+        f"""select c.* replace (
+  case when e.customer_id is null then c.email else {murmur3("c.email")} end as email,
+  case when e.customer_id is null then c.phone_number else {murmur3("c.phone_number")} end
+    as phone_number)
 from customer_known c left join (
   select distinct customer_id from feed_erasure where customer_id is not null) e
   on c.id = e.customer_id""",
@@ -173,7 +218,8 @@ from customer_known c left join (
     ),
     "customer_latest": with_feeds("select * from customer_latest", "customer_latest"),
     "customer_latest_until": with_feeds(
-        """select * from customer_erased where last_change > '2020-01-01T06' or phone_number is not null
+        """select * from customer_erased
+where last_change > '2020-01-01T06' or phone_number is not null
 qualify row_number() over (partition by id order by last_change desc) = 1""",
         "customer_erased",
     ),

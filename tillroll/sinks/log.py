@@ -9,18 +9,24 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.schemas import LOG_FIELDS
 
 
+KAFKA_COLUMNS = ["topic", "key", "value", "partition"]
+
+
 def write_kafka(records: DataFrame, servers: str) -> None:
     """Routed records to Kafka; the sink honours their topic and partition columns."""
-    records.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    records.select(*KAFKA_COLUMNS).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def stream_to_kafka(records: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:
-    return (
-        records.writeStream.format("kafka")
+def stream_to_kafka(
+    records: DataFrame, servers: str, checkpoint: str, *, once: bool = False
+) -> StreamingQuery:
+    writer = (
+        records.select(*KAFKA_COLUMNS)
+        .writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("checkpointLocation", checkpoint)
-        .start()
     )
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def as_log(records: DataFrame, *, first_offset: int = 0) -> DataFrame:
