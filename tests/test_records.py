@@ -1,6 +1,7 @@
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators.product import clean_products
@@ -42,20 +43,53 @@ def test_lines_of_a_nested_record(spark):
     assert (first.key, first.transaction_id, first.customer_id) == ("transaction", "t1", "c1")
 
 
-def test_numbers_and_quoted_parts(spark):
-    """JSON numbers parse as text; quoted nested parts need the text mode, which takes both."""
-    numeric = json.loads(json.dumps(RECORD))
-    numeric["purchases"]["total_cost"] = 5
-    numeric["purchases"]["products"][0]["total"] = 2.0
-    quoted = dict(RECORD, purchases=json.dumps(RECORD["purchases"]))
-    quoted["delivery_address"] = json.dumps(RECORD["delivery_address"])
-    for record, mode in ((numeric, "struct"), (RECORD, "text"), (quoted, "text")):
-        lines = decode_transaction_lines(log_of(spark, TRANSACTION, record), nested=mode)
-        got = lines.orderBy("sku").select("sku", "total", "total_cost", "city").collect()
-        assert [tuple(r) for r in got] == [
-            ("s1", Decimal("2.00"), Decimal("5.00"), "London"),
-            ("s2", Decimal("1.01"), Decimal("5.00"), "London"),
-        ]
+def got(spark, record):
+    lines = decode_transaction_lines(log_of(spark, TRANSACTION, record))
+    rows = lines.select("transaction_id", "city", "total_cost", "sku", "total").collect()
+    return sorted([(*r[:2], *(v and str(v) for v in r[2:])) for r in rows], key=str)
+
+
+S1, S2 = ("s1", "2.00"), ("s2", "1.01")
+
+
+def bought(*lines, id="t1", city="London", cost="5.00"):
+    return [(id, city, cost, *line) for line in lines]
+
+
+def with_basket(**changes):
+    return {**RECORD, "purchases": {**RECORD["purchases"], **changes}}
+
+
+ONE, TWO = RECORD["purchases"]["products"]
+
+
+def test_numbers_are_text(spark):
+    record = with_basket(total_cost=5, products=[{**ONE, "total": 2.0}, TWO])
+    assert got(spark, {**record, "transaction_id": 7}) == bought(S1, S2, id="7")
+
+
+def test_quoted_parts(spark):
+    quoted = {k: json.dumps(RECORD[k]) for k in ("purchases", "delivery_address")}
+    assert got(spark, {**RECORD, **quoted}) == bought(S1, S2)
+    assert got(spark, {**RECORD, "purchases": quoted["purchases"]}) == bought(S1, S2)
+    lines = [json.dumps(ONE), TWO]
+    assert got(spark, with_basket(products=lines)) == bought(S1, S2)
+
+
+@pytest.mark.parametrize("bad", ["bad", 5, [1], True, None])
+def test_a_bad_line_costs_only_itself(spark, bad):
+    lines = got(spark, with_basket(products=[bad, ONE, TWO]))
+    assert lines == sorted(bought(S1, S2, (None, None)), key=str)
+
+
+def test_other_irregular_parts(spark):
+    assert got(spark, {**RECORD, "delivery_address": "somewhere"}) == bought(S1, S2, city=None)
+    assert got(spark, {**RECORD, "delivery_address": None}) == bought(S1, S2, city=None)
+    assert got(spark, with_basket(total_cost={"a": 1})) == bought(S1, S2, cost=None)
+    nested_total = with_basket(products=[{**ONE, "total": {"x": 1}}, TWO])
+    assert got(spark, nested_total) == bought(("s1", None), S2)
+    for purchases in ("x", [RECORD["purchases"]], None):
+        assert got(spark, {**RECORD, "purchases": purchases}) == []
 
 
 def test_empty_and_malformed_baskets_give_no_lines(spark):

@@ -55,7 +55,12 @@ def _arguments() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
-    spark = SparkSession.builder.appName(f"tillroll-{args.job}").getOrCreate()
+    # Hours of feeds are labels: in UTC each of them exists on each day.
+    spark = (
+        SparkSession.builder.appName(f"tillroll-{args.job}")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
 
     def open_log(feed: Feed, streaming: bool = True) -> DataFrame:
         if args.kafka:

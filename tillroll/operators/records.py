@@ -28,41 +28,54 @@ def log_text(log: DataFrame) -> DataFrame:
     )
 
 
-def decode_feed(
-    log: DataFrame, feed: Feed, *, envelope: str = "json", fields: str | None = None
-) -> DataFrame:
+def decode_feed(log: DataFrame, feed: Feed, *, envelope: str = "json") -> DataFrame:
     """The feed's records, parsed and spread into columns.
 
-    ``_corrupt`` holds the text of a record that is not what the feed declares.
+    ``_corrupt`` holds the text of a record that is not quite what the feed declares.
     """
     value = F.col("value")
     parsed = F.from_json(
         F.coalesce(env.decode(value, envelope), value),
-        f"{fields or feed.fields}, _corrupt string",
+        f"{feed.fields}, _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
     # Spread by a generator, not by a projection: later filters cannot move below it, where
     # each would parse the record once more.
-    return (
+    records = (
         log_text(log)
         .where(F.col("key") == feed.key)
         .select("key", *CARRIED, F.inline(F.array(parsed)))
     )
+    return _reread(records) if feed is TRANSACTION else records
+
+
+def _reread(records: DataFrame) -> DataFrame:
+    """Transactions with the nested parts of irregular records read piece by piece.
+
+    One parse takes a regular record whole. It gives up on an address, a basket or all its
+    lines where one of them is JSON text inside JSON, or one line is no object. Those records
+    are read again level by level, so that quoted parts count and a bad line costs only itself.
+    """
+    text = F.from_json("_corrupt", TRANSACTION_TEXT_FIELDS)
+    basket = F.from_json(text["purchases"], PURCHASE_TEXT_FIELDS)
+    lines = F.transform(basket["products"], lambda line: F.from_json(line, LINE_FIELDS))
+    reread = F.struct(lines.alias("products"), basket["total_cost"].alias("total_cost"))
+    regular = F.col("_corrupt").isNull()
+    return records.withColumns(
+        {
+            "delivery_address": F.when(regular, F.col("delivery_address")).otherwise(
+                F.from_json(text["delivery_address"], ADDRESS_FIELDS)
+            ),
+            "purchases": F.when(regular, F.col("purchases")).otherwise(reread),
+        }
+    )
 
 
 def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFrame:
     """One row per basket line, nested parts spread, amounts exact.
 
-    A basket without lines yields no row unless ``keep_empty``. Nested parts may be structs
-    or, where the feed quotes them, JSON text.
+    A basket without lines yields no row unless ``keep_empty``.
     """
-    if dict(records.dtypes)["purchases"] == "string":
-        records = records.withColumns(
-            {
-                "delivery_address": F.from_json("delivery_address", ADDRESS_FIELDS),
-                "purchases": F.from_json("purchases", PURCHASE_TEXT_FIELDS),
-            }
-        )
     one_line = F.explode_outer if keep_empty else F.explode
     lines = records.select(
         "key",
@@ -74,8 +87,6 @@ def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFr
         "delivery_address.*",
         one_line("purchases.products").alias("_line"),
     )
-    if dict(lines.dtypes)["_line"] == "string":
-        lines = lines.withColumn("_line", F.from_json("_line", LINE_FIELDS))
     return lines.select(
         *[c for c in lines.columns if c != "_line"],
         "_line.sku",
@@ -86,11 +97,10 @@ def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFr
 
 
 def decode_transaction_lines(
-    log: DataFrame, *, envelope: str = "json", nested: str = "struct", keep_empty: bool = False
+    log: DataFrame, *, envelope: str = "json", keep_empty: bool = False
 ) -> DataFrame:
-    """Transaction lines straight from the log; ``nested='text'`` accepts quoted nested parts."""
-    fields = {"struct": None, "text": TRANSACTION_TEXT_FIELDS}[nested]
-    records = decode_feed(log, TRANSACTION, envelope=envelope, fields=fields)
+    """Transaction lines straight from the log."""
+    records = decode_feed(log, TRANSACTION, envelope=envelope)
     return transaction_lines(records, keep_empty=keep_empty)
 
 

@@ -153,7 +153,7 @@ def transaction_lines(spark: SparkSession, sf: str) -> DataFrame:
 def transaction_lines_quoted(spark: SparkSession, sf: str) -> DataFrame:
     """The same where the nested parts are JSON text inside JSON."""
     log = _log(spark, sf, TRANSACTION, quoted=True)
-    return decode_transaction_lines(log, nested="text").select(*LANDED_LINE)
+    return decode_transaction_lines(log).select(*LANDED_LINE)
 
 
 def product_clean(spark: SparkSession, sf: str) -> DataFrame:

@@ -22,7 +22,7 @@ TRANSACTION_FIELDS = (
     f"delivery_address struct<{ADDRESS_FIELDS}>, "
     f"purchases struct<products: array<struct<{LINE_FIELDS}>>, total_cost: string>"
 )
-# The same record with its nested parts kept as JSON text, for feeds that quote them.
+# The same record with its nested parts kept as text, to read irregular ones piece by piece.
 TRANSACTION_TEXT_FIELDS = (
     "transaction_id string, transaction_time string, customer_id string, "
     "delivery_address string, purchases string"
