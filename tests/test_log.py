@@ -21,7 +21,7 @@ def log(spark, n, first_offset=0):
 
 def test_kafka_options():
     got = kafka_options("host:9092", [0, 3], max_offsets_per_trigger=10)
-    assert json.loads(got.pop("assign")) == {"h-and-b": [0, 3]}
+    assert json.loads(got.pop("assign")) == {"retail-feeds": [0, 3]}
     assert got == {
         "kafka.bootstrap.servers": "host:9092",
         "startingOffsets": "earliest",

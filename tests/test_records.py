@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.product import clean_products
 from tillroll.operators.quality import feed_counts, rejected
 from tillroll.operators.records import decode_feed, decode_transaction_lines, routed
-from tillroll.schemas import CUSTOMER, PRODUCT, TRANSACTION
+from tillroll.schemas import CUSTOMER, PRODUCT, TOPIC, TRANSACTION
 from tillroll.sinks.log import as_log
 
 RECORD = {
@@ -164,7 +164,7 @@ def test_a_record_is_parsed_once(spark):
 def test_routing(spark):
     for feed in (CUSTOMER, PRODUCT, TRANSACTION):
         row = log_of(spark, feed, '"{"a":1}"').first()
-        assert (row.key.decode(), row.partition, row.topic) == (feed.key, feed.partition, "h-and-b")
+        assert (row.key.decode(), row.partition, row.topic) == (feed.key, feed.partition, TOPIC)
         assert row.value.decode() == json.dumps('{"a":1}')
         assert json.loads(json.loads(row.value)) == {"a": 1}
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans.curate import curate_slice
-from tillroll.schemas import FEEDS, Feed
+from tillroll.schemas import FEEDS, TOPIC, Feed
 from tillroll.session import use_rocksdb_state
 from tillroll.sinks.log import stream_to_kafka, stream_to_log_files
 from tillroll.sources.log import peek, read_kafka, read_log_files
@@ -34,6 +34,7 @@ def _arguments() -> argparse.ArgumentParser:
         log = job.add_mutually_exclusive_group(required=True)
         log.add_argument("--kafka", metavar="SERVERS")
         log.add_argument("--log", metavar="FOLDER")
+        job.add_argument("--topic", default=TOPIC)
     for job in (publish, land):
         job.add_argument("--checkpoints", required=True)
         job.add_argument("--once", action="store_true", help="work off what is there and stop")
@@ -64,7 +65,9 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     def open_log(feed: Feed, streaming: bool = True) -> DataFrame:
         if args.kafka:
-            return read_kafka(spark, args.kafka, [feed.partition], streaming=streaming)
+            return read_kafka(
+                spark, args.kafka, [feed.partition], streaming=streaming, topic=args.topic
+            )
         return read_log_files(spark, f"{args.log}/{feed.name}", streaming=streaming)
 
     if args.job == "publish":
@@ -77,7 +80,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 records, f"{args.log}/{feed.name}", checkpoint, once=args.once
             )
 
-        queries = start_publishing(spark, args.feeds, publish)
+        queries = start_publishing(spark, args.feeds, publish, args.topic)
         wait(spark, queries.values(), args.once)
     elif args.job == "land":
         use_rocksdb_state(spark)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+TOPIC = "retail-feeds"  # unless the caller names another
+
 # Feed file names, log keys and partitions, field names and their spelling
 # ("quanitity" included). They must equal what the feeds carry, or nothing parses.
-TOPIC = "h-and-b"
-
 ERASURE_FIELDS = "`customer-id` string, email string"
 PRODUCT_FIELDS = "sku string, name string, price string, category string, popularity string"
 CUSTOMER_FIELDS = (
