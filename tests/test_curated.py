@@ -107,6 +107,26 @@ def test_products_of_another_slice(spark, roots):
     assert [r[4] for r in curated(spark, root)] == ["renamed"]
 
 
+def test_products_of_earlier_days(spark, roots):
+    """A sku that landed on the first day only, as the stream lands it once, still counts."""
+    landing, root = roots
+    day = "2020-01-02"
+    land_at(frame(spark, "customer", {"id": "c1"}), landing, "customer", "08", date=day)
+    sold = frame(
+        spark, "transaction", line("t8", "c1", "s1", "2", "2"), line("t7", "c1", "s2", "5", "7")
+    )
+    land_at(sold, landing, "transaction", "08", date=day)
+    renamed = {"sku": "s1", "name": "a new name", "category": "c", "popularity": 1.0}
+    land_at(frame(spark, "product", renamed), landing, "product", "00", date=day)
+    late = {"sku": "s1", "name": "too late", "category": "c", "popularity": 1.0}
+    land_at(frame(spark, "product", late), landing, "product", "00", date="2020-01-03")
+    for scope, names in (("slice", {"a new name"}), ("latest", {"a new name", "n2"})):
+        curate_slice(spark, landing, root, day, "08", product_scope=scope)
+        assert {r[4] for r in curated(spark, root)} == names
+    with pytest.raises(ValueError):
+        curate_slice(spark, landing, root, day, "08", product_scope="some")
+
+
 def test_running_a_slice_again_changes_nothing_else(spark, roots):
     landing, root = roots
     later = frame(spark, "transaction", line("t9", "c2", "s2", "1", "1"))
@@ -160,7 +180,7 @@ def test_slices_prune_to_their_folders(spark, roots):
     assert [(r.date, r.hour, r.batch) for r in one.collect()] == [(DAY, "10", "b0")] * 2
     assert read_landed(spark, landing, "customer", date=DAY).count() == 4
     assert read_landed(spark, landing, "customer", hour="09").count() == 1
-    until = read_landed_until(spark, landing, "customer", DAY, "10")
+    until = read_landed_until(spark, landing, "customer", date=DAY, hour="10")
     assert "PartitionFilters: [(" in until._jdf.queryExecution().executedPlan().toString()
     assert {r.city for r in until.collect()} == {"Rome", "Oslo", "Bonn"}
 

@@ -47,6 +47,7 @@ def _arguments() -> argparse.ArgumentParser:
     land.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
     curate.add_argument("--curated", required=True)
     curate.add_argument("--mode", default="running", choices=["running", "per_transaction"])
+    curate.add_argument("--products", default="slice", choices=["slice", "latest"])
     curate.add_argument("--customers", default="slice", choices=["slice", "latest"])
     curate.add_argument("date")
     curate.add_argument("hour")
@@ -102,6 +103,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.date,
             args.hour,
             mode=args.mode,
+            product_scope=args.products,
             customer_scope=args.customers,
             fmt=args.format,
         )

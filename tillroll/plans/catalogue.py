@@ -200,7 +200,7 @@ def customer_latest_until(spark: SparkSession, sf: str) -> DataFrame:
         {"key": F.lit("customer"), "date": F.lit("2020-01-01"), "hour": hour}
     )
     land(rows, root, "customer", "b0")
-    upto = read_landed_until(spark, root, "customer", "2020-01-01", "10")
+    upto = read_landed_until(spark, root, "customer", date="2020-01-01", hour="10")
     return customer.latest_customers(upto).select(*CUSTOMER_COLUMNS)
 
 

@@ -35,7 +35,7 @@ def read_landed(
 
 
 def read_landed_until(
-    spark: SparkSession, root: str, feed_name: str, date: str, hour: str, *, fmt: str = "parquet"
+    spark: SparkSession, root: str, feed_name: str, *, date: str, hour: str, fmt: str = "parquet"
 ) -> DataFrame:
     """A landed feed up to a slice, that slice included."""
     earlier = (F.col("date") < date) | ((F.col("date") == date) & (F.col("hour") <= hour))
