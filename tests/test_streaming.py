@@ -388,6 +388,21 @@ def test_files_are_read_once_and_late_ones_are_found(spark, tmp_path):
     assert len(set(offsets)) == 3
 
 
+def test_a_stream_of_chosen_dates(spark, tmp_path):
+    for day in ("2020-01-30", "2020-01-31", "2020-02-01"):
+        frame = spark.createDataFrame([(day,)], "value string")
+        frame.write.text(f"{tmp_path}/in/date={day}/hour=00/{ERASURE.file_name}")
+    query = (
+        stream_feed_lines(spark, f"{tmp_path}/in", ERASURE, date="2020-01-*")
+        .writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{tmp_path}/out")
+    )
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").select("value", "date").collect()
+    assert sorted(map(tuple, rows)) == [("2020-01-30",) * 2, ("2020-01-31",) * 2]
+
+
 def test_feed_file_as_a_plain_file(spark, tmp_path):
     import gzip
 

@@ -42,15 +42,20 @@ def stream_feed_lines(
     root: str,
     feed: Feed,
     *,
+    date: str | None = None,
     max_files_per_trigger: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """The same as a stream. The checkpoint remembers the files read, so that none is read
-    twice and one that arrives late is still picked up."""
+    twice and one that arrives late is still picked up.
+
+    Each trigger lists the feed's folders; a ``date`` pattern such as ``2020-01-*`` keeps that
+    short where years of them lie about.
+    """
     reader = spark.readStream.schema(LINE_FIELDS).option("basePath", root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = _non_blank(reader.text(feed_glob(root, feed)))
+    lines = _non_blank(reader.text(feed_glob(root, feed, date)))
     return lines.repartition(partitions) if partitions else lines
 
 
