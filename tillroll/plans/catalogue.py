@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import envelope as env
@@ -12,7 +12,16 @@ from tillroll.operators import basket, customer, product, quality
 from tillroll.operators.records import decode_feed, decode_transaction_lines, log_text, routed
 from tillroll.plans import sample_feeds as feeds
 from tillroll.plans.curate import curate, curate_slice, enrich_lines
-from tillroll.schemas import CUSTOMER, ERASURE, FEEDS, LANDED_FIELDS, PRODUCT, TRANSACTION, Feed
+from tillroll.schemas import (
+    CUSTOMER,
+    ERASURE,
+    FEEDS,
+    LANDED_FIELDS,
+    PRODUCT,
+    TRANSACTION,
+    Feed,
+    names,
+)
 from tillroll.session import scratch_dir
 from tillroll.sinks.curated import write_curated
 from tillroll.sinks.landed import land
@@ -35,9 +44,9 @@ from tillroll.streaming.feeds import (
 
 LOG_TIME = "2020-01-01 10:15:00"
 LINE = ["transaction_id", "customer_id", "sku", "quanitity", "total", "total_cost"]
-LANDED_LINE = [f for f in (c.split()[0] for c in LANDED_FIELDS["transaction"].split(", "))]
-CUSTOMER_COLUMNS = [c.split()[0] for c in CUSTOMER.fields.split(", ")]
-PRODUCT_COLUMNS = [c.split()[0] for c in PRODUCT.fields.split(", ")]
+LANDED_LINE = names(LANDED_FIELDS["transaction"])
+CUSTOMER_COLUMNS = names(CUSTOMER.fields)
+PRODUCT_COLUMNS = names(PRODUCT.fields)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -111,7 +120,7 @@ def _write_feed_hour(lines: DataFrame, root: str, feed: Feed, hour: str) -> None
 def feed_gz_scan(spark: SparkSession, sf: str) -> DataFrame:
     """All lines written as gzip files of two hours, and found again by feed, date and hour."""
     root = scratch_dir(spark, "feeds")
-    named = {
+    field = {
         "erasure": "customer-id",
         "product": "sku",
         "customer": "email",
@@ -119,7 +128,7 @@ def feed_gz_scan(spark: SparkSession, sf: str) -> DataFrame:
     }
     for feed in FEEDS.values():
         raw = _raw(spark, sf, feed, lines_per_record=1)
-        width = F.length(F.get_json_object("value", f"$['{named[feed.name]}']"))
+        width = F.length(F.get_json_object("value", f"$['{field[feed.name]}']"))
         late = F.coalesce(width % 2 == 0, F.lit(False))
         _write_feed_hour(raw.where(late), root, feed, "10")
         _write_feed_hour(raw.where(~late), root, feed, "00")
@@ -271,7 +280,7 @@ def curated_per_transaction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _quarter_slices(lines: DataFrame) -> DataFrame:
-    quarter: Column = F.date_trunc("quarter", "o_orderdate")
+    quarter = F.date_trunc("quarter", "o_orderdate")
     return lines.withColumns(
         {
             "date": F.date_format(quarter, "yyyy-MM-dd"),

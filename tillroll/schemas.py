@@ -30,6 +30,11 @@ TRANSACTION_TEXT_FIELDS = (
 PURCHASE_TEXT_FIELDS = "products array<string>, total_cost string"
 
 
+def names(fields: str) -> list[str]:
+    """Column names of a flat schema written as above."""
+    return [field.split()[0].strip("`") for field in fields.split(", ")]
+
+
 @dataclass(frozen=True)
 class Feed:
     """One hourly feed: where it lies, how it is keyed in the log, what a record holds."""

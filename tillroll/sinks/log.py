@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.schemas import LOG_FIELDS
+from tillroll.schemas import LOG_FIELDS, names
 
 
 KAFKA_COLUMNS = ["topic", "key", "value", "partition"]
@@ -36,13 +36,12 @@ def as_log(records: DataFrame, *, first_offset: int = 0) -> DataFrame:
     """
     if "timestamp" not in records.columns:
         records = records.withColumn("timestamp", F.current_timestamp())
-    fields = [f.split()[0] for f in LOG_FIELDS.split(", ")]
     return records.withColumns(
         {
             "offset": F.monotonically_increasing_id() + F.lit(first_offset),
             "timestampType": F.lit(0),
         }
-    ).select(*fields)
+    ).select(*names(LOG_FIELDS))
 
 
 def write_log_files(log: DataFrame, path: str, batch: int) -> None:
