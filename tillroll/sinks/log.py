@@ -14,7 +14,8 @@ KAFKA_COLUMNS = ["topic", "key", "value", "partition"]
 
 def write_kafka(records: DataFrame, servers: str) -> None:
     """Routed records to Kafka; the sink honours their topic and partition columns."""
-    records.select(*KAFKA_COLUMNS).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    writer = records.select(*KAFKA_COLUMNS).write.format("kafka")
+    writer.option("kafka.bootstrap.servers", servers).save()
 
 
 def stream_to_kafka(
