@@ -134,3 +134,30 @@ def test_curated_result_does_not_depend_on_splitting(conf, lines, customers, pro
     )
     for mode, n in plain.items():
         assert curate(lines, products, customers, mode=mode).count() == n
+
+
+def test_a_large_order_becomes_many_records(spark, tmp_path):
+    """A third of all lines in one order, many of them alike: no record holds them together."""
+    from tillroll.plans.sample_feeds import lines as feed_lines
+    from tillroll.plans.sample_feeds import transaction_text
+
+    order = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))
+    spark.range(0, 30_000, 1, 4).select(
+        order.alias("l_orderkey"),
+        F.lit(5).alias("l_partkey"),
+        F.lit(2.0).alias("l_quantity"),
+        F.lit(3.5).alias("l_extendedprice"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(30_000).select(
+        F.col("id").alias("o_orderkey"),
+        F.col("id").alias("o_custkey"),
+        F.lit("2020-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("p").alias("o_orderpriority"),
+        F.lit("s").alias("o_orderstatus"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    text = transaction_text(spark, str(tmp_path))
+    products = F.from_json("value", "purchases struct<products array<string>>")["purchases"]
+    size = F.size(products["products"])
+    records, lines, largest = text.agg(F.count("*"), F.sum(size), F.max(size)).first()
+    assert lines == feed_lines(spark, str(tmp_path)).count() == 30_000
+    assert records > 20_000 + 500 and largest < 60
