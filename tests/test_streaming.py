@@ -437,5 +437,8 @@ def test_all_four_queries(spark, log, landing):
     assert {t: len(landed(spark, landing, t, "key")) for t in FEEDS} == {
         "erasure": 1, "product": 1, "customer": 2, "transaction": 1,
     }
+    for table, query in queries.items():  # also while running side by side
+        (batch,) = {b for (b,) in landed(spark, landing, table, "batch")}
+        assert batch.startswith(f"{query.id}-")
     emails = dict(landed(spark, landing, "customer", "id", "email"))
     assert emails["2"] == "2@x" and "@" not in emails["1"]
