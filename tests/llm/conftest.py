@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
+
+DOCUMENT = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+
+@pytest.fixture
+def documents(spark):
+    """A documents table of (doc_id, text) pairs."""
+
+    def make(*rows):
+        return spark.createDataFrame(
+            [(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], DOCUMENT
+        )
+
+    return make
