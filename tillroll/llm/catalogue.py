@@ -2,57 +2,116 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import pii, quality, secrets, sharding
+from tillroll.llm import (
+    chunked_bpe,
+    contamination,
+    lines,
+    pii,
+    planes,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    substring,
+)
 from tillroll.llm.tables import read_table
+from tillroll.session import scratch_dir
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "documents")
+
+
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    judged = quality.judge(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    judged = quality.judge(_documents(spark, sf), read_table(spark, sf, "labels"))
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "rule")
 
 
 def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return pii.digest(pii.find_pii(read_table(spark, sf, "documents")))
+    return pii.digest(pii.find_pii(_documents(spark, sf)))
+
+
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination.find_contamination(
+        _documents(spark, sf), read_table(spark, sf, "benchmark")
+    )
+
+
+def op5_chunked_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return chunked_bpe.encode_decode(_documents(spark, sf), BYTE_BPE).drop("ids")
+
+
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.count_lines(_documents(spark, sf))
+
+
+def op7_token_planes(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "ids")
+    planes.write_ids(_documents(spark, sf), path, WORD_BPE, end_id=1)
+    return planes.read_ids(spark, path, with_ids=False).drop("ids")
+
+
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.remove_repeats(_documents(spark, sf), kept_text=False).drop("kept")
 
 
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    found = secrets.find_secrets(read_table(spark, sf, "documents"))
+    found = secrets.find_secrets(_documents(spark, sf))
     return pii.digest(found, secrets.KINDS, secrets.N_BASE)
 
 
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """The shard of every document; texts stay where they are, only their sizes are moved."""
-    sized = read_table(spark, sf, "documents").select("doc_id", sharding.n_bytes().alias("size"))
+    sized = _documents(spark, sf).select("doc_id", sharding.n_bytes().alias("size"))
     return sharding.shard(sized, size=F.col("size")).select("doc_id", "n_bytes", "shard")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_simhash,
         op2_quality_rules,
         op3_pii,
+        op4_decontamination,
+        op5_chunked_bpe,
+        op6_line_dedup,
+        op7_token_planes,
+        op8_substring_dedup,
         op9_secrets,
         op10_sharding,
     )
 }
 
-ORACLE = {
-    "op10_sharding": f"""with sized as (
+
+def sharding_sql(limit: int) -> str:
+    """The shortest hash prefix of each document that holds no more than the limit."""
+    return f"""with sized as (
   select doc_id, coalesce(strlen(text), 0)::bigint as n_bytes,
     ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as h
   from documents),
 sums as (
-  select depth, h >> (60 - depth) as prefix, sum(n_bytes) as bytes
+  select depth, h >> (60 - depth)::int as prefix, sum(n_bytes) as bytes
   from sized, range(0, 41) r(depth) group by all),
 placed as (
   select doc_id, n_bytes, h, min(depth) as depth
-  from sized, range(0, 41) r(depth) join sums using (depth)
-  where prefix = h >> (60 - depth) and bytes <= {sharding.SHARD_BYTES} group by all)
+  from sized, sums
+  where prefix = h >> (60 - depth)::int and bytes <= {limit} group by all)
 select doc_id, n_bytes,
-  case when depth = 0 then '' else right(lpad(bin(h >> (60 - depth)), 64, '0'), depth::int) end
-    as shard
-from placed""",
-}
+  case when depth = 0 then '' else right(lpad(bin(h >> (60 - depth)::int), 64, '0'), depth::int)
+  end as shard
+from placed"""
+
+
+ORACLE = {"op10_sharding": sharding_sql(sharding.SHARD_BYTES)}

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.tables import SPACE_CLASS, SPACES, whole_text
+from tillroll.operators.lookup import lookup_join
 from tillroll.session import scratch_dir
 
 SYMBOLS = "#*$%&|<>"
@@ -44,7 +45,7 @@ def _holding(text: Column, chars: str) -> Column:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics of each text; one pass, no shuffle.
+    """``doc_id``, ``tie`` (a hash of the text) and the text's statistics; one pass, no shuffle.
 
     Repeated windows are found by sorting a document's windows by hash; neighbours of one hash are
     compared word by word.
@@ -58,6 +59,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", whole_text().alias("text"))
     read = plain.select(
         "doc_id",
+        F.xxhash64(text).alias("tie"),
         words.alias("words"),
         F.char_length(_without(text, SPACES)).cast("bigint").alias("word_chars"),
         lines.alias("lines"),
@@ -73,7 +75,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     counted = read.select(
-        "doc_id", "word_chars", "n_symbols", "n_upper", "n_digits", "n_marks", "words",
+        "doc_id", "tie", "word_chars", "n_symbols", "n_upper", "n_digits", "n_marks", "words",
         F.size("words").cast("bigint").alias("n_words"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
@@ -90,7 +92,7 @@ def statistics(docs: DataFrame) -> DataFrame:
 
     starts = F.sort_array(F.transform(F.filter("sorted", repeated), lambda x: x["i"]))
     found = counted.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_upper",
+        "doc_id", "tie", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_upper",
         "n_digits", "n_marks", starts.alias("starts"),
     )
     following = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.lit(2**31 - 1)))
@@ -308,6 +310,17 @@ def judge(docs: DataFrame, labels: DataFrame, options: Learning = Learning()) ->
     stats = docs.sparkSession.read.parquet(path)
     rules = learn(stats, labels, options)
     judged = stats.select(
-        "doc_id", *STATISTICS, base_failed().alias("base_failed"), verdict(rules).alias("rule")
+        "doc_id", "tie", *STATISTICS, base_failed().alias("base_failed"), verdict(rules).alias("rule")
     )
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, options: Learning = Learning()) -> DataFrame:
+    """The documents, all columns, that the rules keep."""
+    judged = judge(docs, labels, options).where("kept").select("doc_id", "tie").distinct()
+    marked = docs.select(
+        F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("tie")
+    )
+    keys = {"doc_id": "doc_id", "tie": "tie"}
+    kept = lookup_join(marked, judged, keys, "left_semi", nulls_match=True)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -7,7 +7,8 @@ fine cell first, so levels are added up over cells and not over documents.
 
 A null text counts no bytes, a null key is a key of its own. Documents that share a key share all
 bits; where the bits run out, such a bucket is dealt into as many parts as it needs. A document
-over the limit has a shard of its own, marked by its size. Other columns are carried along.
+over the limit has a shard of its own, marked by its size. Other columns are carried along, and
+columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -111,8 +112,10 @@ def shard(
     ``size`` is by default the text's. ``shard`` is empty where everything fits into one. A part
     of a bucket whose bits ran out has its number after a dash.
     """
-    placed = rows.withColumns(
-        {"_hash": hash_bits(F.col(key)), "n_bytes": n_bytes() if size is None else size}
+    placed = rows.select(
+        F.struct("*").alias("_row"),
+        hash_bits(F.col(key)).alias("_hash"),
+        (n_bytes() if size is None else size).alias("n_bytes"),
     )
     sized = placed.select(F.col("_hash").alias("hash"), F.col("n_bytes").alias("bytes"))
     cells = directory(sized, limit, step)
@@ -132,7 +135,9 @@ def shard(
         out = met if out is None else out.unionByName(met)
     bits = F.lpad(F.conv(F.col("_prefix").cast("string"), 10, 2), F.col("_depth"), F.lit("0"))
     named = out.withColumn("_name", F.when(F.col("_depth") == 0, "").otherwise(bits))
-    return _dealt(named, limit, depths[-1]).drop("_hash", "_depth", "_prefix", "_name")
+    dealt = _dealt(named, limit, depths[-1])
+    kept = [F.col("_row").getField(c).alias(c) for c in rows.columns if c not in ("shard", "n_bytes")]
+    return dealt.select(*kept, "n_bytes", "shard")
 
 
 def _dealt(named: DataFrame, limit: int, max_depth: int) -> DataFrame:
@@ -148,11 +153,11 @@ def _dealt(named: DataFrame, limit: int, max_depth: int) -> DataFrame:
         return closed
     spark = named.sparkSession
     path = scratch_dir(spark, "overflow")  # written, so that numbers given to rows stay
-    open_.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    open_.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    part = F.shiftright("_row", 33)
+    part = F.shiftright("_at", 33)
     # Row numbers per key without one task per key: counts per writing task, then offsets.
-    within = Window.partitionBy("_hash", "_part").orderBy("_row")
+    within = Window.partitionBy("_hash", "_part").orderBy("_at")
     counted = rows.withColumn("_part", part).groupBy("_hash", "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.max("n_bytes").alias("_most")
     )
