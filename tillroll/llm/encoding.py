@@ -1,13 +1,12 @@
-"""Tokens of many texts at once: the library encodes each distinct word, not each word.
-
-A unit is a word with the white space before it, where cutting there cannot change the library's
-own cuts. Units seen before come from a bounded store per worker; new ones are encoded by the
-library in one call, parted by a special token. Texts with anything out of the ordinary go to the
-library whole.
-
-* Byte-level BPE (no normaliser; the pattern of the library's ByteLevel step): a cut before a single
-  space or line break between two characters that are no white space is always a cut there.
-* Word BPE (white space dropped, lower-cased, word ends marked): white space never joins anything.
+"""Ids of texts as one tokenizer library gives them, by a faster one where both must agree.
+
+Byte-pair merges go by rank. One library merges the listed pairs only, the other any two neighbours
+whose bytes together are a token. The second can differ from the first only through a token that
+its own merges do not lead to: whatever stands around a token's bytes, the merges of lower rank
+within them are the same, so when a token's rank is due, its bytes are the two parts of its listed
+pair, or the token is one that the listed merges never make. Such tokens are left out here, and
+both libraries give the same ids. Texts with special tokens, or characters that the libraries may
+normalise or cut by different tables, go to the first library whole.
 """
 
 from __future__ import annotations
@@ -17,13 +16,41 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import regex
+import tiktoken
 from tokenizers import Tokenizer
 
-STORE = 300_000  # units per generation of the store; two generations are held
-
-#: Beyond these letters, or with such control characters, the library normalises or cuts by tables.
-_PLAIN = re.compile(r"[^\x00-\x08\x0e-\x1b\x20-\x84\x86-\x9f\xa1-ɏ\t\n\r]")
-_UNSAFE_SPACE = re.compile(r"\s\s")
+#: Other characters are normalised, lower-cased or cut by tables that may differ between libraries.
+_UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
+# The pattern of the library's ByteLevel step, and that of the word vocabulary.
+_BYTE_LEVEL = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+_WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORDS = regex.compile(_WORD_LEVEL)
+#: Where a word-level text has more to cut than letters from single marks.
+_CLOSE_MARKS = re.compile(r"[0-9'_²³¹¼-¾]|[^\w\s]{2}")
+_MARK = re.compile(r"([^\w\s])")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for 256 onwards."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Byte-pair merges one by one: the listed pair of the lowest rank first, leftmost of equals."""
+    while len(symbols) > 1:
+        rank, at = min(
+            (ranks.get(pair, len(ranks)), i)
+            for i, pair in enumerate(zip(symbols, symbols[1:], strict=False))
+        )
+        if rank == len(ranks):
+            break
+        symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2 :]]
+    return symbols
 
 
 class Encoder:
@@ -32,23 +59,43 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
-        self.tokenizer = Tokenizer.from_str(json.dumps(config | {"truncation": None, "padding": None}))
-        self.tokenizer.encode_special_tokens = False
-        special = [t for t in config["added_tokens"] if t["special"]]
-        model, before = config["model"], config.get("pre_tokenizer") or {}
-        spaced = before.get("type") == "ByteLevel" and before.get("use_regex")
-        self.kind = None
-        if model["type"] == "BPE" and special and not model.get("dropout"):
-            if spaced and not before.get("add_prefix_space") and not config.get("normalizer"):
-                self.kind = "bytes"
-            elif model.get("end_of_word_suffix") == "</w>":
-                self.kind = "words"
-        self.part, self.part_id = (special[0]["content"], special[0]["id"]) if special else ("", -1)
-        self.marks = [t["content"] for t in config["added_tokens"]]
+        unlimited = config | {"truncation": None, "padding": None}
+        self.tokenizer = Tokenizer.from_str(json.dumps(unlimited))
+        self.special = [t["content"] for t in config["added_tokens"]]
+        model = config["model"]
         size = max([*model["vocab"].values(), *(t["id"] for t in config["added_tokens"])]) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.kind = _kind(config)
+        if self.kind:
+            self._fast(model, _BYTE_LEVEL if self.kind == "bytes" else "[^ ]+ ")
+
+    def _fast(self, model: dict, pattern: str) -> None:
+        """The same vocabulary for the faster library; a word's end is a space there."""
+        suffix = model.get("end_of_word_suffix") or ""
+        to_byte = {c: b for b, c in byte_alphabet().items()}
+
+        def as_bytes(token: str) -> bytes:
+            end = b" " if suffix and token.endswith(suffix) else b""
+            return bytes(to_byte[c] for c in token.removesuffix(suffix if end else "")) + end
+
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        ranks = {pair: i for i, pair in enumerate(pairs)}
+        # Single bytes come first; a last byte with its end is no merge, so it outranks all merges.
+        order = [(bytes([b]), to_byte_token) for b, to_byte_token in byte_alphabet().items()]
+        if suffix:
+            order += [(bytes([b]) + b" ", c + suffix) for b, c in byte_alphabet().items()]
+        for left, right in pairs:
+            token = left + right
+            symbols = list(token.removesuffix(suffix)) if suffix else list(token)
+            if suffix and token.endswith(suffix):
+                symbols[-1] += suffix
+            if merged(symbols, ranks) == [token]:
+                order.append((as_bytes(token), token))
+        own = {raw: i for i, (raw, _) in enumerate(order)}
+        self.ids = np.array([model["vocab"].get(t, 0) for _, t in order], self.dtype)
+        self.fast = tiktoken.Encoding(
+            "merges", pat_str=pattern, mergeable_ranks=own, special_tokens={}
+        )
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [
@@ -56,64 +103,53 @@ class Encoder:
             for t in texts
         ]
 
-    def _units(self, text: str) -> list[str] | None:
-        if self.kind is None or _PLAIN.search(text) or any(m in text for m in self.marks):
-            return None
+    def _one(self, text: str) -> bytes:
+        if (
+            self.kind is None
+            or _UNUSUAL.search(text)
+            or any(mark in text for mark in self.special)
+        ):
+            return self.whole([text])[0]
         if self.kind == "words":
-            return text.split()
-        if _UNSAFE_SPACE.search(text) or "\t" in text or "\r" in text:
-            return None
-        # A line break keeps its word; a space is left out of the unit, to be put back for a new one.
-        return text.replace("\n", " \n").split(" ")
-
-    def _new(self, units: list[str]) -> None:
-        spaced = self.kind == "bytes"
-        texts = [" " + u if spaced and not u.startswith("\n") else u for u in units]
-        joined = self.tokenizer.encode(self.part.join(texts), add_special_tokens=False).ids
-        ids = np.array(joined, np.int64)
-        cuts = np.flatnonzero(ids == self.part_id)
-        ids = ids.astype(self.dtype)
-        begins = np.concatenate(([0], cuts + 1)).tolist()
-        ends = [*cuts.tolist(), len(ids)]
-        for u, b, e in zip(units, begins, ends, strict=True):
-            self.young[u] = ids[b:e].tobytes()
+            # Each piece is followed by one space.
+            text = text.lower()
+            if _CLOSE_MARKS.search(text):
+                pieces = _WORDS.findall(text)
+            else:
+                pieces = _MARK.sub(r" \1 ", text).split()
+            text = " ".join([*pieces, ""])
+        return self.ids[self.fast.encode_to_numpy(text, disallowed_special=())].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian, in ``dtype``."""
-        out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, str, list[str]]] = []
-        for i, t in enumerate(texts):
-            units = self._units(t)
-            if units is None:
-                out[i] = self.whole([t])[0]
-            elif units:
-                # The first unit of a byte-level text has no space before it.
-                head = units.pop(0) if self.kind == "bytes" else ""
-                cut.append((i, head, units))
-        flat = [u for _, _, units in cut for u in units]
-        got = list(map(self.young.get, flat))
-        if None in got:
-            missed = dict.fromkeys(u for u, v in zip(flat, got, strict=True) if v is None)
-            known = {u: v for u in missed if (v := self.old.get(u)) is not None}
-            new = [u for u in missed if u not in known]
-            if len(self.young) + len(missed) > STORE:
-                self.old, self.young = self.young, {}
-            self.young.update(known)
-            if new:
-                self._new(new)
-            fresh = {u: self.young[u] for u in missed}
-            got = [fresh[u] if v is None else v for u, v in zip(flat, got, strict=True)]
-        heads = self._heads([h for _, h, _ in cut])
-        at = 0
-        for (i, _, units), head in zip(cut, heads, strict=True):
-            out[i] = head + b"".join(got[at : at + len(units)])
-            at += len(units)
-        return out
-
-    def _heads(self, heads: list[str]) -> list[bytes]:
-        wanted = {h for h in heads if h}
-        ids = dict(zip(wanted, self.whole(list(wanted)), strict=True))
-        return [ids.get(h, b"") for h in heads]
+        return [self._one(t) for t in texts]
+
+
+def _kind(config: dict) -> str | None:
+    """Which of the two known ways a tokenizer cuts texts in, if any."""
+    model, before = config["model"], config.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges")
+    ):
+        return None
+    suffix = model.get("end_of_word_suffix")
+    if before.get("type") == "ByteLevel" and not config.get("normalizer") and not suffix:
+        if before.get("use_regex") and not before.get("add_prefix_space"):
+            return "bytes"
+    steps = before.get("pretokenizers", [])
+    if [x.get("type") for x in steps] == ["Split", "ByteLevel"] and suffix:
+        normal = [x.get("type") for x in (config["normalizer"] or {}).get("normalizers", [])]
+        split, level = steps
+        if (
+            split["pattern"] == {"Regex": _WORD_LEVEL}
+            and split["invert"]
+            and split["behavior"] == "Removed"
+            and not level.get("use_regex")
+            and not level.get("add_prefix_space")
+            and normal == ["NFC", "Replace", "Lowercase"]
+        ):
+            return "words"
+    return None
 
 
 @lru_cache(maxsize=4)
@@ -128,10 +164,7 @@ class Decoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
-        # The byte-level alphabet: printable bytes stand for themselves, the others for 256 onwards.
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        alphabet = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+        alphabet = {c: b for b, c in byte_alphabet().items()}
         tokens = dict(config["model"]["vocab"])
         tokens |= {t["content"]: t["id"] for t in config["added_tokens"]}
         self.table = [b""] * (max(tokens.values()) + 1)
