@@ -31,10 +31,10 @@ from tillroll.llm.rolling import byte_values, powers_for
 from tillroll.llm.tables import keyed_texts, shuffle_partitions, text_bytes, text_rows
 
 ROLLING_BYTES = 32
-CUT_BITS = 10  # a cut every 2**10 bytes on average
+CUT_BITS = 11  # a cut every 2**11 bytes on average
 LEAST_CHUNK, MOST_CHUNK = 256, 8192
-FLUSH_BYTES = 24 * 1024 * 1024
-LEVEL = 3
+FLUSH_BYTES = 32 * 1024 * 1024
+LEVEL = 6
 
 
 def cut_places(raw: bytes) -> list[int]:
@@ -283,7 +283,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> Da
     little-endian unsigned 32-bit integers, null unless ``with_ids``.
     """
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    buckets = bucket_count(text_bytes(docs), 4 * shuffle_partitions(docs))
+    buckets = bucket_count(text_bytes(docs), 2 * shuffle_partitions(docs))
     sent = keyed_texts(docs).mapInArrow(_send_chunks(buckets), PACKED)
     ids = sent.groupBy("bucket").applyInArrow(_encode_chunks(tokenizer, buckets), PACKED)
     return ids.groupBy("bucket").applyInArrow(_join_chunks(tokenizer, with_ids), ENCODED)
