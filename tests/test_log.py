@@ -26,8 +26,12 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "host:9092",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
+        "includeHeaders": "true",
         "maxOffsetsPerTrigger": "10",
     }
+    bounded = kafka_options("h", [1], offsets=(5, 25))
+    assert json.loads(bounded["startingOffsets"]) == {"retail-feeds": {"1": 5}}
+    assert json.loads(bounded["endingOffsets"]) == {"retail-feeds": {"1": 25}}
     assert kafka_options("h", [1], min_partitions=8)["minPartitions"] == "8"
     latest = kafka_options("h", [1], topic="x", starting_offsets="latest", fail_on_data_loss=True)
     assert latest["startingOffsets"] == "latest" and latest["failOnDataLoss"] == "true"

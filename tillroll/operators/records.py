@@ -17,8 +17,24 @@ from tillroll.schemas import (
     Feed,
 )
 
-# Log columns that later steps need: event time, and a position that differs between copies.
-CARRIED = ["timestamp", "offset"]
+# Log columns that later steps need: event time, position, and the date and hour of the feed's file.
+CARRIED = ["timestamp", "offset", "feed_date", "feed_hour"]
+HEADERS = "array<struct<key:string,value:binary>>"
+
+
+def no_headers() -> Column:
+    return F.lit(None).cast(HEADERS)
+
+
+def feed_headers(date: Column, hour: Column) -> Column:
+    """The date and hour of a feed's file as record headers."""
+    pairs = (("date", date), ("hour", hour))
+    return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("binary").alias("value")) for k, v in pairs])
+
+
+def _header(name: str) -> Column:
+    found = F.filter("headers", lambda h: h["key"] == name)
+    return F.get(F.transform(found, lambda h: h["value"].cast("string")), F.lit(0))
 
 
 def log_text(log: DataFrame) -> DataFrame:
@@ -28,6 +44,15 @@ def log_text(log: DataFrame) -> DataFrame:
     )
 
 
+def with_feed_slice(log: DataFrame) -> DataFrame:
+    """The date and hour of the feed's file, where the record's headers hold them."""
+    known = "headers" in log.columns
+    none = F.lit(None).cast("string")
+    return log.withColumns(
+        {f"feed_{n}": _header(n) if known else none for n in ("date", "hour")}
+    )
+
+
 def decode_feed(log: DataFrame, feed: Feed, *, envelope: str = "json") -> DataFrame:
     """The feed's records, parsed and spread into columns.
 
@@ -42,7 +67,7 @@ def decode_feed(log: DataFrame, feed: Feed, *, envelope: str = "json") -> DataFr
     # Spread by a generator, not by a projection: later filters cannot move below it, where
     # each would parse the record once more.
     records = (
-        log_text(log)
+        with_feed_slice(log_text(log))
         .where(F.col("key") == feed.key)
         .select("key", *CARRIED, F.inline(F.array(parsed)))
     )
@@ -76,6 +101,12 @@ def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFr
 
     A basket without lines yields no row unless ``keep_empty``.
     """
+    lines = line_texts(records, keep_empty=keep_empty)
+    return lines.withColumns({c: money(F.col(c)) for c in ("total_cost", "total")})
+
+
+def line_texts(records: DataFrame, *, keep_empty: bool = False) -> DataFrame:
+    """The same with amounts as the text they came as."""
     one_line = F.explode_outer if keep_empty else F.explode
     lines = records.select(
         "key",
@@ -83,7 +114,7 @@ def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFr
         "transaction_id",
         "transaction_time",
         "customer_id",
-        money(F.col("purchases.total_cost")).alias("total_cost"),
+        "purchases.total_cost",
         "delivery_address.*",
         one_line("purchases.products").alias("_line"),
     )
@@ -92,7 +123,7 @@ def transaction_lines(records: DataFrame, *, keep_empty: bool = False) -> DataFr
         "_line.sku",
         F.coalesce("_line.quanitity", "_line.quantity").alias("quanitity"),
         "_line.price",
-        money(F.col("_line.total")).alias("total"),
+        "_line.total",
     )
 
 
@@ -109,13 +140,17 @@ def routed(
 ) -> DataFrame:
     """Raw lines (column ``value``) as log records, keyed and sent to the feed's partition.
 
-    ``time`` sets the records' timestamp in a file-backed log; a broker sets its own.
+    The ``date`` and ``hour`` of the lines' file travel as headers, so that records land there
+    whenever they were published. ``time`` sets the records' timestamp in a file-backed log; a
+    broker sets its own.
     """
+    placed = {"date", "hour"} <= set(lines.columns)
     columns = [
         F.lit(topic).alias("topic"),
         F.lit(feed.key).cast("binary").alias("key"),
         env.encode(env.strip_quotes(F.col("value"))).cast("binary").alias("value"),
         F.lit(feed.partition).alias("partition"),
+        (feed_headers(F.col("date"), F.col("hour")) if placed else no_headers()).alias("headers"),
     ]
     if time is not None:
         columns.append(time.alias("timestamp"))

@@ -58,7 +58,7 @@ MONEY = "decimal(30,2)"
 # Log records, as the Kafka source delivers them.
 LOG_FIELDS = (
     "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+    "timestamp timestamp, timestampType int, headers array<struct<key:string,value:binary>>"
 )
 
 LANDED_FIELDS = {
@@ -66,7 +66,7 @@ LANDED_FIELDS = {
     "product": (
         "key string, sku string, name string, price double, category string, popularity float"
     ),
-    "customer": f"key string, {CUSTOMER_FIELDS}",
+    "customer": f"key string, {CUSTOMER_FIELDS}, masked boolean",
     "transaction": (
         "key string, transaction_id string, transaction_time string, customer_id string, "
         f"total_cost {MONEY}, {ADDRESS_FIELDS}, sku string, quanitity string, price string, "

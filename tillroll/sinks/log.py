@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillroll.operators.records import no_headers
 from tillroll.schemas import LOG_FIELDS, names
+from tillroll.session import or_empty
 
 
-KAFKA_COLUMNS = ["topic", "key", "value", "partition"]
+KAFKA_COLUMNS = ["topic", "key", "value", "partition", "headers"]
 
 
 def write_kafka(records: DataFrame, servers: str) -> None:
@@ -37,6 +39,8 @@ def as_log(records: DataFrame, *, first_offset: int = 0) -> DataFrame:
     """
     if "timestamp" not in records.columns:
         records = records.withColumn("timestamp", F.current_timestamp())
+    if "headers" not in records.columns:
+        records = records.withColumn("headers", no_headers())
     return records.withColumns(
         {
             "offset": F.monotonically_increasing_id() + F.lit(first_offset),
@@ -56,15 +60,24 @@ def write_log_files(log: DataFrame, path: str, batch: int) -> None:
     )
 
 
+def _next_offset(spark: SparkSession, path: str, batch: int) -> int:
+    fields = "offset bigint, batch bigint"
+    log = or_empty(spark, lambda: spark.read.schema(fields).parquet(path), fields)
+    last = log.where(F.col("batch") < batch).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def stream_to_log_files(
     records: DataFrame, path: str, checkpoint: str, *, once: bool = True
 ) -> StreamingQuery:
-    """Routed records to a file-backed log, each micro-batch with offsets above the last."""
+    """Routed records to a file-backed log, for queries and tests without a broker.
+
+    Offsets of a micro-batch follow those of the batches before it.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # A task numbers its rows in 33 bits, so 1,024 tasks stay below 2**43.
-        log = as_log(batch.coalesce(1024), first_offset=batch_id << 43)
-        write_log_files(log, path, batch_id)
+        first = _next_offset(batch.sparkSession, path, batch_id)
+        write_log_files(as_log(batch, first_offset=first), path, batch_id)
 
     writer = records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
     return (writer.trigger(availableNow=True) if once else writer).start()
