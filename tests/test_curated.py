@@ -1,9 +1,11 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillroll.plans.curate import curate, curate_slice
+from tillroll.plans.snapshot import last_snapshot, newest_until, write_snapshot
 from tillroll.schemas import CURATED_COLUMNS, LANDED_FIELDS
 from tillroll.sinks.curated import write_curated, write_curated_slice
 from tillroll.sinks.landed import land, sliced
@@ -146,11 +148,57 @@ def test_a_slice_that_came_out_empty_is_emptied(spark, roots):
     assert curated(spark, root) == []
 
 
-def test_a_slice_without_any_input(spark, roots, tmp_path):
-    assert curate_slice(spark, f"{tmp_path}/nothing", roots[1], DAY, "23") == 0
+def test_missing_input_raises_and_leaves_the_slice(spark, roots, tmp_path):
+    landing, root = roots
+    curate_slice(spark, landing, root, DAY, "10")
+    before = curated(spark, root)
+    for tables, hour in ((f"{tmp_path}/nothing", "10"), (landing, "23")):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            curate_slice(spark, tables, root, DAY, hour)
+    assert curated(spark, root) == before and before
+    assert curate_slice(spark, landing, root, DAY, "23", allow_empty=True) == 0
+    assert curated(spark, root) == before
     assert read_curated(spark, f"{tmp_path}/never").count() == 0
 
 
+def test_snapshots_give_what_all_history_gives(spark, roots, tmp_path):
+    landing, root = roots
+    kept = f"{tmp_path}/snapshots"
+    for table in ("product", "customer"):
+        write_snapshot(spark, landing, kept, table, DAY, "10")
+    day = "2020-01-02"
+    renamed = {"sku": "s1", "name": "a new name", "category": "c", "popularity": 1.0}
+    land_at(frame(spark, "product", renamed), landing, "product", "00", date=day)
+    land_at(frame(spark, "customer", {"id": "c1", "city": "Rome"}), landing, "customer", "08", date=day)
+    sold = frame(spark, "transaction", line("t8", "c1", "s1", "2", "2"), line("t7", "c2", "s2", "5", "5"))
+    land_at(sold, landing, "transaction", "08", date=day)
+    results = []
+    for snapshots in (None, kept):
+        curate_slice(
+            spark, landing, root, day, "08", customer_scope="latest", snapshots=snapshots
+        )
+        results.append(curated(spark, root))
+    assert results[0] == results[1] and {r[4] for r in results[0]} == {"a new name", "n2"}
+    # Of the past, the snapshot is read and landed slices before it are not.
+    files = newest_until(spark, landing, kept, "product", day, "08").inputFiles()
+    assert not any(f"landed/product/date={DAY}" in f for f in files) and len(files) >= 2
+    write_snapshot(spark, landing, kept, "product", day, "08")
+    again = newest_until(spark, landing, kept, "product", day, "08")
+    assert {r.name for r in again.collect() if r.sku == "s1"} == {"a new name"}
+    assert last_snapshot(spark, kept, "product", day, "07") == (DAY, "10")
+
+
+def test_customers_landed_before_their_request_are_masked_once(spark, roots):
+    landing, root = roots
+    asked = frame(spark, "erasure", {"customer-id": "c1"})
+    land_at(asked, landing, "erasure", "00")
+    curate_slice(spark, landing, root, DAY, "10")
+    once = {r.id: r.email for r in read_curated(spark, root).collect()}
+    assert len(once["c1"]) == 64
+    curate_slice(spark, landing, root, DAY, "10")
+    assert {r.id: r.email for r in read_curated(spark, root).collect()} == once
+
+
 def rows_at(spark, *slices):
     fields = read_curated(spark, "/no/such/path").select(*CURATED_COLUMNS).schema
     one = spark.createDataFrame([tuple("x" if f.dataType.simpleString() == "string" else None

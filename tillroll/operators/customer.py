@@ -30,8 +30,12 @@ def erase_customers(
     columns: Sequence[str] = ("email", "phone_number"),
     method: str = "sha2",
     salt: str | None = None,
+    mark: bool = False,
 ) -> DataFrame:
-    """Mask the personal columns of every customer named in ``requests(customer_id, ...)``."""
+    """Mask the personal columns of every customer named in ``requests(customer_id, ...)``.
+
+    ``mark`` adds the column ``masked``; rows that have it and are masked are not masked again.
+    """
     named = (
         requests.where(F.col("customer_id").isNotNull())
         .select("customer_id")
@@ -39,12 +43,15 @@ def erase_customers(
         .withColumn("_erased", F.lit(True))
     )
     flagged = lookup_join(customers, named, {"id": "customer_id"}, "left")
-    return flagged.withColumns(
-        {
-            c: F.when(F.col("_erased"), masked(F.col(c), method, salt)).otherwise(F.col(c))
-            for c in columns
-        }
-    ).drop("_erased")
+    marked = "masked" in customers.columns
+    before = F.coalesce("masked", F.lit(False)) if marked else F.lit(False)
+    new = F.coalesce("_erased", F.lit(False)) & ~before
+    changes = {
+        c: F.when(new, masked(F.col(c), method, salt)).otherwise(F.col(c)) for c in columns
+    }
+    if mark or marked:
+        changes["masked"] = before | new
+    return flagged.withColumns(changes).drop("_erased")
 
 
 def latest_customers(customers: DataFrame, keep: str = "newest") -> DataFrame:

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalar import slice_date, slice_hour
 from tillroll.operators.records import CARRIED
+from tillroll.sources.tables import read_landed
 
 
 def sliced(rows: DataFrame, *, hour: str | None = None, time: Column | None = None) -> DataFrame:
-    """Rows with the date and hour to land in, taken from the log time, not from the clock.
+    """Rows with the date and hour to land in: those of the feed's file, else of the log time.
 
-    So a replayed batch lands where it did before. ``hour`` pins daily feeds.
+    Never those of the clock, so a replayed batch lands where it did before. ``hour`` pins
+    daily feeds.
     """
     ts = F.col("timestamp") if time is None else time
-    return rows.withColumns({"date": slice_date(ts), "hour": slice_hour(ts, hour)})
+    date, at = slice_date(ts), slice_hour(ts, hour)
+    if "feed_date" in rows.columns:
+        date = F.coalesce("feed_date", date)
+        at = at if hour is not None else F.coalesce("feed_hour", at)
+    return rows.withColumns({"date": date, "hour": at})
 
 
 def land(
@@ -30,13 +36,14 @@ def land(
     """Write one batch of sliced rows.
 
     A batch owns its folder in each slice and replaces it, so that writing it twice leaves it
-    once. By default a batch is written by the tasks that hold it; ``target_files`` deals its
-    rows out to that many, so that small batches make few files and what comes before keeps
-    its parallelism.
+    once. Rows are rebalanced by slice first: a small batch makes one file per slice, a large
+    slice still spreads over tasks. ``target_files`` deals the rows out to that many instead.
     """
     out = rows.drop(*CARRIED, "_corrupt").withColumn("batch", F.lit(batch))
     if target_files:
         out = out.repartition(target_files)
+    else:
+        out = out.hint("rebalance", "date", "hour")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -44,3 +51,22 @@ def land(
         .format(fmt)
         .save(f"{root}/{table}")
     )
+
+
+def compact_slice(
+    spark: SparkSession,
+    root: str,
+    compacted: str,
+    table: str,
+    date: str,
+    hour: str,
+    *,
+    fmt: str = "parquet",
+) -> None:
+    """Copy one closed slice of a landed table to the table under ``compacted``, in few files.
+
+    The batches of the slice become one folder of files of a sensible size; running it again
+    replaces them. The landed slice stays as it is, and can be removed once readers use the copy.
+    """
+    rows = read_landed(spark, root, table, fmt=fmt, date=date, hour=hour, required=True)
+    land(rows.drop("batch"), compacted, table, "compacted", fmt=fmt)

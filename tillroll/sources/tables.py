@@ -22,24 +22,42 @@ def read_landed(
     fmt: str = "parquet",
     date: str | None = None,
     hour: str | None = None,
+    required: bool = False,
 ) -> DataFrame:
-    """A landed feed, or one slice of it; only the folders of the slice are listed."""
+    """A landed feed, or one slice of it; only the folders of the slice are listed.
+
+    What does not exist has no rows, or raises if ``required``.
+    """
     base = f"{root}/{feed_name}"
     path = base
     if date is not None:
         path += f"/date={date}" if hour is None else f"/date={date}/hour={hour}"
     fields = f"{LANDED_FIELDS[feed_name]}, {LANDED_PARTITIONS}"
     reader = spark.read.schema(fields).format(fmt).option("basePath", base)
-    rows = or_empty(spark, lambda: reader.load(path), fields)
+    rows = reader.load(path) if required else or_empty(spark, lambda: reader.load(path), fields)
     return rows.where(F.col("hour") == hour) if date is None and hour is not None else rows
 
 
 def read_landed_until(
-    spark: SparkSession, root: str, feed_name: str, *, date: str, hour: str, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    feed_name: str,
+    *,
+    date: str,
+    hour: str,
+    fmt: str = "parquet",
+    after: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """A landed feed up to a slice, that slice included."""
-    earlier = (F.col("date") < date) | ((F.col("date") == date) & (F.col("hour") <= hour))
-    return read_landed(spark, root, feed_name, fmt=fmt).where(earlier)
+    """A landed feed up to a slice, that slice included, and after slice ``after``, if given."""
+    rows = read_landed(spark, root, feed_name, fmt=fmt).where(_upto(date, hour))
+    if after is None:
+        return rows
+    # Stated on the date alone as well, which prunes whole folders.
+    return rows.where(F.col("date") >= after[0]).where(~_upto(*after))
+
+
+def _upto(date: str, hour: str):
+    return (F.col("date") < date) | ((F.col("date") == date) & (F.col("hour") <= hour))
 
 
 def read_curated(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:
