@@ -1,15 +1,38 @@
 """The jobs as a user runs them, over a day of hand-made feed files."""
 
 import gzip
+import hashlib
 import json
 
 import pytest
 
 from tillroll.__main__ import main
 from tillroll.schemas import CUSTOMER, ERASURE, PRODUCT, TRANSACTION
+from tillroll.sinks.log import stream_to_log_files
+from tillroll.sources.log import read_log_files
 from tillroll.sources.tables import read_curated, read_landed
 
 
+def log_files(folder):
+    """A log of files in place of a broker."""
+
+    class Log:
+        def __init__(self, spark, args):
+            self.spark, self.once = spark, getattr(args, "once", True)
+
+        def open(self, feed):
+            return read_log_files(self.spark, f"{folder}/{feed.name}")
+
+        def look(self, feed, first, n):
+            return read_log_files(self.spark, f"{folder}/{feed.name}", streaming=False)
+
+        def publish(self, records, checkpoint):
+            feed = checkpoint.rsplit("publish-")[-1]
+            return stream_to_log_files(records, f"{folder}/{feed}", checkpoint, once=self.once)
+
+    return Log
+
+
 def put(root, feed, hour, *records):
     folder = root / "feeds" / "date=2020-01-01" / f"hour={hour}"
     folder.mkdir(parents=True, exist_ok=True)
@@ -54,15 +77,20 @@ def test_a_day(spark, conf, tmp_path, fmt, capsys):
         basket("t3", "2", "4", ("s1", "4")),
         basket("t4", "3", "4", ("s1", "4")),
     )
-    log = ["--log", f"{tmp_path}/log"]
+    log = ["--kafka", "none:9092"]
+    files = log_files(f"{tmp_path}/log")
+    salt = tmp_path / "salt"
+    salt.write_text("pepper\n")
+    mask = ["--mask-salt", str(salt), "--mask-columns", "email,first_name"]
     state = ["--checkpoints", f"{tmp_path}/checkpoints", "--once"]
     tables = ["--tables", f"{tmp_path}/tables", "--format", fmt]
     curated = f"{tmp_path}/curated"
 
     def run():
-        main(["publish", "--feeds", f"{tmp_path}/feeds", *log, *state])
-        main(["land", *log, *state, *tables])
-        main(["curate", *tables, "--curated", curated, "2020-01-01", "10"])
+        publish = ["publish", "--feeds", f"{tmp_path}/feeds", "--dates", "2020-*", "--partitions", "2"]
+        main([*publish, *log, *state], files)
+        main(["land", *log, *state, *tables, *mask], files)
+        main(["curate", *tables, *mask, "--curated", curated, "2020-01-01", "10"])
 
     def result():
         rows = read_curated(spark, curated, fmt=fmt)
@@ -72,9 +100,15 @@ def test_a_day(spark, conf, tmp_path, fmt, capsys):
     run()
     want = [
         ("t1", "Zoë", 'a "quoted" name', "Rome", "2.00"),
-        ("t3", "Åsa", 'a "quoted" name', "Rome", "4.00"),
+        ("t3", hashlib.sha256("pepperÅsa".encode()).hexdigest(), 'a "quoted" name', "Rome", "4.00"),
     ]
     assert result() == want
+    said = capsys.readouterr().out
+    assert "product batch 0: 2 records, 1 rejected" in said
+    assert "customer batch 0: 3 records, 1 rejected" in said
+    reader = spark.read.format(fmt)
+    assert reader.load(f"{tmp_path}/tables/rejected_product").first().reason == "price"
+    assert reader.load(f"{tmp_path}/tables/rejected_customer").first().reason == "id"
     emails = {r.id: r.email for r in read_curated(spark, curated, fmt=fmt).collect()}
     assert emails["1"] == "1@x" and len(emails["2"]) == 64
     run()
@@ -85,9 +119,14 @@ def test_a_day(spark, conf, tmp_path, fmt, capsys):
     run()
     assert result() == want
     assert read_landed(spark, f"{tmp_path}/tables", "product", fmt=fmt).count() == 1
-    main(["curate", *tables, "--curated", curated, "--customers", "latest", "2020-01-01", "11"])
+    snapshots = ["--snapshots", f"{tmp_path}/snapshots"]
+    main(["snapshot", *tables, *snapshots, "2020-01-01", "10"])
+    latest = ["--curated", curated, "--customers", "latest", *snapshots, *mask]
+    main(["curate", *tables, *latest, "2020-01-01", "11"])
+    main(["compact", *tables, "--compacted", f"{tmp_path}/few", "2020-01-01", "10"])
+    assert read_landed(spark, f"{tmp_path}/few", "transaction", fmt=fmt).count() == 5
     assert [r[0] for r in result()] == ["t1", "t3", "t9"]
 
     capsys.readouterr()
-    main(["peek", *log, "--rows", "1"])
+    main(["peek", *log, "--rows", "1"], files)
     assert "|customer|" in capsys.readouterr().out

@@ -132,11 +132,10 @@ def test_products_cleaned(spark):
     records = decode_feed(log_of(spark, PRODUCT, *PRODUCTS), PRODUCT)
     rows = clean_products(records.drop("offset")).orderBy("sku").collect()
     assert [(r.sku, r.price, r.popularity) for r in rows] == [
-        (None, 1.0, 1.0),
         ("a", 1.5, 2.0),
         ("b", 0.0, 0.5),
     ]
-    assert clean_products(records, keep="any").count() == 3
+    assert clean_products(records, keep="any").count() == 2
 
 
 def test_rejects_and_counts_are_the_rest(spark):
@@ -149,9 +148,10 @@ def test_rejects_and_counts_are_the_rest(spark):
             "Row(sku='e', reason='popularity', _corrupt=None)",
             "Row(sku='f', reason='popularity', _corrupt=None)",
             "Row(sku=None, reason='corrupt', _corrupt='not json')",
+            "Row(sku=None, reason='sku', _corrupt=None)",
         ]
     )
-    assert tuple(feed_counts(records, "product").first()) == ("product", 9, 5)
+    assert tuple(feed_counts(records, "product").first()) == ("product", 9, 6)
 
 
 def test_a_record_is_parsed_once(spark):

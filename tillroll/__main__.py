@@ -2,10 +2,10 @@
 
     python -m tillroll publish --feeds hdfs:///shop/feeds --kafka broker:9092 --checkpoints ...
     python -m tillroll land --kafka broker:9092 --tables hdfs:///shop/landed --checkpoints ...
+    python -m tillroll snapshot --tables hdfs:///shop/landed --snapshots ... 2020-01-01 10
     python -m tillroll curate --tables hdfs:///shop/landed --curated ... 2020-01-01 10
+    python -m tillroll compact --tables hdfs:///shop/landed --compacted ... 2020-01-01 10
     python -m tillroll peek --kafka broker:9092
-
-``--log`` names a file-backed log in place of ``--kafka``.
 """
 
 from __future__ import annotations
@@ -14,48 +14,110 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.curate import curate_slice
+from tillroll.plans.snapshot import VERSIONS, write_snapshot
 from tillroll.schemas import FEEDS, TOPIC, Feed
 from tillroll.session import use_rocksdb_state
-from tillroll.sinks.log import stream_to_kafka, stream_to_log_files
-from tillroll.sources.log import peek, read_kafka, read_log_files
+from tillroll.sinks.landed import compact_slice
+from tillroll.sinks.log import stream_to_kafka
+from tillroll.sources.log import peek, read_kafka
 from tillroll.streaming.feeds import Landing, start_landing, start_publishing, wait
 
 
+class KafkaLog:
+    """The log the jobs publish to and read from; tests hand in one of files instead."""
+
+    def __init__(self, spark: SparkSession, args: argparse.Namespace):
+        self.spark, self.args = spark, args
+
+    def open(self, feed: Feed) -> DataFrame:
+        return read_kafka(
+            self.spark,
+            self.args.kafka,
+            [feed.partition],
+            topic=self.args.topic,
+            starting_offsets=self.args.start,
+            max_offsets_per_trigger=self.args.per_trigger,
+        )
+
+    def look(self, feed: Feed, first: int, n: int) -> DataFrame:
+        return read_kafka(
+            self.spark,
+            self.args.kafka,
+            [feed.partition],
+            streaming=False,
+            topic=self.args.topic,
+            offsets=(first, first + n),
+        )
+
+    def publish(self, records: DataFrame, checkpoint: str) -> StreamingQuery:
+        return stream_to_kafka(records, self.args.kafka, checkpoint, once=self.args.once)
+
+
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tillroll")
     jobs = parser.add_subparsers(dest="job", required=True)
     publish = jobs.add_parser("publish", help="send arriving feed files to the log")
     land = jobs.add_parser("land", help="land all four feeds from the log")
+    snapshot = jobs.add_parser("snapshot", help="store the newest products and customers")
     curate = jobs.add_parser("curate", help="curate one closed slice")
-    look = jobs.add_parser("peek", help="print the first records of the log")
+    compact = jobs.add_parser("compact", help="copy one closed landed slice into few files")
+    look = jobs.add_parser("peek", help="print records of the log")
     for job in (publish, land, look):
-        log = job.add_mutually_exclusive_group(required=True)
-        log.add_argument("--kafka", metavar="SERVERS")
-        log.add_argument("--log", metavar="FOLDER")
+        job.add_argument("--kafka", metavar="SERVERS", required=True)
         job.add_argument("--topic", default=TOPIC)
     for job in (publish, land):
         job.add_argument("--checkpoints", required=True)
         job.add_argument("--once", action="store_true", help="work off what is there and stop")
     publish.add_argument("--feeds", required=True)
-    for job in (land, curate):
+    publish.add_argument("--dates", help="pattern of dates to look at, such as '2020-01-*'")
+    publish.add_argument("--files-per-trigger", type=int)
+    publish.add_argument("--partitions", type=int, help="spread the lines of large files")
+    for job in (land, curate, snapshot, compact):
         job.add_argument("--tables", required=True)
         job.add_argument("--format", default="parquet")
+    land.add_argument("--start", default="earliest", help="offsets to start from")
+    land.add_argument("--per-trigger", type=int, help="offsets per micro-batch at most")
     land.add_argument("--every", help="time between micro-batches, such as '1 minute'")
+    land.add_argument("--envelope", default="json", choices=["json", "regex"])
     land.add_argument("--dedup", default="forever", choices=["forever", "within_watermark"])
-    land.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
+    land.add_argument("--watermark", default="10 minutes")
+    land.add_argument("--files", type=int, help="files per micro-batch and table")
+    for job in (land, curate):
+        job.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
+        job.add_argument("--mask-columns", type=_words, default=["email", "phone_number"])
+        job.add_argument("--mask-salt", metavar="FILE", help="file that holds the salt")
     curate.add_argument("--curated", required=True)
     curate.add_argument("--mode", default="running", choices=["running", "per_transaction"])
-    curate.add_argument("--products", default="slice", choices=["slice", "latest"])
+    curate.add_argument("--products", default="latest", choices=["slice", "latest"])
     curate.add_argument("--customers", default="slice", choices=["slice", "latest"])
-    curate.add_argument("date")
-    curate.add_argument("hour")
+    curate.add_argument("--snapshots")
+    curate.add_argument("--allow-empty", action="store_true")
+    snapshot.add_argument("--snapshots", required=True)
+    compact.add_argument("--compacted", required=True)
+    for job in (curate, snapshot, compact):
+        job.add_argument("date")
+        job.add_argument("hour")
     look.add_argument("--rows", type=int, default=20)
+    look.add_argument("--offset", type=int, default=0, help="where to start in each partition")
     return parser
 
 
-def main(argv: Sequence[str] | None = None) -> None:
+def _words(text: str) -> list[str]:
+    return text.split(",")
+
+
+def _salt(spark: SparkSession, path: str | None) -> str | None:
+    """A salt is read from a file, as arguments show in process lists and logs."""
+    if path is None:
+        return None
+    rows = spark.read.text(path, wholetext=True).head(1)
+    return rows[0][0].strip()
+
+
+def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
     args = _arguments().parse_args(argv)
     # Hours of feeds are labels: in UTC each of them exists on each day.
     spark = (
@@ -63,38 +125,47 @@ def main(argv: Sequence[str] | None = None) -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-
-    def open_log(feed: Feed, streaming: bool = True) -> DataFrame:
-        if args.kafka:
-            return read_kafka(
-                spark, args.kafka, [feed.partition], streaming=streaming, topic=args.topic
-            )
-        return read_log_files(spark, f"{args.log}/{feed.name}", streaming=streaming)
-
+    if args.job in ("publish", "land", "peek"):
+        log = log_of(spark, args)
     if args.job == "publish":
-
-        def publish(records: DataFrame, feed: Feed):
-            checkpoint = f"{args.checkpoints}/publish-{feed.name}"
-            if args.kafka:
-                return stream_to_kafka(records, args.kafka, checkpoint, once=args.once)
-            return stream_to_log_files(
-                records, f"{args.log}/{feed.name}", checkpoint, once=args.once
-            )
-
-        queries = start_publishing(spark, args.feeds, publish, args.topic)
+        queries = start_publishing(
+            spark,
+            args.feeds,
+            lambda records, feed: log.publish(records, f"{args.checkpoints}/publish-{feed.name}"),
+            args.topic,
+            date=args.dates,
+            max_files_per_trigger=args.files_per_trigger,
+            partitions=args.partitions,
+        )
         wait(spark, queries.values(), args.once)
     elif args.job == "land":
         use_rocksdb_state(spark)
+        tables = ["transaction", "customer", "product", "erasure"]
         to = Landing(
             tables=args.tables,
             checkpoints=args.checkpoints,
             fmt=args.format,
             once=args.once,
             every=args.every,
+            envelope=args.envelope,
             product_dedup=args.dedup,
+            watermark=args.watermark,
             mask=args.mask,
+            mask_salt=_salt(spark, args.mask_salt),
+            mask_columns=tuple(args.mask_columns),
+            target_files=dict.fromkeys(tables, args.files) if args.files else {},
         )
-        wait(spark, start_landing(open_log, to).values(), args.once)
+        wait(spark, start_landing(log.open, to).values(), args.once, print)
+    elif args.job == "snapshot":
+        for table in VERSIONS:
+            write_snapshot(
+                spark, args.tables, args.snapshots, table, args.date, args.hour, fmt=args.format
+            )
+    elif args.job == "compact":
+        for table in ("transaction", "customer"):  # the feeds that land every hour
+            compact_slice(
+                spark, args.tables, args.compacted, table, args.date, args.hour, fmt=args.format
+            )
     elif args.job == "curate":
         rows = curate_slice(
             spark,
@@ -105,12 +176,17 @@ def main(argv: Sequence[str] | None = None) -> None:
             mode=args.mode,
             product_scope=args.products,
             customer_scope=args.customers,
+            snapshots=args.snapshots,
             fmt=args.format,
+            allow_empty=args.allow_empty,
+            mask=args.mask,
+            mask_salt=_salt(spark, args.mask_salt),
+            mask_columns=args.mask_columns,
         )
         print(f"{args.date} {args.hour}: {rows} rows")
     else:
         for feed in FEEDS.values():
-            peek(open_log(feed, streaming=False), args.rows).show(args.rows, truncate=False)
+            peek(log.look(feed, args.offset, args.rows), args.rows).show(args.rows, truncate=False)
 
 
 if __name__ == "__main__":

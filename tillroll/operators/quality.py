@@ -1,18 +1,24 @@
-"""Validity rules, rejects and counts."""
+"""Validity rules, rejects and counts.
+
+``line`` stands for the lines of transactions with their amounts as text. A line that breaks a rule
+lands all the same, as its amount may count towards its basket; it is reported besides.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.scalar import number
-
+from tillroll.functions.scalar import money, number
 
 
 def rules(feed_name: str) -> dict[str, Column]:
     """The feed's rules by name, over the feed's text columns."""
+    if feed_name == "erasure":
+        return {"customer-id": F.col("`customer-id`").isNotNull()}
     if feed_name == "product":
         return {
+            "sku": F.col("sku").isNotNull(),
             "popularity": number(F.col("popularity"), "float") > 0,
             "price": number(F.col("price")) >= 0,
         }
@@ -20,7 +26,13 @@ def rules(feed_name: str) -> dict[str, Column]:
         return {"id": F.col("id").isNotNull()}
     if feed_name == "transaction":
         return {"products": F.size("purchases.products") > 0}
-    return {}
+    if feed_name == "line":
+        return {
+            "sku": F.col("sku").isNotNull(),
+            "total": money(F.col("total")).isNotNull(),
+            "total_cost": money(F.col("total_cost")).isNotNull(),
+        }
+    raise ValueError(f"unknown feed {feed_name!r}")
 
 
 def reject_reason(feed_name: str) -> Column:
@@ -28,7 +40,9 @@ def reject_reason(feed_name: str) -> Column:
     broken = [
         F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules(feed_name).items()
     ]
-    first = F.coalesce(*broken) if broken else F.lit(None).cast("string")
+    first = F.coalesce(*broken)
+    if feed_name == "line":
+        return first
     return F.when(first.isNotNull() & F.col("_corrupt").isNotNull(), "corrupt").otherwise(first)
 
 
