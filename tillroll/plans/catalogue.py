@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import envelope as env
 from tillroll.operators import basket, customer, product, quality
-from tillroll.operators.records import decode_feed, decode_transaction_lines, log_text, routed
+from tillroll.operators.records import (
+    decode_feed,
+    decode_transaction_lines,
+    line_texts,
+    log_text,
+    routed,
+)
 from tillroll.plans import sample_feeds as feeds
 from tillroll.plans.curate import curate, curate_slice, enrich_lines
+from tillroll.plans.snapshot import write_snapshot
 from tillroll.schemas import (
     CUSTOMER,
     ERASURE,
@@ -24,7 +32,7 @@ from tillroll.schemas import (
 )
 from tillroll.session import scratch_dir
 from tillroll.sinks.curated import write_curated
-from tillroll.sinks.landed import land
+from tillroll.sinks.landed import compact_slice, land
 from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
 from tillroll.sources.files import feed_lines
 from tillroll.sources.log import peek, read_log_files
@@ -65,10 +73,13 @@ def _raw(spark: SparkSession, sf: str, feed: Feed, **options) -> DataFrame:
     return feeds.as_text(records(spark, sf))
 
 
+def _as_log(raw: DataFrame, feed: Feed) -> DataFrame:
+    return as_log(routed(raw, feed, time=F.lit(LOG_TIME).cast("timestamp")))
+
+
 def _log(spark: SparkSession, sf: str, feed: Feed, **options) -> DataFrame:
     """The feed's records in the shape of the log."""
-    time = F.lit(LOG_TIME).cast("timestamp")
-    return as_log(routed(_raw(spark, sf, feed, **options), feed, time=time))
+    return _as_log(_raw(spark, sf, feed, **options), feed)
 
 
 def _clean_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,9 +202,19 @@ def customer_erased_salted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_erased_murmur3(spark: SparkSession, sf: str) -> DataFrame:
+    """Which fields the 32-bit hash has masked; the hash itself is checked in tests."""
     known = customer.known_customers(feeds.customers(spark, sf))
     requests = customer.erasure_requests(feeds.erasures(spark, sf))
-    return customer.erase_customers(known, requests, method="murmur3")
+    clear = known.withColumns({"_email": F.col("email"), "_phone": F.col("phone_number")})
+    hidden = customer.erase_customers(clear, requests, method="murmur3", mark=True)
+    number = F.coalesce(F.col("email").rlike("^-?[0-9]+$"), F.lit(False))
+    return hidden.select(
+        *[c for c in CUSTOMER_COLUMNS if c not in ("email", "phone_number")],
+        F.col("_email").alias("email"),
+        F.col("_phone").alias("phone_number"),
+        (F.col("masked") & number).alias("masked"),
+        F.coalesce(F.col("phone_number") == "42", F.lit(False)).alias("null_is_42"),
+    )
 
 
 def customer_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,14 +242,34 @@ def erasure_land(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feed_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """Records and rejects per feed."""
-    counts = [
-        quality.feed_counts(
-            decode_feed(_log(spark, sf, f, lines_per_record=1), f), f.name
-        )
-        for f in FEEDS.values()
-    ]
-    return _union(counts)
+    """Records and rejects per feed, with bad requests and transactions among them."""
+    bad = {
+        "erasure": feeds.bad_erasures(spark, sf),
+        "transaction": feeds.bad_transactions(spark, sf),
+    }
+    counts = []
+    for f in FEEDS.values():
+        log = _log(spark, sf, f)
+        if f.name in bad:
+            log = log.unionByName(_as_log(bad[f.name], f))
+        counts.append(quality.feed_counts(decode_feed(log, f), f.name))
+    return _union(counts).groupBy("feed").agg(
+        F.sum("records").alias("records"), F.sum("rejected").alias("rejected")
+    )
+
+
+def erasure_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that name nobody are kept with the reason, not lost."""
+    raw = _raw(spark, sf, ERASURE).unionByName(feeds.bad_erasures(spark, sf))
+    bad = quality.rejected(decode_feed(_as_log(raw, ERASURE), ERASURE), "erasure")
+    return bad.select(F.col("customer-id").alias("customer_id"), "email", "reason")
+
+
+def line_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines without sku or with amounts that are none."""
+    records = decode_feed(_as_log(feeds.bad_transactions(spark, sf), TRANSACTION), TRANSACTION)
+    bad = quality.rejected(line_texts(records), "line")
+    return bad.select("transaction_id", "sku", "total", "total_cost", "reason")
 
 
 def basket_running_total(spark: SparkSession, sf: str) -> DataFrame:
@@ -303,6 +344,86 @@ def curated_slice_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_curated(spark, root)
 
 
+def _landed_day(spark: SparkSession, sf: str, root: str, lines: DataFrame, date: str) -> None:
+    """One hour of one day landed: transaction lines, and all customers."""
+    slice_of = {"date": F.lit(date), "hour": F.lit("10")}
+    land(lines.select(*LANDED_LINE).withColumns(slice_of), root, "transaction", "b0")
+    people = _clean_customers(spark, sf).withColumns(slice_of | {"key": F.lit("customer")})
+    land(people, root, "customer", "b0")
+
+
+def _landed_products(spark: SparkSession, sf: str, root: str, date: str) -> None:
+    slice_of = {"date": F.lit(date), "hour": F.lit("00"), "key": F.lit("product")}
+    land(_clean_products(spark, sf).withColumns(slice_of), root, "product", "b0")
+
+
+def curated_missing_input(spark: SparkSession, sf: str) -> DataFrame:
+    """A run against folders that do not exist fails, and the curated slice stays as it was."""
+    root = scratch_dir(spark, "missing")
+    _landed_products(spark, sf, root, "2020-01-01")
+    _landed_day(spark, sf, root, feeds.lines(spark, sf), "2020-01-01")
+    curate_slice(spark, root, f"{root}/curated", "2020-01-01", "10")
+    for tables, hour in ((f"{root}/nowhere", "10"), (root, "11")):
+        try:
+            curate_slice(spark, tables, f"{root}/curated", "2020-01-01", hour)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            raise AssertionError("a run without input went through")
+    return read_curated(spark, f"{root}/curated")
+
+
+def curated_second_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Products land on the first day only; lines of the second day find them in a snapshot."""
+    root = scratch_dir(spark, "days")
+    lines = feeds.lines(spark, sf)
+    odd = F.col("transaction_id").cast("bigint") % 2 == 1
+    _landed_products(spark, sf, root, "2020-01-01")
+    for date, part in (("2020-01-01", lines.where(odd)), ("2020-01-02", lines.where(~odd))):
+        _landed_day(spark, sf, root, part, date)
+        curate_slice(
+            spark, root, f"{root}/curated", date, "10", snapshots=f"{root}/snapshots"
+        )
+        write_snapshot(spark, root, f"{root}/snapshots", "product", date, "10")
+    return read_curated(spark, f"{root}/curated")
+
+
+def curated_erased_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers land unmasked, their requests after them; curating masks them, once."""
+    root = scratch_dir(spark, "late")
+    _landed_products(spark, sf, root, "2020-01-01")
+    slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
+    land(
+        feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(slice_of), root, "transaction", "b0"
+    )
+    requests = customer.erasure_requests(feeds.erasures(spark, sf))
+    early = F.col("customer_id").cast("bigint") % 4 == 3  # these are masked when they land
+    people = customer.erase_customers(
+        customer.known_customers(feeds.customers(spark, sf)), requests.where(early), mark=True
+    )
+    land(people.withColumns(slice_of | {"key": F.lit("customer")}), root, "customer", "b0")
+    asked = feeds.erasures(spark, sf).withColumns(
+        {"date": F.lit("2020-01-01"), "hour": F.lit("00"), "key": F.lit("erasure")}
+    )
+    land(asked, root, "erasure", "b0")
+    curate_slice(spark, root, f"{root}/curated", "2020-01-01", "10")
+    return read_curated(spark, f"{root}/curated")
+
+
+def landed_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines landed by many small batches, copied into few files."""
+    root = scratch_dir(spark, "compacted")
+    rows = feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(
+        {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
+    )
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(4))
+    for batch in range(4):
+        land(rows.where(part == batch), root, "transaction", f"b{batch}", target_files=3)
+    compact_slice(spark, root, f"{root}/compacted", "transaction", "2020-01-01", "10")
+    return read_landed(spark, f"{root}/compacted", "transaction").select(*LANDED_LINE)
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
@@ -328,14 +449,17 @@ def stream_product_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_event_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    """Events arriving in three spans of time, every one twice, unique within the watermark."""
+    """Events arriving in three spans of time, every one twice, unique within the watermark.
+
+    Events without a time come first, when there is no watermark yet that they could miss.
+    """
     root = scratch_dir(spark, "events")
     source = feeds.table(spark, sf, "events")
     first, last = source.agg(F.min("ts"), F.max("ts")).first()
     third = (last - first) / 3
     cuts = [F.lit(str(first + i * third)).cast("timestamp_ntz") for i in (1, 2)]
     ts = F.col("ts")
-    spans = [ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]
+    spans = [F.coalesce(ts < cuts[0], F.lit(True)), (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]
     for span in spans:
         events = source.where(span).withColumn("ts", ts.cast("timestamp"))
         events.unionByName(events).write.mode("append").parquet(f"{root}/in")
@@ -416,6 +540,8 @@ QUERIES = {
         customer_latest,
         customer_latest_until,
         erasure_land,
+        erasure_rejected,
+        line_rejected,
         feed_quality,
         basket_running_total,
         basket_running_total_by_day,
@@ -425,6 +551,10 @@ QUERIES = {
         curated_running_by_day,
         curated_per_transaction,
         curated_slice_rewrite,
+        curated_missing_input,
+        curated_second_day,
+        curated_erased_late,
+        landed_compacted,
         stream_product_dedup,
         stream_event_dedup_watermark,
         stream_transaction_land,

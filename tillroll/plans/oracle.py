@@ -61,7 +61,25 @@ FEED_SQL = {
 }
 
 
-def with_feeds(body: str, *names: str) -> str:
+# Raw records that break rules, and what is left of them.
+BAD_SQL = """
+bad_erasure as (
+  select cast(null as varchar) as customer_id, cast(null as varchar) as email, 'corrupt' as reason
+  from customer where c_custkey % 50 = 4
+  union all
+  select null, 'c' || cast(c_custkey as varchar) || '@example.com', 'customer-id'
+  from customer where c_custkey % 50 = 5),
+bad_record as (
+  select transaction_id, case when sku::bigint % 41 <> 0 then sku end as sku,
+    case when sku::bigint % 43 = 0 then 'abc' else cast(total as varchar) end as total,
+    case when transaction_id::bigint % 47 = 0 then 'n/a' else cast(total_cost as varchar) end
+      as total_cost,
+    case when transaction_id::bigint % 53 = 0 then 'products'
+         when transaction_id::bigint % 59 = 0 then 'corrupt' end as reason
+  from feed_line)"""
+
+
+def with_feeds(body: str, *names: str, extra: str = "") -> str:
     """The statement with the named feeds, and those they rest on, as common tables."""
     needs = {
         "product_clean": ["feed_product"],
@@ -71,7 +89,7 @@ def with_feeds(body: str, *names: str) -> str:
     }
     wanted = {n for name in names for n in (name, *needs.get(name, []))}
     tables = ",\n".join(f"{n} as ({FEED_SQL[n]})" for n in FEED_SQL if n in wanted)
-    return f"with {tables}\n{body}"
+    return f"with {tables}{',' if extra else ''}{extra}\n{body}"
 
 
 LINE = "transaction_id, customer_id, sku, quanitity, total, total_cost"
@@ -107,40 +125,6 @@ where t.total_price = t.total_cost""",
     )
 
 
-def murmur3(text: str) -> str:
-    """32-bit Murmur3 of ASCII text with seed 42, as text; Spark mixes trailing bytes singly."""
-    mask = "4294967295::ubigint"
-
-    def rotated(x: str, by: int) -> str:
-        return f"(((({x}) << {by}) | (({x}) >> {32 - by})) & {mask})"
-
-    byte = f"unicode(substr({text}, i::bigint, 1))::ubigint"
-    blocks = f"length({text}) // 4"
-    words = (
-        f"list_transform(range(0, {blocks}), lambda b: list_sum(list_transform(range(1, 5), "
-        f"lambda j: unicode(substr({text}, 4 * b + j, 1)) * (1 << (8 * (j - 1)))))::ubigint)"
-    )
-    tail = f"list_transform(range(4 * ({blocks}) + 1, length({text}) + 1), lambda i: {byte})"
-    k = f"(k * 3432918353::ubigint) & {mask}"
-    mixed_in = f"({rotated('xor(h, k)', 13)} * 5 + 3864292196) & {mask}"
-    mixed = (
-        f"list_transform(list_concat({words}, {tail}), "
-        f"lambda k: ({rotated(k, 15)} * 461845907::ubigint) & {mask})"
-    )
-    h = f"(list_reduce({mixed}, lambda h, k: {mixed_in}, 42::ubigint))"
-    steps = [
-        f"xor(h, length({text})::ubigint)",
-        f"(xor(h, h >> 16) * 2246822507::ubigint) & {mask}",
-        f"(xor(h, h >> 13) * 3266489909::ubigint) & {mask}",
-        "xor(h, h >> 16)",
-    ]
-    for step in steps:
-        h = f"list_transform([{h}], lambda h: {step})[1]"
-    signed = "case when v > 2147483647 then v - 4294967296 else v end"
-    number = f"list_transform([({h})::bigint], lambda v: {signed})[1]"
-    return f"(case when {text} is null then '42' else cast({number} as varchar) end)"
-
-
 DAY = ", strftime(o_orderdate, '%Y-%m-%d') as day"
 QUARTER = (
     ", strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') as date"
@@ -206,10 +190,8 @@ from customer_known c left join (
         "customer_known",
     ),
     "customer_erased_murmur3": with_feeds(
-        f"""select c.* replace (
-  case when e.customer_id is null then c.email else {murmur3("c.email")} end as email,
-  case when e.customer_id is null then c.phone_number else {murmur3("c.phone_number")} end
-    as phone_number)
+        """select c.*, e.customer_id is not null as masked,
+  e.customer_id is not null and c.phone_number is null as null_is_42
 from customer_known c left join (
   select distinct customer_id from feed_erasure where customer_id is not null) e
   on c.id = e.customer_id""",
@@ -225,17 +207,37 @@ qualify row_number() over (partition by id order by last_change desc) = 1""",
     ),
     "erasure_land": with_feeds("select customer_id, email from feed_erasure", "feed_erasure"),
     "feed_quality": with_feeds(
-        """select 'erasure' as feed, count(*) as records, cast(0 as bigint) as rejected
+        f"""select feed, sum(records)::bigint as records, sum(rejected)::bigint as rejected from (
+select 'erasure' as feed, count(*) as records, count(*) filter (customer_id is null) as rejected
 from feed_erasure
+union all select 'erasure', count(*), count(*) from bad_erasure
 union all select 'product', count(*), count(*) filter (where not coalesce(
   try_cast(popularity as float) > 0 and try_cast(price as double) >= 0, false))
 from feed_product
 union all select 'customer', count(*), count(*) filter (where id is null) from feed_customer
-union all select 'transaction', count(*), 0 from feed_line""",
+union all select 'transaction', sum(ceil(n / 16.0)), 0 from (
+  select count(*) as n from feed_line group by transaction_id)
+union all select 'transaction', count(*), count(reason) from bad_record) group by feed""",
         "feed_erasure",
         "feed_product",
         "feed_customer",
         "feed_line",
+        extra=BAD_SQL,
+    ),
+    "erasure_rejected": with_feeds(
+        """select customer_id, email, 'customer-id' as reason from feed_erasure
+where customer_id is null union all select customer_id, email, reason from bad_erasure""",
+        "feed_erasure",
+        "feed_line",
+        extra=BAD_SQL,
+    ),
+    "line_rejected": with_feeds(
+        """select transaction_id, sku, total, total_cost, case when sku is null then 'sku'
+  when try_cast(total as decimal(30,2)) is null then 'total' else 'total_cost' end as reason
+from bad_record where reason is null and (sku is null
+  or try_cast(total as decimal(30,2)) is null or try_cast(total_cost as decimal(30,2)) is null)""",
+        "feed_line",
+        extra=BAD_SQL,
     ),
     "basket_running_total": with_feeds(
         f"select {LINE}, {running('customer_id')} as total_price from feed_line", "feed_line"
@@ -263,6 +265,22 @@ from feed_line t join product_clean p on t.sku = p.sku""",
         ", t.date, t.hour, strftime(cast(t.date as date), '%Y') as year"
         ", strftime(cast(t.date as date), '%B') as month",
     ),
+    "curated_missing_input": curated(
+        running("customer_id"),
+        "",
+        ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
+    ),
+    "curated_second_day": curated(
+        running("date, customer_id"),
+        ", case when transaction_id::bigint % 2 = 1 then '2020-01-01' else '2020-01-02' end as date",
+        ", '2020' as year, 'January' as month, t.date, '10' as hour",
+    ),
+    "curated_erased_late": curated(
+        running("customer_id"),
+        "",
+        ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
+    ),
+    "landed_compacted": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
     "stream_product_dedup": with_feeds(PRODUCTS, "product_clean"),
     "stream_event_dedup_watermark": "select * from events",
     "stream_transaction_land": with_feeds(

@@ -85,6 +85,41 @@ def erasures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.select(_text("c_custkey").alias("customer-id"), _email()).unionByName(blank)
 
 
+def bad_erasures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw requests that name no customer: some no JSON, some with a misspelt field."""
+    people = table(spark, sf_dir, "customer")
+    broken = people.where(_every("c_custkey", 50, 4)).select(
+        F.concat(F.lit("no request of "), _text("c_custkey")).alias("value")
+    )
+    misspelt = people.where(_every("c_custkey", 50, 5)).select(
+        F.to_json(F.struct(_text("c_custkey").alias("customer_id"), _email())).alias("value")
+    )
+    return broken.unionByName(misspelt)
+
+
+def bad_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transactions of one line each: no sku, amounts that are none, no line, no JSON."""
+    line = lines(spark, sf_dir)
+    key = F.col("transaction_id").cast("bigint")
+    sku = F.when(F.col("sku").cast("bigint") % 41 != 0, F.col("sku"))
+    total = F.when(F.col("sku").cast("bigint") % 43 == 0, "abc").otherwise(_text("total"))
+    cost = F.when(key % 47 == 0, "n/a").otherwise(_text("total_cost"))
+    product = F.array(F.struct(sku.alias("sku"), "quanitity", "price", total.alias("total")))
+    record = F.to_json(
+        F.struct(
+            "transaction_id", "transaction_time", "customer_id",
+            F.struct(product.alias("products"), cost.alias("total_cost")).alias("purchases"),
+        )
+    )
+    empty = F.to_json(
+        F.struct(
+            "transaction_id", F.struct(F.slice(product, 1, 0).alias("products")).alias("purchases")
+        )
+    )
+    text = F.when(key % 53 == 0, empty).when(key % 59 == 0, F.concat(F.lit("{"), record))
+    return line.select(text.otherwise(record).alias("value"))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction lines as landed, with ``o_orderdate``, the basket's line count and a row number.
 
