@@ -525,6 +525,20 @@ def test_requests_in_the_log_come_before_live_customers(spark, log, landing):
     assert landed(spark, landing, "customer", "id", "masked") == [("1", True), ("2", False)]
 
 
+def test_requests_of_a_snapshot_and_after_it_are_honoured(spark, log, landing, tmp_path):
+    from tillroll.plans.snapshot import write_snapshot
+
+    to = Landing(**{**landing.__dict__, "snapshots": f"{tmp_path}/snapshots"})
+    log.publish(ERASURE, {"customer-id": "1"})
+    land_erasures(log.read(ERASURE), to).awaitTermination()
+    write_snapshot(spark, to.tables, to.snapshots, "erasure", "2020-01-01", "10")
+    log.publish(ERASURE, {"customer-id": "2"}, at="2020-01-02 10:30:00")
+    land_erasures(log.read(ERASURE), to).awaitTermination()
+    log.publish(CUSTOMER, person("1"), person("2"), person("3"))
+    land_customers(log.read(CUSTOMER), to).awaitTermination()
+    assert landed(spark, to, "customer", "id", "masked") == [("1", True), ("2", True), ("3", False)]
+
+
 def test_a_late_micro_batch_still_publishes(spark, tmp_path):
     from tillroll.operators.records import routed
     from tillroll.sinks.log import as_log, write_log_files

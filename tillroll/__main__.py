@@ -84,6 +84,7 @@ def _arguments() -> argparse.ArgumentParser:
     land.add_argument("--envelope", default="json", choices=["json", "regex"])
     land.add_argument("--dedup", default="forever", choices=["forever", "within_watermark"])
     land.add_argument("--watermark", default="10 minutes")
+    land.add_argument("--snapshots", help="read erasure requests from the last snapshot there on")
     land.add_argument("--files", type=int, help="files per micro-batch and table")
     for job in (land, curate):
         job.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
@@ -153,6 +154,7 @@ def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
             mask=args.mask,
             mask_salt=_salt(spark, args.mask_salt),
             mask_columns=tuple(args.mask_columns),
+            snapshots=args.snapshots,
             target_files=dict.fromkeys(tables, args.files) if args.files else {},
         )
         wait(spark, start_landing(log.open, to).values(), args.once, print)
