@@ -30,7 +30,7 @@ from tillroll.llm.tables import keyed_texts, text_bytes, text_rows
 from tillroll.operators.lookup import lookup_join
 
 GRAM = 3
-LEAST_SCORE = 0.6
+LEAST_SCORE = 0.45
 BLOCK_BYTES = 16 * 1024 * 1024
 MATCH, MISMATCH, GAP = 2, -1, -1
 SLACK = 0.5  # of an item's length, how far a passage may stray from its seeds' diagonal

@@ -156,15 +156,23 @@ def _common_neighbours(points: np.ndarray, places: np.ndarray, labels: np.ndarra
     """For a radius of 2: fingerprints at most 2 bits apart share one at most 1 bit from both.
 
     Linear in the number of points, however close they lie. For points too dense to be parted.
+    Keys are worked off in classes, so that memory stays that of some ten thousand points.
     """
     own = points[places]
     flips = np.append(np.uint64(1) << np.arange(64, dtype=np.uint64), np.uint64(0))
-    keys = (own[:, None] ^ flips[None, :]).ravel()
-    owner = np.repeat(places, len(flips))
-    order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
-    same = np.flatnonzero(keys[1:] == keys[:-1])
-    return _joined(labels, owner[same], owner[same + 1])
+    classes = np.uint64(1 + len(own) // 32768)
+    for c in range(int(classes)):
+        found = []
+        for flip in flips:
+            keys = own ^ flip
+            at = np.flatnonzero(keys % classes == np.uint64(c))
+            found.append((keys[at], places[at]))
+        keys, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        same = np.flatnonzero(keys[1:] == keys[:-1])
+        labels = _joined(labels, owner[same], owner[same + 1])
+    return labels
 
 
 def search(points: np.ndarray, radius: int, leaf_rows: int) -> np.ndarray:
