@@ -28,9 +28,9 @@ _BYTE_LEVEL = (
 )
 _WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORDS = regex.compile(_WORD_LEVEL)
-#: Where a word-level text has more to cut than letters from single marks.
-_CLOSE_MARKS = re.compile(r"[0-9'_²³¹¼-¾]|[^\w\s]{2}")
-_MARK = re.compile(r"([^\w\s])")
+#: The same without digits, other numbers and apostrophes: what is left is letters, marks and space.
+_NO_LETTERS_OR_MARKS = re.compile(r"[^\t\n\r\x20-&(-/:-~\xa1-±´-¸º»¿-ɏ]")
+_MARKS = re.compile(r"([^\s" + "a-zªµºß-öø-ɏ" + "]+)")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -104,20 +104,17 @@ class Encoder:
         ]
 
     def _one(self, text: str) -> bytes:
-        if (
-            self.kind is None
-            or _UNUSUAL.search(text)
-            or any(mark in text for mark in self.special)
-        ):
+        plain = self.kind == "words" and not _NO_LETTERS_OR_MARKS.search(text)
+        if not plain and (self.kind is None or _UNUSUAL.search(text)):
+            return self.whole([text])[0]
+        if any(mark in text for mark in self.special):
             return self.whole([text])[0]
         if self.kind == "words":
             # Each piece is followed by one space.
             text = text.lower()
-            if _CLOSE_MARKS.search(text):
-                pieces = _WORDS.findall(text)
-            else:
-                pieces = _MARK.sub(r" \1 ", text).split()
-            text = " ".join([*pieces, ""])
+            pieces = _MARKS.sub(r" \1 ", text).split() if plain else _WORDS.findall(text)
+            pieces.append("")
+            text = " ".join(pieces)
         return self.ids[self.fast.encode_to_numpy(text, disallowed_special=())].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
