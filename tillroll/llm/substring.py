@@ -39,6 +39,7 @@ from tillroll.operators.lookup import lookup_join
 WINDOW = 50
 MINIMISER = 8
 FLUSH_BYTES = 24 * 1024 * 1024
+LEVEL = 3
 GROWTH = 3.2  # bytes of super-k-mers per byte of text, to plan buckets with
 
 
@@ -105,6 +106,7 @@ class _Outgoing:
                     np.ascontiguousarray(at[:, 1]),
                     at[:, 2].astype(np.int32),
                     b"".join([strings[i] for i in own]),
+                    level=LEVEL,
                 )
             )
         self.met, self.size = {}, 0
