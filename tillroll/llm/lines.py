@@ -282,6 +282,23 @@ def node_of(line: bytes) -> str:
     return xxhash.xxh3_128_hexdigest(line)
 
 
+def _close_pairs(lines: list[bytes], entries: int, max_edits: int):
+    """Pairs of places, the first among the ``entries`` that come first, that may be close enough.
+
+    An edit changes how often bytes occur by two at most, which tells most other pairs apart.
+    """
+    few = len(lines) <= 16
+    counts = None if few else np.array(
+        [np.bincount(np.frombuffer(x, np.uint8) & 63, minlength=64) for x in lines], np.int32
+    )
+    for at in range(entries):
+        if few:
+            yield from ((at, to) for to in range(at + 1, len(lines)))
+        else:
+            apart = np.abs(counts[at + 1 :] - counts[at]).sum(axis=1)
+            yield from ((at, at + 1 + int(k)) for k in np.flatnonzero(apart <= 2 * max_edits))
+
+
 def _check(max_edits: int):
     """Links that span the lines of each group (or pair of blocks of one) within ``max_edits``."""
 
@@ -305,22 +322,20 @@ def _check(max_edits: int):
                 return t
 
             apart = blocks[0][x] != blocks[1][x]
-            for at, r in enumerate(members):
-                if probes[r]:
-                    break
-                for s in members[at + 1 :]:
-                    if apart and blocks[2][r] == blocks[2][s]:
-                        continue  # checked within their own block
-                    a, b = texts[r], texts[s]
-                    if a == b or find(a) == find(b):
-                        continue
-                    pair = (a, b) if a < b else (b, a)
-                    if pair in tried:
-                        continue
-                    tried.add(pair)
-                    if within_edits(a, b, max_edits):
-                        root[find(b)] = find(a)
-                        links[node_of(a), node_of(b)] = None
+            own = [texts[r] for r in members]
+            for at, to in _close_pairs(own, sum(not probes[r] for r in members), max_edits):
+                if apart and blocks[2][members[at]] == blocks[2][members[to]]:
+                    continue  # checked within their own block
+                a, b = own[at], own[to]
+                if a == b or find(a) == find(b):
+                    continue
+                pair = (a, b) if a < b else (b, a)
+                if pair in tried:
+                    continue
+                tried.add(pair)
+                if within_edits(a, b, max_edits):
+                    root[find(b)] = find(a)
+                    links[node_of(a), node_of(b)] = None
         return pa.table(
             [pa.array([k[i] for k in links], pa.string()) for i in (0, 1)], names=["a", "b"]
         )
