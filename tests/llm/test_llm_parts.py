@@ -249,6 +249,55 @@ def test_edited_copies_are_found_and_clean_texts_are_not(spark):
     assert found[0].score < 1 and found[0].first <= 82 and found[0].stop <= 82 + len(words) + 2
 
 
+@pytest.mark.parametrize("exact_elsewhere", [False, True])
+def test_changed_and_half_copies_have_seeds(spark, exact_elsewhere):
+    """No copy that scores enough is missed, however few of its words are left in a row."""
+    from tillroll.llm.tables import read_table
+
+    rng = random.Random(12)
+    bench = read_table(spark, "/root/testdata/sf0.01", "benchmark").orderBy("item_id").limit(30)
+    items = {r.item_id: r.text.split() for r in bench.collect()}
+    new = lambda: "".join(rng.choices("lmnop", k=9))
+    noise = lambda: [new() for _ in range(40)]
+    texts = []
+    for words in items.values():
+        n = len(words)
+        for share in (0.1, 0.2, 0.3):
+            changed = set(rng.sample(range(n), round(share * n)))
+            texts.append([new() if i in changed else w for i, w in enumerate(words)])
+        texts.append([new() if i % 3 == 2 else w for i, w in enumerate(words)])
+        texts.append([x for i, w in enumerate(words) for x in ([w, new()] if i % 2 else [w])])
+        texts += [words[: n // 2], words[n // 2 :]]
+        if exact_elsewhere:
+            texts.append(words)
+    rows = [(i, " ".join(noise() + t + noise())) for i, t in enumerate(texts)]
+    found = contamination.find_contamination(make_documents(spark, *rows), bench).collect()
+
+    def hashed(text):
+        joined, starts, ends = contamination._words(text.encode())
+        return Slices(joined).hashes(starts, ends)
+
+    targets = {i: hashed(" ".join(words)) for i, words in items.items()}
+    want = set()
+    for doc_id, text in rows:
+        own = hashed(text)
+        for item_id, target in targets.items():
+            score = contamination.align(target, own)[0] / (2 * len(target))
+            if score >= contamination.LEAST_SCORE:
+                want.add((doc_id, item_id, round(score, 9)))
+    assert want <= {(r.doc_id, r.item_id, round(r.score, 9)) for r in found}
+    assert {w[:2] for w in want} == {(r.doc_id, r.item_id) for r in found}
+
+
+def test_copies_in_one_document_are_told_apart(spark):
+    words = [f"word{i}" for i in range(30)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    text = ["x"] * 5 + words + ["y"] * 3 + words[:20] + ["z"] * 5
+    found = contamination.find_contamination(make_documents(spark, (1, " ".join(text))), bench)
+    got = sorted((r.first, r.stop, round(r.score, 3)) for r in found.collect())
+    assert got == [(5, 35, 1.0), (38, 58, 0.667)]
+
+
 def test_learned_rules(spark):
     """Two kinds of bad text; the rules find both and leave good ones alone."""
     rng = random.Random(11)

@@ -1,9 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment.
 
-First pass: in how many documents each n-gram of the test items occurs, over the whole corpus. The
-rarer half of an item's n-grams, by that count, are its seeds. Second pass: where a document holds
-seeds of an item on about one diagonal, the passage around them is aligned with the item by
-Smith-Waterman over words, so copies with words changed, dropped or added score too.
+A seed is two words of an item that are neighbours or have one word between them; a document holds it
+where the two words are neighbours or have one word between them. Where an alignment has m matches and
+e edits, at least m - 1 - e / 2 neighbouring matches have one edit or none between them, and those are
+seeds. A score of ``least_score`` thus takes at least least_score * n - 1 seeds of an item of n words,
+whichever words were changed, dropped or added, on diagonals at most 2 * n * (1 - least_score) apart.
+
+First pass: in how many documents each seed occurs, over the whole corpus. Seeds in more than ``COMMON``
+of all documents are left out, the most common first and never more than half of those any alignment
+must have. Second pass: where a document holds enough of an item's seeds on near diagonals, the
+passage around them is aligned with the item by Smith-Waterman over words. No passage that scores
+``least_score`` is missed: the result is that of aligning every document with every item.
 
 Test items are taken in blocks of at most ``BLOCK_BYTES`` of text, which is what a task is sent; a
 larger benchmark takes more blocks, each read against the whole corpus. Nothing else is broadcast,
@@ -25,15 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.rolling import Slices, words_of
+from tillroll.llm.rolling import BASE, Slices, words_of
 from tillroll.llm.tables import keyed_texts, text_bytes, text_rows
 from tillroll.operators.lookup import lookup_join
 
-GRAM = 3
 LEAST_SCORE = 0.45
 BLOCK_BYTES = 16 * 1024 * 1024
 MATCH, MISMATCH, GAP = 2, -1, -1
-SLACK = 0.5  # of an item's length, how far a passage may stray from its seeds' diagonal
+COMMON = 0.01  # of all documents; a seed in more of them may be left out
 
 _TO_WORDS = bytes(
     c if c >= 128 or chr(c).isalnum() else 32 for c in bytes(range(256)).lower()
@@ -44,67 +50,77 @@ def _words(raw: bytes):
     return words_of(raw.translate(_TO_WORDS))
 
 
-def _grams(joined: bytes, starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each word on; of all words where there are fewer."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    n = min(n, len(starts))
-    return Slices(joined).hashes(starts[: len(starts) - n + 1], ends[n - 1 :])
+def _seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of each two words that are neighbours or have one word between them."""
+    n = len(words)
+    if n == 1:
+        return words, np.zeros(1, np.int64)
+    first = words * BASE
+    return (
+        np.concatenate((first[:-1] + words[1:], first[:-2] + words[2:])),
+        np.concatenate((np.arange(n - 1), np.arange(n - 2))),
+    )
 
 
 class Items:
-    """A block of test items: their words, and which n-grams they have where."""
+    """A block of test items: their words, and which seeds they have where."""
 
-    def __init__(self, items: list[tuple[int, bytes]], gram: int):
-        self.ids, self.words, grams, owners, places = [], [], [], [], []
+    def __init__(self, items: list[tuple[int, bytes]], least_score: float):
+        self.ids, self.words, seeds, owners, places = [], [], [], [], []
         for item_id, raw in items:
             joined, starts, ends = _words(raw)
             if not len(starts):
                 continue
-            h = _grams(joined, starts, ends, gram)
+            words = Slices(joined).hashes(starts, ends)
+            h, at = _seeds(words)
             owners.append(np.full(len(h), len(self.ids)))
-            grams.append(h)
-            places.append(np.arange(len(h)))
+            seeds.append(h)
+            places.append(at)
             self.ids.append(item_id)
-            self.words.append(Slices(joined).hashes(starts, ends))
-        self.gram = gram
+            self.words.append(words)
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        # A little is taken off before rounding up, as the product may lie just above a whole number.
+        must = np.ceil(least_score * sizes - 1e-9).astype(np.int64) - 1
+        self.need = np.maximum(must, 1)
+        self.reach = np.ceil(2 * (1 - least_score) * sizes).astype(np.int64) + 1
         none = np.zeros(0, np.int64)
         self._take(
-            np.concatenate(grams) if grams else none.astype(np.uint64),
+            np.concatenate(seeds) if seeds else none.astype(np.uint64),
             np.concatenate(owners) if owners else none,
             np.concatenate(places) if places else none,
         )
 
-    def _take(self, grams, owners, places) -> None:
-        order = np.argsort(grams, kind="stable")
-        self.grams, self.owners, self.places = grams[order], owners[order], places[order]
-        self.known, self.first = np.unique(self.grams, return_index=True)
-        self.stop = np.append(self.first[1:], len(self.grams))
+    def _take(self, seeds, owners, places) -> None:
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.owners, self.places = seeds[order], owners[order], places[order]
+        self.known, self.first = np.unique(self.seeds, return_index=True)
+        self.stop = np.append(self.first[1:], len(self.seeds))
         # A bit per hash prefix tells most words of a text apart from any seed at once.
         self.bits = max(16, int(len(self.known)).bit_length() + 6)
         self.maybe = np.zeros(1 << self.bits, bool)
         self.maybe[(self.known >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``grams`` that are known, and which they are."""
-        at = np.flatnonzero(self.maybe[(grams >> np.uint64(64 - self.bits)).astype(np.int64)])
+    def hits(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``seeds`` that are known, and which they are."""
+        at = np.flatnonzero(self.maybe[(seeds >> np.uint64(64 - self.bits)).astype(np.int64)])
         if not len(at) or not len(self.known):
             return at[:0], at[:0]
-        which = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
-        real = self.known[which] == grams[at]
+        which = np.minimum(np.searchsorted(self.known, seeds[at]), len(self.known) - 1)
+        real = self.known[which] == seeds[at]
         return at[real], which[real]
 
-    def only_rare(self, counts: np.ndarray) -> None:
-        """Keep each item's rarer half of n-grams by ``counts`` per known n-gram."""
-        if not len(self.grams):
+    def only_rare(self, counts: np.ndarray, n_docs: int) -> None:
+        """Leave out common seeds by ``counts`` per known seed, and those that occur nowhere."""
+        if not len(self.seeds):
             return
-        seen = counts[np.searchsorted(self.known, self.grams)]
-        ranked = np.lexsort((self.places, seen, self.owners))
+        seen = counts[np.searchsorted(self.known, self.seeds)]
+        ranked = np.lexsort((self.places, -seen, self.owners))
         owner = self.owners[ranked]
-        begin = np.searchsorted(owner, owner)
-        size = np.searchsorted(owner, owner, side="right") - begin
-        rare = ranked[np.arange(len(ranked)) - begin < (size + 1) // 2]
-        self._take(self.grams[rare], self.owners[rare], self.places[rare])
+        place = np.arange(len(ranked)) - np.searchsorted(owner, owner)
+        left_out = (place < self.need[owner] // 2) & (seen[ranked] > COMMON * n_docs)
+        self.need = self.need - np.bincount(owner[left_out], minlength=len(self.need))
+        kept = ranked[~left_out & (seen[ranked] > 0)]
+        self._take(self.seeds[kept], self.owners[kept], self.places[kept])
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -124,11 +140,55 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _clusters(at: np.ndarray, diagonal: np.ndarray, reach: int) -> list[tuple[int, int]]:
-    """(least, greatest) diagonal of hits that may belong to one copy, by gaps over ``reach``."""
-    ranked = np.sort(diagonal)
-    cuts = np.flatnonzero(np.diff(ranked) > reach) + 1
-    return [(int(p[0]), int(p[-1])) for p in np.split(ranked, cuts)]
+def _passages(words: np.ndarray, items: Items):
+    """(item, begin, stop) of the parts of a document that hold enough of an item's seeds."""
+    seeds, first = _seeds(words)
+    at, which = items.hits(seeds)
+    if not len(at):
+        return
+    sizes = items.stop[which] - items.first[which]
+    places = np.repeat(first[at], sizes)
+    steps = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    entry = np.repeat(items.first[which], sizes) + steps
+    owner, diagonal = items.owners[entry], places - items.places[entry]
+    # Owner and diagonal as one number, owners farther apart than any diagonals of one may be.
+    low = int(diagonal.min())
+    span = int(diagonal.max()) - low + 1 + int(items.reach.max())
+    ranked = np.sort(owner * span + (diagonal - low))
+    owner = ranked // span
+    until = np.searchsorted(ranked, ranked + items.reach[owner], side="right")
+    dense = np.flatnonzero(until - np.arange(len(ranked)) >= items.need[owner])
+    if not len(dense):
+        return
+    item, begin, stop = -1, 0, 0
+    for i in dense.tolist():
+        own = int(owner[i])
+        size, reach = len(items.words[own]), int(items.reach[own])
+        a = max(0, int(ranked[i]) - own * span + low - reach)
+        b = min(len(words), int(ranked[until[i] - 1]) - own * span + low + size + reach)
+        if own == item and a < stop:
+            stop = max(stop, b)
+            continue
+        if item >= 0:
+            yield item, begin, stop
+        item, begin, stop = own, a, b
+    yield item, begin, stop
+
+
+def _copies(target: np.ndarray, words: np.ndarray, begin: int, stop: int, least: float):
+    """(score, first, stop) of the copies of an item in [begin, stop), the best first."""
+    parts = [(begin, stop)]
+    while parts:
+        a, b = parts.pop()
+        if MATCH * (b - a) < least:
+            continue
+        score, end = align(target, words[a:b])
+        if score < least or not score:
+            continue
+        # The same alignment read backwards tells where it begins.
+        _, back = align(target[::-1], words[a : a + end][::-1])
+        yield score, a + end - back, a + end
+        parts += [(a, a + end - back), (a + end, b)]
 
 
 def _matches(raw: bytes, items: Items, least_score: float):
@@ -136,51 +196,45 @@ def _matches(raw: bytes, items: Items, least_score: float):
     joined, starts, ends = _words(raw)
     if not len(starts):
         return
-    grams = _grams(joined, starts, ends, items.gram)
-    at, which = items.hits(grams)
-    if not len(at):
-        return
-    sizes = items.stop[which] - items.first[which]
-    places = np.repeat(at, sizes)
-    steps = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    entry = np.repeat(items.first[which], sizes) + steps
-    owner, diagonal = items.owners[entry], places - items.places[entry]
     words = Slices(joined).hashes(starts, ends)
-    order = np.argsort(owner, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-        item = int(owner[part[0]])
+    for item, begin, stop in _passages(words, items):
         target = items.words[item]
-        slack = 2 + int(len(target) * SLACK)
-        for low, high in _clusters(places[part], diagonal[part], slack):
-            begin = max(0, low - slack)
-            passage = words[begin : high + len(target) + slack]
-            score, end = align(target, passage)
-            if score >= least_score * MATCH * len(target):
-                first = max(begin, begin + end - len(target) - slack)
-                yield items.ids[item], score / (MATCH * len(target)), first, begin + end
+        top = MATCH * len(target)
+        for score, first, end in _copies(target, words, begin, stop, least_score * top):
+            yield items.ids[item], score / top, first, end
 
 
 MATCHES = "doc_id bigint, item_id bigint, score double, first int, stop int"
 
 
-def _counted(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each known n-gram occurs; as many rows come back as there are grams."""
+def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """In how many documents each known seed occurs, and how many there are.
+
+    As many rows come back as there are seeds.
+    """
 
     def run(batches):
-        counts = np.zeros(len(items.known), np.int64)
+        counts, n_docs = np.zeros(len(items.known), np.int64), 0
         for _, raw in text_rows(batches):
-            _, which = items.hits(_grams(*_words(raw), items.gram))
-            counts[np.unique(which)] += 1
+            n_docs += 1
+            joined, starts, ends = _words(raw)
+            if len(starts):
+                _, which = items.hits(_seeds(Slices(joined).hashes(starts, ends))[0])
+                counts[np.unique(which)] += 1
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["gram", "n"]
-        )
+            [pa.array([-1, *seen.tolist()], pa.int64()),
+             pa.array([n_docs, *counts[seen].tolist()], pa.int64())], names=["seed", "n"],
+        )
 
-    found = keyed_texts(docs).mapInArrow(run, "gram bigint, n bigint")
-    out = np.zeros(len(items.known), np.int64)
-    for r in found.groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        out[r["gram"]] = r["n"]
-    return out
+    found = keyed_texts(docs).mapInArrow(run, "seed bigint, n bigint")
+    out, n_docs = np.zeros(len(items.known), np.int64), 0
+    for r in found.groupBy("seed").agg(F.sum("n").alias("n")).collect():
+        if r["seed"] < 0:
+            n_docs = r["n"]
+        else:
+            out[r["seed"]] = r["n"]
+    return out, n_docs
 
 
 def _block_matches(docs: DataFrame, items: Items, least_score: float) -> DataFrame:
@@ -205,7 +259,6 @@ def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     *,
-    gram: int = GRAM,
     least_score: float = LEAST_SCORE,
 ) -> DataFrame:
     """Rows (doc_id, item_id, score, first, stop): passages [first, stop) of words that copy items.
@@ -223,8 +276,8 @@ def find_contamination(
     found = []
     for b in range(blocks):
         rows = numbered.where(F.col("block") == b).orderBy("item_id", "text").collect()
-        block = Items([(r["item_id"], bytes(r["text"])) for r in rows], gram)
-        block.only_rare(_counted(docs, block))
+        block = Items([(r["item_id"], bytes(r["text"])) for r in rows], least_score)
+        block.only_rare(*_counted(docs, block))
         found.append(_block_matches(docs, block, least_score))
     return reduce(DataFrame.unionByName, found)
 
