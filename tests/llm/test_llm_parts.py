@@ -1,6 +1,7 @@
 """Parts of the operators against plain versions, and their behaviour under skew."""
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -14,6 +15,7 @@ from tillroll.llm import catalogue, chunked_bpe, contamination, lines, pii, qual
 from tillroll.llm import sharding, simhash, substring
 from tillroll.llm.components import components
 from tillroll.llm.encoding import Decoder, Encoder
+from tillroll.llm.packed import unpack
 from tillroll.llm.rolling import Slices, words_of
 
 MESSY = st.text(alphabet="ab' \n\t\r.,AZ09é€😀́  \x1c\x85\x0bßİ", max_size=80)
@@ -201,6 +203,41 @@ def test_substring_of_small_windows(spark):
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want)
 
 
+def test_hot_passage_in_differing_surroundings(spark, monkeypatch):
+    """No bucket lays out a hot minimiser; the ranges are those of the plain version."""
+    rng = random.Random(13)
+    own = lambda n: " ".join("".join(rng.choices("abcdef", k=6)) for _ in range(n))
+    passage, copied = own(65), own(120)
+    rows = [(i, f"{own(60)} {passage} {own(60)}") for i in range(200)]
+    rows += [(200 + i, f"{own(55)} {passage[: rng.randint(280, 400)]} {own(50)}") for i in range(60)]
+    rows += [(300 + i, copied) for i in range(60)] + [(None, copied), (400, None)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(substring, "HOT", 20, raising=False)
+    count = substring._count
+
+    def bounded(window):
+        inner = count(window)
+
+        def run(table):
+            n = Counter()
+            for hashes, _, places, *_ in map(unpack, table.column("payload").to_pylist()):
+                for h, k in zip(hashes.tolist(), places.tolist(), strict=True):
+                    n[h] += k
+            assert max(n.values()) <= 30  # 20, and one for each of the tasks that count
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(substring, "_count", bounded)
+    docs = make_documents(spark, *rows).repartition(8)
+    got = substring.remove_repeats(docs)
+    names = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    key = lambda r: (r[0] is None, r)
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=key) == sorted(
+        brute.substring_rows(rows), key=key
+    )
+
+
 def test_alignment_against_a_plain_table():
     rng = random.Random(9)
     for _ in range(60):

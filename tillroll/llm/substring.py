@@ -5,8 +5,13 @@ words at any of its places. Consecutive windows that share it travel as one stri
 bucket of that hash, so equal windows meet, and words are sent about three times instead of fifty.
 A bucket lays its strings out by minimiser and counts windows by their very words.
 
-Hot passages: a task sends a string once with the list of places where it has met it, so a passage
-of a third of all documents arrives as one string per task and not per document.
+Hot passages: a task sends a string once with the list of places where it has met it, but at the edges
+of a passage each document's string reaches into its own words. Minimisers are therefore counted
+first, and those of more than ``HOT`` strings do not go to a bucket: their windows are told apart one by
+one, by a 128-bit BLAKE2 digest of their words. The least doc_id per digest is combined before its
+shuffle, and only digests of two documents or more are joined back, by a join that splits hot keys.
+A task counts ``COUNTED`` strings at a time and leaves out minimisers it met once among them, so a bucket
+gets at most ``HOT`` strings of a minimiser and one for each such count.
 
 A document is its doc_id. Rows that repeat are treated alike, as each row's words are compared with
 smaller ids only. A row without doc_id keeps all its words and removes none. A null or empty text
@@ -40,6 +45,8 @@ WINDOW = 50
 MINIMISER = 8
 FLUSH_BYTES = 24 * 1024 * 1024
 LEVEL = 3
+HOT = 10_000  # strings of one minimiser, wherever they lie, that one task may lay out
+COUNTED = 1_000_000
 GROWTH = 3.2  # bytes of super-k-mers per byte of text, to plan buckets with
 
 
@@ -53,20 +60,28 @@ def _least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[:-rest], least[rest:]) if rest else least
 
 
-def super_kmers(raw: bytes, window: int, minimiser: int):
-    """(minimiser's hash, first word, words) of every run of windows with one minimiser."""
+def _runs(raw: bytes, window: int, minimiser: int):
+    """Words, their starts and ends; minimiser's hash, first window and stop of each run of windows."""
     joined, starts, ends = words_of(raw)
     if len(starts) < window:
-        return
+        return None
     places = len(starts) - minimiser + 1
     hashes = Slices(joined).hashes(starts[:places], ends[minimiser - 1 :])
     least = _least_of(hashes, window - minimiser + 1)
     cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
     begins = np.concatenate(([0], cuts))
-    stops = np.append(cuts, len(least)) - 1 + window
+    return joined, starts, ends, least[begins], begins, np.append(cuts, len(least))
+
+
+def super_kmers(raw: bytes, window: int, minimiser: int):
+    """(minimiser's hash, first word, words) of every run of windows with one minimiser."""
+    found = _runs(raw, window, minimiser)
+    if found is None:
+        return
+    joined, starts, ends, least, begins, stops = found
     spans = zip(
-        least[begins].tolist(), begins.tolist(), starts[begins].tolist(),
-        ends[stops - 1].tolist(), strict=True,
+        least.tolist(), begins.tolist(), starts[begins].tolist(),
+        ends[stops - 2 + window].tolist(), strict=True,
     )
     for h, first, a, b in spans:
         yield h, first, joined[a:b]
@@ -113,17 +128,52 @@ class _Outgoing:
         return packed_batch(numbers, payloads)
 
 
-def _scan(window: int, minimiser: int, buckets: int):
+def _rows(batches):
+    """(doc_id, text hash, bytes) one by one."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 100):
+            columns = [c.to_pylist() for c in batch.slice(start, 100).columns]
+            yield from zip(*columns, strict=True)
+
+
+def _hot_minimisers(texts: DataFrame, window: int, minimiser: int, most: int) -> frozenset[int]:
+    """Hashes of the minimisers of more than ``most`` strings: at most one for so many strings in all."""
+
+    def counted(parts):
+        values, n = np.unique(np.concatenate(parts), return_counts=True)
+        often = n > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values[often].view(np.int64)), pa.array(n[often], pa.int64())],
+            names=["minimiser", "n"],
+        )
+
+    def run(batches):
+        parts, size = [], 0
+        for _, _, raw in _rows(batches):
+            found = _runs(raw, window, minimiser)
+            if found is not None:
+                parts.append(found[3])
+                size += len(found[3])
+            if size >= COUNTED:
+                yield counted(parts)
+                parts, size = [], 0
+        if parts:
+            yield counted(parts)
+
+    counts = texts.mapInArrow(run, "minimiser bigint, n bigint").groupBy("minimiser")
+    hot = counts.agg(F.sum("n").alias("n")).where(F.col("n") > most).collect()
+    return frozenset(r["minimiser"] % 2**64 for r in hot)
+
+
+def _scan(window: int, minimiser: int, buckets: int, hot: frozenset[int]):
     def run(batches):
         out = _Outgoing(buckets)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                columns = [c.to_pylist() for c in batch.slice(start, 100).columns]
-                for doc_id, text_hash, raw in zip(*columns, strict=True):
-                    for h, first, words in super_kmers(raw, window, minimiser):
-                        out.add(h, words, doc_id, text_hash, first)
-                    if out.size > FLUSH_BYTES:
-                        yield out.flush()
+        for doc_id, text_hash, raw in _rows(batches):
+            for h, first, words in super_kmers(raw, window, minimiser):
+                if h not in hot:
+                    out.add(h, words, doc_id, text_hash, first)
+            if out.size > FLUSH_BYTES:
+                yield out.flush()
         if out.met:
             yield out.flush()
 
@@ -201,10 +251,75 @@ def _count(window: int):
     return run
 
 
+HOT_WINDOWS = "digest binary, doc_id bigint, text_hash bigint, first int"
+
+
+def _hot_windows(window: int, minimiser: int, hot: frozenset[int]):
+    schema = pa.schema(
+        [("digest", pa.binary()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int32())]
+    )
+
+    def batch(rows):
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def run(batches):
+        rows, digests = [], {}
+        for doc_id, text_hash, raw in _rows(batches):
+            for h, first, words in super_kmers(raw, window, minimiser):
+                if h not in hot:
+                    continue
+                own = digests.get(words)
+                if own is None:
+                    if len(digests) >= 5000:
+                        digests.clear()
+                    own = [hashlib.blake2b(w, digest_size=16).digest() for w in _windows(words, window)]
+                    digests[words] = own
+                rows += [(d, doc_id, text_hash, first + i) for i, d in enumerate(own)]
+            if len(rows) > 20_000:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
+
+    return run
+
+
+def _as_runs(window: int):
+    """Windows of one document that overlap or touch, as far as a batch holds them, as one range."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            docs, texts, firsts = (c.to_numpy() for c in batch.columns)
+            order = np.lexsort((firsts, texts, docs))
+            docs, texts, firsts = docs[order], texts[order], firsts[order]
+            apart = (np.diff(firsts) > window) | (docs[1:] != docs[:-1]) | (texts[1:] != texts[:-1])
+            begins = np.concatenate(([0], np.flatnonzero(apart) + 1))
+            last = np.append(begins[1:], len(docs)) - 1
+            stops = (firsts[last] + window).astype(np.int32)
+            arrays = [pa.array(a) for a in (docs[begins], texts[begins], firsts[begins], stops)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", "first", "stop"])
+
+    return run
+
+
+def _hot_ranges(texts: DataFrame, window: int, minimiser: int, hot: frozenset[int]) -> DataFrame:
+    """Ranges to remove among the windows of hot minimisers."""
+    windows = texts.mapInArrow(_hot_windows(window, minimiser, hot), HOT_WINDOWS)
+    ids = windows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    shared = ids.where(F.col("least") < F.col("most")).select(F.col("digest").alias("d"), "least")
+    met = lookup_join(windows, shared, {"digest": "d"}).where(F.col("doc_id") > F.col("least"))
+    return met.select("doc_id", "text_hash", "first").mapInArrow(_as_runs(window), RANGES)
+
+
 def repeated_ranges(
     docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER
 ) -> DataFrame:
     """Ranges of words [first, stop) to remove, by ``doc_id`` and ``text_hash``; they may overlap."""
+    minimiser = min(minimiser, window)
     known = docs.where(F.col("doc_id").isNotNull())
     least = 4 * shuffle_partitions(docs)
     buckets = bucket_count(text_bytes(docs) * GROWTH, least)
@@ -213,8 +328,10 @@ def repeated_ranges(
         F.xxhash64(whole_text()).alias("text_hash"),
         whole_text().cast("binary").alias("text"),
     )
-    strings = texts.mapInArrow(_scan(window, min(minimiser, window), buckets), PACKED)
-    return strings.groupBy("bucket").applyInArrow(_count(window), RANGES)
+    hot = _hot_minimisers(texts, window, minimiser, HOT)
+    strings = texts.mapInArrow(_scan(window, minimiser, buckets, hot), PACKED)
+    ranges = strings.groupBy("bucket").applyInArrow(_count(window), RANGES)
+    return ranges.unionByName(_hot_ranges(texts, window, minimiser, hot)) if hot else ranges
 
 
 def _kept_words(raw: bytes, ranges: list) -> tuple[list[bytes], int]:
