@@ -1,6 +1,7 @@
 """Parts of the operators against plain versions, and their behaviour under skew."""
 
 import random
+import tempfile
 from collections import Counter
 
 import brute
@@ -61,6 +62,32 @@ def test_chunks_are_shared_by_texts_that_share_a_passage():
     assert "".join(c.decode() for c in chunked_bpe.chunks(emoji.encode())) == emoji
 
 
+def test_copies_of_one_text_are_joined_once(spark, tmp_path, monkeypatch):
+    """Every text that is joined leaves a file; copies of one text in many tasks leave one."""
+    text = " ".join(f"word{i}" for i in range(3000))
+    rows = [(i, text) for i in range(40)] + [(None, text), (50, "another"), (51, None)]
+    join = chunked_bpe._join_chunks
+
+    def counted(path, with_ids):
+        inner, folder = join(path, with_ids), str(tmp_path)
+
+        def run(table):
+            out = inner(table)
+            for n in out.column("n_tokens").to_pylist():
+                if n > 1000:
+                    tempfile.mkstemp(dir=folder)
+            return out
+
+        return run
+
+    monkeypatch.setattr(chunked_bpe, "_join_chunks", counted)
+    docs = make_documents(spark, *rows).repartition(5)
+    got = chunked_bpe.encode_decode(docs, catalogue.BYTE_BPE).drop("ids").collect()
+    want = brute.bpe_rows(rows)
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+    assert len(list(tmp_path.iterdir())) == 1
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.binary(max_size=14), st.binary(max_size=14), st.integers(0, 3))
 def test_banded_edit_distance(a, b, k):

@@ -2,14 +2,15 @@
 
 A rolling hash over the last bytes cuts texts at places that depend on content alone, so texts that
 share a passage share its chunks. Chunks travel to the bucket of their hash, where equal ones meet
-and each distinct one is encoded once; its ids go to the documents that hold it, once per bucket of
-documents. There chunks are joined: where the cut is one that the library always makes, the joined
+and each distinct one is encoded once; its ids go to the texts that hold it, once per bucket of texts.
+There chunks are joined, once for each distinct text: where the cut is one that the library always makes, the joined
 ids are the library's; elsewhere the text around the cut is encoded anew, out to the nearest such
-places on both sides, beyond which old and new ids agree exactly. A document without such places
-is encoded whole.
+places on both sides, beyond which old and new ids agree exactly. A text without such places is encoded
+whole.
 
-A task sends a chunk once with the list of places where it has met it, so copies of one text, or one
-passage in a third of all documents, arrive as a few rows. A null text is empty, and has no ids. Rows
+A text is known by the first 128 bits of its SHA-256. Copies of one text are joined, decoded and hashed
+once, and a join that splits hot keys gives the result to their documents. A task sends a chunk once with
+the list of texts where it has met it, so one passage in a third of all documents arrives as a few rows. A null text is empty, and has no ids. Rows
 that repeat give repeated rows; a row without doc_id is one like any other. Columns beyond doc_id and
 text play no part.
 """
@@ -17,6 +18,7 @@ text play no part.
 from __future__ import annotations
 
 import hashlib
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.encoding import Encoder, decoder, encoder
 from tillroll.llm.packed import PACKED, bucket_count, bucket_runs, pack, packed_batch, unpack
 from tillroll.llm.rolling import byte_values, powers_for
-from tillroll.llm.tables import keyed_texts, shuffle_partitions, text_bytes, text_rows
+from tillroll.llm.tables import shuffle_partitions, text_bytes, text_rows, whole_text
+from tillroll.operators.lookup import lookup_join
 
 ROLLING_BYTES = 32
 CUT_BITS = 11  # a cut every 2**11 bytes on average
@@ -77,10 +80,11 @@ def chunks(raw: bytes) -> list[bytes]:
 
 
 class _Places:
-    """Chunks, each with the (doc_id, has id, text hash, number) it was met at."""
+    """Chunks, each with the (halves of the text's key, number) it was met at."""
 
     def __init__(self) -> None:
         self.met: dict[bytes, list] = {}
+        self.texts: set[bytes] = set()
         self.size = 0
 
     def add(self, chunk: bytes, place: tuple) -> None:
@@ -93,9 +97,8 @@ class _Places:
 
 
 def _columns(places: list[tuple]) -> list[np.ndarray]:
-    """Places as columns; the text's hash tells rows of one id, or none, apart."""
-    at = np.array(places, np.int64).reshape(-1, 4)
-    return [at[:, 0].copy(), at[:, 1].astype(np.uint8), at[:, 2].copy(), at[:, 3].astype(np.int32)]
+    at = np.array(places, np.int64).reshape(-1, 3)
+    return [at[:, 0].copy(), at[:, 1].copy(), at[:, 2].astype(np.int32)]
 
 
 def _send_chunks(buckets: int):
@@ -121,10 +124,13 @@ def _send_chunks(buckets: int):
 
     def run(batches):
         held = _Places()
-        for doc_id, raw in text_rows(batches):
-            key = (doc_id or 0, int(doc_id is not None), xxhash.xxh3_64_intdigest(raw) >> 1)
+        for key, raw in text_rows(batches):
+            if key in held.texts:
+                continue
+            held.texts.add(key)
+            halves = struct.unpack("<qq", key)
             for number, chunk in enumerate(chunks(raw)):
-                held.add(chunk, (*key, number))
+                held.add(chunk, (*halves, number))
             if held.size > FLUSH_BYTES:
                 yield flush(held)
                 held = _Places()
@@ -142,11 +148,11 @@ def _gathered(table: pa.Table) -> list:
 
 
 def _encode_chunks(path: str, buckets: int):
-    """Ids of each distinct chunk of a bucket, sent on once to each bucket of documents."""
+    """Ids of each distinct chunk of a bucket, sent on once to each bucket of texts."""
 
     def run(table: pa.Table) -> pa.Table:
-        lengths, counts, docs, has, texts, numbers, blob = _gathered(table)
-        ends, until = np.cumsum(lengths).tolist(), np.cumsum(counts)
+        lengths, counts, texts, rest, numbers, blob = _gathered(table)
+        ends = np.cumsum(lengths).tolist()
         which: dict[bytes, int] = {}
         chunk_of = np.empty(len(lengths), np.int64)
         for i, (n, end) in enumerate(zip(lengths.tolist(), ends, strict=True)):
@@ -156,6 +162,11 @@ def _encode_chunks(path: str, buckets: int):
         for at in range(0, len(distinct), 512):
             ids += coder.encode([c.decode() for c in distinct[at : at + 512]])
         chunk = np.repeat(chunk_of, counts)
+        # A text that several tasks or flushes met has each of its places several times.
+        order = np.lexsort((numbers, rest, texts))
+        moved = np.diff(texts[order]) | np.diff(rest[order]) | np.diff(numbers[order])
+        once = order[np.concatenate(([True], moved != 0))]
+        chunk, texts, rest, numbers = chunk[once], texts[once], rest[once], numbers[once]
         to = ((texts.view(np.uint64) >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((chunk, to))
         out_buckets, payloads = [], []
@@ -167,7 +178,7 @@ def _encode_chunks(path: str, buckets: int):
                 pack(
                     np.array([len(b) for b in own_ids], np.int64),
                     np.diff(np.append(starts, len(part))),
-                    docs[part], has[part], texts[part], numbers[part],
+                    texts[part], rest[part], numbers[part],
                     b"".join(own_ids),
                     level=LEVEL,
                 )
@@ -231,43 +242,42 @@ def joined(parts: list[np.ndarray], coder: Encoder, path: str) -> np.ndarray:
     return np.concatenate(done)
 
 
-ENCODED = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary"
+RESULT = "key binary, n_tokens bigint, ids_sha256 binary, decoded_sha256 binary, ids binary"
 
 
 def _join_chunks(path: str, with_ids: bool):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-         ("decoded_sha256", pa.string()), ("ids", pa.binary())]
+        [("key", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.binary()),
+         ("decoded_sha256", pa.binary()), ("ids", pa.binary())]
     )
 
     def run(table: pa.Table) -> pa.Table:
-        lengths, counts, docs, has, texts, numbers, blob = _gathered(table)
+        lengths, counts, texts, rest, numbers, blob = _gathered(table)
         coder, words = encoder(path), decoder(path)
         ends = np.cumsum(lengths)
         chunk = np.repeat(np.arange(len(lengths)), counts)
-        order = np.lexsort((numbers, docs, has, texts))
-        moved = np.diff(docs[order]) | np.diff(has[order].astype(np.int64)) | np.diff(texts[order])
+        order = np.lexsort((numbers, rest, texts))
+        moved = np.diff(texts[order]) | np.diff(rest[order])
         rows = []
         for part in np.split(order, np.flatnonzero(moved) + 1):
-            copies = int((numbers[part] == 0).sum())
-            own = chunk[part[::copies]]
             ids = joined(
                 [
                     np.frombuffer(blob, coder.dtype, int(lengths[c]) // coder.dtype.itemsize,
                                   int(ends[c] - lengths[c]))
-                    for c in own.tolist()
+                    for c in chunk[part].tolist()
                 ],
                 coder, path,
             )
             wide = ids.astype("<u4").tobytes()
-            row = (
-                int(docs[part[0]]) if has[part[0]] else None,
-                len(ids),
-                hashlib.sha256(wide).hexdigest(),
-                hashlib.sha256(words.text(ids).encode()).hexdigest(),
-                wide if with_ids else None,
+            rows.append(
+                (
+                    struct.pack("<qq", int(texts[part[0]]), int(rest[part[0]])),
+                    len(ids),
+                    hashlib.sha256(wide).digest(),
+                    hashlib.sha256(words.text(ids).encode()).digest(),
+                    wide if with_ids else None,
+                )
             )
-            rows += [row] * copies
         return pa.table(
             [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
             schema=schema,
@@ -282,8 +292,13 @@ def encode_decode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> Da
     ``tokenizer`` is the path of a byte-level BPE file, on every machine. ``ids`` are the ids as
     little-endian unsigned 32-bit integers, null unless ``with_ids``.
     """
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    key = F.unhex(F.left(F.sha2(whole_text().cast("binary"), 256), F.lit(32)))
+    keyed = docs.select(F.col("doc_id").cast("bigint"), key.alias("key"), "text")
     buckets = bucket_count(text_bytes(docs), 2 * shuffle_partitions(docs))
-    sent = keyed_texts(docs).mapInArrow(_send_chunks(buckets), PACKED)
+    texts = keyed.select("key", whole_text().cast("binary").alias("text"))
+    sent = texts.mapInArrow(_send_chunks(buckets), PACKED)
     ids = sent.groupBy("bucket").applyInArrow(_encode_chunks(tokenizer, buckets), PACKED)
-    return ids.groupBy("bucket").applyInArrow(_join_chunks(tokenizer, with_ids), ENCODED)
+    found = ids.groupBy("bucket").applyInArrow(_join_chunks(tokenizer, with_ids), RESULT)
+    met = lookup_join(keyed.select("doc_id", "key"), found.withColumnRenamed("key", "k"), {"key": "k"})
+    hashes = [F.lower(F.hex(c)).alias(c) for c in ("ids_sha256", "decoded_sha256")]
+    return met.select("doc_id", "n_tokens", *hashes, "ids")
