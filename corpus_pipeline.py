@@ -38,8 +38,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: its number of ids, their hash, and the hash of the text they give back."""
-    return chunked_bpe.encode_decode(docs, TOKENIZER).drop("ids")
+    """Per document: its ids, their number and hash, and the hash of the text they give back."""
+    return chunked_bpe.encode_decode(docs, TOKENIZER, with_ids=True)
 
 
 STAGES = [

@@ -1,6 +1,7 @@
 """Each stage against brute force on what the stage before it left, and the run as a whole."""
 
 import brute
+import numpy as np
 import pytest
 from brute import make_documents
 from pyspark.sql import functions as F
@@ -86,6 +87,15 @@ def test_encoding_stage(outputs):
     assert got == sorted(brute.bpe_rows(texts(outputs[4])))
 
 
+def test_encoding_stage_returns_the_ids(spark):
+    tokenizer = brute.tokenizer("byte_bpe_50k.json")
+    rows = [(1, "some words, and some more"), (2, "é€😀 " * 300), (3, "some words, and some more"), (4, None)]
+    got = corpus_pipeline.encoding(spark, make_documents(spark, *rows), SF).collect()
+    ids = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got}
+    assert ids == {i: tokenizer.encode(t or "", add_special_tokens=False).ids for i, t in rows}
+    assert all(r.n_tokens == len(ids[r.doc_id]) for r in got)
+
+
 def test_run_returns_the_last_stage(spark, outputs):
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, outputs[5].collect()))
