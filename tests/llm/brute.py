@@ -271,3 +271,129 @@ def shard_names(sizes, limit, bits):
 
     place("", sizes)
     return out
+
+
+def tree_rows(docs):
+    """(doc_id, n_tokens, hash of decimal ids, hash of the bytes) by the library on whole texts."""
+    import base64
+
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+    coder = tiktoken.Encoding(
+        "brute", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    out = []
+    for i, text in docs:
+        ids = coder.encode_ordinary(text or "")
+        out.append((i, len(ids), sha(",".join(map(str, ids))), sha(coder.decode_bytes(ids))))
+    return out
+
+
+def token_bytes():
+    """What both tokenizers give for a text: [(id, bytes)] each."""
+    import sentencepiece
+
+    a = tokenizer("byte_bpe_50k.json")
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [x for x in range(256) if x not in printable]
+    letters = {chr(x): x for x in printable} | {chr(256 + k): x for k, x in enumerate(rest)}
+
+    def of_b(i):
+        piece = b.id_to_piece(i)
+        hexa = re.fullmatch("<0x([0-9A-F]{2})>", piece)
+        return bytes([int(hexa[1], 16)]) if hexa else piece.replace("▁", " ").encode()
+
+    def cut(text):
+        if not text:
+            return [], []
+        left = [
+            (i, bytes(letters[c] for c in a.id_to_token(i)))
+            for i in a.encode(" " + text, add_special_tokens=False).ids
+        ]
+        right = [(i, of_b(i)) for i in b.encode(text)]
+        for side in (left, right):
+            if b"".join(raw for _, raw in side) != (" " + text).encode():
+                return [], []
+        return left, right
+
+    return cut
+
+
+def alignment_rows(docs):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, hash) of (doc_id, text) rows."""
+    cut, every, counts, per_b = token_bytes(), [], Counter(), Counter()
+    for i, text in docs:
+        a, b = cut(text)
+        ranges = []
+        for side in (a, b):
+            at, spans = 0, []
+            for token, raw in side:
+                spans.append((token, at, at + len(raw)))
+                at += len(raw)
+            ranges.append(spans)
+        links, first = [], 0
+        for x, begin, end in ranges[0]:
+            while first < len(ranges[1]) and ranges[1][first][2] <= begin:
+                first += 1
+            k = first
+            while k < len(ranges[1]) and ranges[1][k][1] < end:
+                links.append((x, ranges[1][k][0]))
+                k += 1
+        ends = sorted({e for _, _, e in ranges[0]} & {e for _, _, e in ranges[1]})
+        groups, at = [], [0, 0]
+        for end in ends:
+            sides = [[], []]
+            for k, r in enumerate(ranges):
+                while at[k] < len(r) and r[at[k]][2] <= end:
+                    sides[k].append(str(r[at[k]][0]))
+                    at[k] += 1
+            groups.append("|".join(map(",".join, sides)))
+        counts.update(links)
+        every.append((i, len(a), len(b), len(ends), links, ";".join(groups)))
+    for (_, y), n in counts.items():
+        per_b[y] = max(per_b[y], n)
+    return [
+        (
+            i, n_a, n_b, n_groups, len(links),
+            sum(counts[x] == per_b[x[1]] for x in links),
+            sum(counts[x] for x in links),
+            sha(groups) if n_a else "",
+        )
+        for i, n_a, n_b, n_groups, links, groups in every
+    ]
+
+
+def divergence_rows(docs, least_docs=10):
+    """(lang, source, part, item, value, rank) of (text, lang, source) rows."""
+    counts, seen = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", lower)
+        counts[lang or "", source or ""].update(terms)
+        seen[lang or ""].update(set(terms))
+    out = []
+    for lang in seen:
+        kept = [t for t, n in seen[lang].items() if n >= least_docs]
+        sources = [s for x, s in counts if x == lang]
+
+        def shares(of, kept=kept):
+            total = sum(of[t] for t in kept)
+            return {t: 1 + 10**9 * (of[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        whole = Counter()
+        for s in sources:
+            whole.update(counts[lang, s])
+        q, p = shares(whole), {s: shares(counts[lang, s]) for s in sources}
+        apart = lambda x, y: (x - y) ** 2 // (x + y)
+        for s in sources:
+            pairs = [(sum(apart(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s]
+            own = [t for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            terms = [(apart(p[s][t], q[t]), t) for t in own]
+            for part, rows, most in (("pair", pairs, None), ("term", terms, 10)):
+                ranked = sorted(rows, key=lambda r: (-r[0], r[1].encode()))[:most]
+                out += [(lang, s, part, x, v, k + 1) for k, (v, x) in enumerate(ranked)]
+    return out

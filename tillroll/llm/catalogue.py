@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    alignment,
     chunked_bpe,
     contamination,
+    divergence,
     lines,
     pii,
     planes,
@@ -17,12 +19,15 @@ from tillroll.llm import (
     sharding,
     simhash,
     substring,
+    tree_bpe,
 )
 from tillroll.llm.tables import read_table
 from tillroll.session import scratch_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,6 +83,18 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(sized, size=F.col("size")).select("doc_id", "n_bytes", "shard")
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf))
+
+
+def op12_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return tree_bpe.encode_decode(_documents(spark, sf), MULTI_BPE, with_ids=False).drop("ids")
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf), BYTE_BPE, PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +108,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_secrets,
         op10_sharding,
+        op11_source_divergence,
+        op12_tree_bpe,
+        op13_token_alignment,
     )
 }
 
@@ -114,4 +134,7 @@ select doc_id, n_bytes,
 from placed"""
 
 
-ORACLE = {"op10_sharding": sharding_sql(sharding.SHARD_BYTES)}
+ORACLE = {
+    "op10_sharding": sharding_sql(sharding.SHARD_BYTES),
+    "op11_source_divergence": divergence.AUDIT_SQL,
+}
