@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import envelope as env
@@ -19,7 +19,8 @@ from tillroll.operators.records import (
 )
 from tillroll.plans import sample_feeds as feeds
 from tillroll.plans.curate import curate, curate_slice, enrich_lines
-from tillroll.plans.snapshot import write_snapshot
+from tillroll.plans.lineage import recurate_late
+from tillroll.plans.snapshot import EVERYTHING, newest_until, write_snapshot
 from tillroll.schemas import (
     CUSTOMER,
     ERASURE,
@@ -374,12 +375,55 @@ def curated_missing_input(spark: SparkSession, sf: str) -> DataFrame:
     return read_curated(spark, f"{root}/curated")
 
 
+def _land_in_halves(spark: SparkSession, rows: DataFrame, root: str, table: str, late: Column) -> None:
+    """All rows in one slice; those that are late in a batch that lands after a snapshot of it."""
+    slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("00"), "key": F.lit(table)}
+    late = F.coalesce(late, F.lit(False))
+    for batch, part in ((0, rows.where(~late)), (1, rows.where(late))):
+        land(part.withColumns(slice_of), root, table, f"query-{batch}")
+        if not batch:
+            write_snapshot(spark, root, f"{root}/snapshots", table, "2020-01-01", "10")
+
+
+def snapshot_late_product(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third product lands after the snapshot, in a slice before it: the next day has all."""
+    root = scratch_dir(spark, "late")
+    late = F.col("sku").cast("bigint") % 3 == 0
+    _land_in_halves(spark, _clean_products(spark, sf), root, "product", late)
+    write_snapshot(spark, root, f"{root}/snapshots", "product", "2020-01-02", "10")
+    return newest_until(spark, root, f"{root}/snapshots", "product", "2020-01-03", "00").select(
+        *PRODUCT_COLUMNS
+    )
+
+
+def snapshot_late_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Second versions of customers, and some of the first, land after the snapshot of their slice."""
+    root = scratch_dir(spark, "late")
+    late = (F.col("last_change") > "2020-01-01T06") | F.col("phone_number").isNull()
+    _land_in_halves(spark, _clean_customers(spark, sf), root, "customer", late)
+    return newest_until(spark, root, f"{root}/snapshots", "customer", "2020-01-02", "10").select(
+        *CUSTOMER_COLUMNS
+    )
+
+
+def snapshot_late_erasure(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that land after the snapshot of their slice are honoured like those before it."""
+    root = scratch_dir(spark, "late")
+    late = F.col("customer-id").cast("bigint") % 4 == 3
+    _land_in_halves(spark, feeds.erasures(spark, sf), root, "erasure", late)
+    asked = newest_until(spark, root, f"{root}/snapshots", "erasure", *EVERYTHING)
+    known = customer.known_customers(feeds.customers(spark, sf))
+    return customer.erase_customers(known, customer.erasure_requests(asked))
+
+
 def curated_second_day(spark: SparkSession, sf: str) -> DataFrame:
-    """Products land on the first day only; lines of the second day find them in a snapshot."""
+    """Products land on the first day only, some of them after its first snapshot; lines of the second
+    day find all of them in snapshots."""
     root = scratch_dir(spark, "days")
     lines = feeds.lines(spark, sf)
     odd = F.col("transaction_id").cast("bigint") % 2 == 1
-    _landed_products(spark, sf, root, "2020-01-01")
+    late = F.col("sku").cast("bigint") % 3 == 0
+    _land_in_halves(spark, _clean_products(spark, sf), root, "product", late)
     for date, part in (("2020-01-01", lines.where(odd)), ("2020-01-02", lines.where(~odd))):
         _landed_day(spark, sf, root, part, date)
         curate_slice(
@@ -389,6 +433,26 @@ def curated_second_day(spark: SparkSession, sf: str) -> DataFrame:
     return read_curated(spark, f"{root}/curated")
 
 
+def curated_late_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of an hour's lines, and every third product, land after the hour was curated."""
+    root = scratch_dir(spark, "late")
+    lines = feeds.lines(spark, sf).select(*LANDED_LINE)
+    slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
+    goods = _clean_products(spark, sf).withColumns(slice_of | {"hour": F.lit("00"), "key": F.lit("product")})
+    _landed_day(spark, sf, root, lines.where("false"), "2020-01-01")
+    odd = F.col("transaction_id").cast("bigint") % 2 == 1
+    third = F.col("sku").cast("bigint") % 3 == 0
+    for batch, (some, sold) in enumerate(((~third, odd), (third, ~odd))):
+        land(goods.where(some), root, "product", f"products-{batch}")
+        land(lines.where(sold).withColumns(slice_of), root, "transaction", f"lines-{batch}")
+        if batch:
+            found = recurate_late(spark, root, f"{root}/curated")
+            assert found == [("2020-01-01", "10")] and not recurate_late(spark, root, f"{root}/curated")
+        else:
+            curate_slice(spark, root, f"{root}/curated", "2020-01-01", "10")
+    return read_curated(spark, f"{root}/curated")
+
+
 def curated_erased_late(spark: SparkSession, sf: str) -> DataFrame:
     """Customers land unmasked, their requests after them; curating masks them, once."""
     root = scratch_dir(spark, "late")
@@ -553,6 +617,10 @@ QUERIES = {
         curated_slice_rewrite,
         curated_missing_input,
         curated_second_day,
+        snapshot_late_product,
+        snapshot_late_customer,
+        snapshot_late_erasure,
+        curated_late_lines,
         curated_erased_late,
         landed_compacted,
         stream_product_dedup,

@@ -275,6 +275,14 @@ from feed_line t join product_clean p on t.sku = p.sku""",
         ", case when transaction_id::bigint % 2 = 1 then '2020-01-01' else '2020-01-02' end as date",
         ", '2020' as year, 'January' as month, t.date, '10' as hour",
     ),
+    "snapshot_late_product": with_feeds(PRODUCTS, "product_clean"),
+    "snapshot_late_customer": with_feeds("select * from customer_latest", "customer_latest"),
+    "snapshot_late_erasure": with_feeds("select * from customer_erased", "customer_erased"),
+    "curated_late_lines": curated(
+        running("customer_id"),
+        "",
+        ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
+    ),
     "curated_erased_late": curated(
         running("customer_id"),
         "",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalar import slice_date, slice_hour
 from tillroll.operators.records import CARRIED
+from tillroll.sources.ledger import record_batch
 from tillroll.sources.tables import read_landed
 
 
@@ -38,19 +39,25 @@ def land(
     A batch owns its folder in each slice and replaces it, so that writing it twice leaves it
     once. Rows are rebalanced by slice first: a small batch makes one file per slice, a large
     slice still spreads over tasks. ``target_files`` deals the rows out to that many instead.
+    The ledger takes the batch in once its rows are there.
     """
+    seen = Observation("landed")
+    slices = F.collect_set(F.concat_ws(" ", "date", "hour")).alias("slices")  # those of one batch
     out = rows.drop(*CARRIED, "_corrupt").withColumn("batch", F.lit(batch))
     if target_files:
         out = out.repartition(target_files)
     else:
         out = out.hint("rebalance", "date", "hour")
     (
-        out.write.mode("overwrite")
+        out.observe(seen, slices)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "hour", "batch")
         .format(fmt)
         .save(f"{root}/{table}")
     )
+    landed = [tuple(s.split(" ")) for s in seen.get.get("slices", [])]
+    record_batch(rows.sparkSession, root, table, batch, landed)
 
 
 def compact_slice(

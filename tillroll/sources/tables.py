@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.schemas import CURATED_FIELDS, CURATED_PARTITIONS, LANDED_FIELDS, LANDED_PARTITIONS
 from tillroll.session import or_empty
+from tillroll.sinks import commits
 
 
 def read_json(spark: SparkSession, path: str, fields: str) -> DataFrame:
@@ -60,6 +63,46 @@ def _upto(date: str, hour: str):
     return (F.col("date") < date) | ((F.col("date") == date) & (F.col("hour") <= hour))
 
 
-def read_curated(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:
+SLICES = "_slices"  # beside the folders of a curated table: which version of each slice counts
+VERSION_FIELDS = (
+    "path string, consumed map<string,map<string,bigint>>, date string, hour string"
+)
+
+
+def slice_versions(spark: SparkSession, root: str) -> DataFrame:
+    """All records of a curated table's slices: ``date, hour, number, path, consumed``."""
+    folder, columns = f"{root}/{SLICES}", ["date", "hour", "number", "path", "consumed"]
+    if not commits.exists(spark, folder):
+        return spark.createDataFrame([], f"{VERSION_FIELDS}, number bigint").select(*columns)
+    records = spark.read.schema(VERSION_FIELDS).option("basePath", folder).json(folder)
+    number = F.regexp_extract("_metadata.file_name", "^([0-9]+)", 1).cast("bigint")
+    return records.withColumn("number", number).select(*columns)
+
+
+def current_slices(spark: SparkSession, root: str) -> DataFrame:
+    """The last record of each slice; ``path`` is null where the slice came out empty."""
+    last = F.max_by(F.struct("number", "path", "consumed"), "number").alias("last")
+    found = slice_versions(spark, root).groupBy("date", "hour").agg(last)
+    return found.select("date", "hour", "last.*")
+
+
+def read_curated(
+    spark: SparkSession,
+    root: str,
+    *,
+    fmt: str = "parquet",
+    slices: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """The curated table as it is now, or some of its slices.
+
+    The versions of the slices are looked up here, one small row each; what is committed later is not
+    seen by this DataFrame.
+    """
     fields = f"{CURATED_FIELDS}, {CURATED_PARTITIONS}"
-    return or_empty(spark, lambda: spark.read.schema(fields).format(fmt).load(root), fields)
+    found = current_slices(spark, root).where("path is not null").select("date", "hour", "path")
+    wanted = None if slices is None else set(slices)
+    paths = [f"{root}/{r.path}" for r in found.collect() if wanted is None or (r.date, r.hour) in wanted]
+    if not paths:
+        return spark.createDataFrame([], fields)
+    reader = spark.read.schema(f"{fields}, version string").format(fmt).option("basePath", root)
+    return reader.load(sorted(paths)).drop("version")
