@@ -84,7 +84,9 @@ class Aligner:
         a = np.frombuffer(self.coder.encode([spaced])[0], self.coder.dtype).astype(np.int64)
         b = np.array(self.pieces.encode(text, num_threads=1), np.int64)
         raw = spaced.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != raw:
+        # A vocabulary of all bytes without a normaliser gives back any text.
+        lossless = self.coder.kind == "bytes"
+        if not lossless and b"".join(map(self.a_bytes.__getitem__, a.tolist())) != raw:
             return none, none
         if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != raw:
             return none, none
@@ -96,22 +98,22 @@ class Aligner:
         if not len(a):
             return (0, 0, 0, 0), b"", a
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        a_last = b_ends[np.searchsorted(b_ends, a_ends)] == a_ends
-        b_last = a_ends[np.searchsorted(a_ends, b_ends)] == b_ends
-        # Between two neighbouring ends lies one token of each, and one link.
-        cuts = np.sort(np.concatenate((a_ends, b_ends[~b_last])), kind="stable")
-        pairs = a[np.searchsorted(a_ends, cuts)] * self.n_b + b[np.searchsorted(b_ends, cuts)]
+        to_b, to_a = np.searchsorted(b_ends, a_ends), np.searchsorted(a_ends, b_ends)
+        a_last, b_last = b_ends[to_b] == a_ends, a_ends[to_a] == b_ends
+        # The group of each token: how many have ended before.
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        # Between two neighbouring ends, of whichever side, lies one token of each, and one link.
+        a_link = np.arange(len(a)) + to_b - a_group
+        b_link = np.arange(len(b)) + to_a - b_group
+        of_a = np.repeat(a, np.diff(a_link, prepend=-1))
+        pairs = of_a * self.n_b + np.repeat(b, np.diff(b_link, prepend=-1))
         # In the text, a group's tokens of A stand before its tokens of B.
-        groups = a_ends[a_last]
-        begins = np.concatenate(([0], groups))
-        before_a = np.searchsorted(b_ends, begins[np.searchsorted(groups, a_ends)], "right")
-        before_b = np.searchsorted(a_ends, groups[np.searchsorted(groups, b_ends)], "right")
-        order = np.empty(len(a) + len(b), np.int64)
-        n_a = len(self.a_bytes)
-        order[np.arange(len(a)) + before_a] = a + n_a * a_last
-        order[np.arange(len(b)) + before_b] = 2 * n_a + b + self.n_b * b_last
+        a_after, b_after = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        order, n_a = np.empty(len(a) + len(b), np.int64), len(self.a_bytes)
+        order[np.arange(len(a)) + np.append(0, b_after)[a_group]] = a + n_a * a_last
+        order[np.arange(len(b)) + a_after[b_group]] = 2 * n_a + b + self.n_b * b_last
         text_of = b"".join(map(self.written.__getitem__, order.tolist()))[:-1]
-        return (len(a), len(b), len(groups), len(cuts)), text_of, pairs
+        return (len(a), len(b), len(a_after), len(pairs)), text_of, pairs
 
 
 @lru_cache(maxsize=2)

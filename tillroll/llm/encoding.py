@@ -115,7 +115,7 @@ class Encoder:
             pieces = _MARKS.sub(r" \1 ", text).split() if plain else _WORDS.findall(text)
             pieces.append("")
             text = " ".join(pieces)
-        return self.ids[self.fast.encode_to_numpy(text, disallowed_special=())].tobytes()
+        return self.ids[np.array(self.fast.encode_ordinary(text), np.int64)].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian, in ``dtype``."""
