@@ -1,0 +1,161 @@
+"""Requests that reach back into landed batches and curated slices."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from test_curated import DAY, frame, land_at, line
+
+from tillroll.plans import erasure
+from tillroll.plans.curate import curate_slice
+from tillroll.plans.erasure import erase_stored, finish_exchanges, has_bit, people_bitmaps, places_of
+from tillroll.plans.lineage import stale_slices
+from tillroll.sinks import commits
+from tillroll.sources.tables import read_curated, read_landed
+
+NEXT = "2020-01-02"
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """Two customers, one in the first two hours, the other in the third as well; all in the clear."""
+    landing, curated = f"{tmp_path}/landing", f"{tmp_path}/curated"
+    goods = {"sku": "s1", "name": "n1", "category": "c", "popularity": 1.0}
+    land_at(frame(spark, "product", goods), landing, "product", "00", "goods-0")
+    for n, (hour, people) in enumerate((("10", ("c1", "c2")), ("11", ("c1", "c2")), ("12", ("c2",)))):
+        rows = [{"id": c, "email": f"{c}@x", "phone_number": "07", "masked": False} for c in people]
+        land_at(frame(spark, "customer", *rows), landing, "customer", hour, f"people-{n}")
+        sold = [line(f"t{hour}{c}", c, "s1", "2", "2") for c in people]
+        land_at(frame(spark, "transaction", *sold), landing, "transaction", hour, f"lines-{n}")
+    for hour in ("10", "11", "12"):
+        curate_slice(spark, landing, curated, DAY, hour)
+    return landing, curated, f"{tmp_path}/index"
+
+
+def ask(spark, landing, batch, *ids, date=DAY):
+    rows = [{"customer-id": i, "email": None} for i in ids]
+    land_at(frame(spark, "erasure", *rows), landing, "erasure", "00", batch, date)
+
+
+def emails(rows):
+    return sorted((r.hour, r.id, len(r.email)) for r in rows.collect())
+
+
+def files(root):
+    return {f: os.stat(f).st_ino for f in glob.glob(f"{root}/**/part-*", recursive=True)}
+
+
+def test_only_places_with_the_customer_are_written(spark, shop):
+    landing, curated, _ = shop
+    before = files(f"{landing}/customer"), files(f"{curated}/year=2020")
+    assert erase_stored(spark, *shop) == {"customer": [], "curated": []}
+    ask(spark, landing, "asked-0", "c1", "stranger")
+    touched = [(DAY, "10"), (DAY, "11")]
+    assert erase_stored(spark, *shop) == {"customer": touched, "curated": touched}
+    want = [("10", "c1", 64), ("10", "c2", 4), ("11", "c1", 64), ("11", "c2", 4), ("12", "c2", 4)]
+    assert emails(read_landed(spark, landing, "customer")) == emails(read_curated(spark, curated)) == want
+    for old, new in zip(before, (files(f"{landing}/customer"), files(f"{curated}/year=2020")), strict=True):
+        kept = {f for f in old if "hour=12" in f}
+        assert kept and {f: old[f] for f in kept} == {f: new.get(f) for f in kept}
+    assert not any("hour=12" in f for f in set(files(f"{curated}/year=2020")) - set(before[1]))
+    # Once more, and with another request for the same customer: nothing is hashed twice.
+    again = emails, read_landed(spark, landing, "customer").select("id", "email").collect()
+    assert erase_stored(spark, *shop) == {"customer": [], "curated": []}
+    ask(spark, landing, "asked-1", "c1")
+    erase_stored(spark, *shop)
+    values = {r.email for r in read_curated(spark, curated).collect() if r.id == "c1"}
+    assert values == {r.email for r in again[1] if r.id == "c1"} and len(values) == 1
+
+
+def test_masked_when_curated_stays_masked_once(spark, shop):
+    """A request that went into a slice when it was curated is not applied to it again."""
+    landing, curated, _ = shop
+    ask(spark, landing, "asked-0", "c2")
+    curate_slice(spark, landing, curated, DAY, "12")
+    once = {r.email for r in read_curated(spark, curated).where("hour = '12'").collect()}
+    touched = erase_stored(spark, *shop)
+    assert touched["curated"] == [(DAY, "10"), (DAY, "11")]
+    assert touched["customer"] == [(DAY, "10"), (DAY, "11"), (DAY, "12")]
+    assert {r.email for r in read_curated(spark, curated).collect() if r.id == "c2"} == once
+    assert stale_slices(spark, landing, curated).count() == 0  # requests are not lineage's
+
+
+def test_requests_of_a_later_slice_reach_back(spark, shop):
+    """Whatever slice a request lands in, it is honoured in all slices, once."""
+    landing, curated, _ = shop
+    from tillroll.sinks.landed import land
+
+    both = frame(spark, "erasure", {"customer-id": "stranger"}, {"customer-id": "c1"})
+    day = F.when(F.col("customer-id") == "c1", NEXT).otherwise(DAY)
+    land(both.withColumns({"date": day, "hour": F.lit("00")}), landing, "erasure", "asked-3")
+    curate_slice(spark, landing, curated, DAY, "10")
+    assert emails(read_curated(spark, curated))[0] == ("10", "c1", 64)
+    for touched in ([(DAY, "11")], []):
+        assert erase_stored(spark, *shop)["curated"] == touched
+        curate_slice(spark, landing, curated, DAY, "10")
+        values = {r.email for r in read_curated(spark, curated).collect() if r.id == "c1"}
+        assert len(values) == 1 and len(values.pop()) == 64
+
+
+def test_customers_landing_meanwhile_are_found_by_the_next_run(spark, shop):
+    landing = shop[0]
+    ask(spark, landing, "asked-0", "c1")
+    erase_stored(spark, *shop)
+    late = {"id": "c1", "email": "c1@x", "masked": False}
+    land_at(frame(spark, "customer", late), landing, "customer", "13", "people-7")
+    assert erase_stored(spark, *shop)["customer"] == [(DAY, "13")]
+    assert {len(r.email) for r in read_landed(spark, landing, "customer").collect() if r.id == "c1"} == {64}
+
+
+def test_an_exchange_that_died_is_finished(spark, shop, monkeypatch):
+    landing = shop[0]
+    ask(spark, landing, "asked-0", "c1")
+    moves = []
+
+    def dies(spark, old, new):
+        if len(moves) == 1:
+            raise RuntimeError("lost")
+        moves.append(old)
+        commits_move(spark, old, new)
+
+    commits_move = commits.move
+    monkeypatch.setattr(commits, "move", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        erase_stored(spark, *shop)
+    monkeypatch.setattr(commits, "move", commits_move)
+    assert read_landed(spark, landing, "customer").count() == 3  # one folder is out, its copy beside
+    finish_exchanges(spark, landing)
+    assert [n for _, _, n in emails(read_landed(spark, landing, "customer"))] == [64, 4, 64, 4, 4]
+    assert commits.names_in(spark, f"{landing}/_exchange") == []
+    assert erase_stored(spark, *shop)["customer"] == []
+
+
+def test_bitmaps_find_every_id(spark, monkeypatch):
+    ids = spark.range(3000).select(
+        F.concat(F.lit("place "), (F.col("id") % 7).cast("string")).alias("place"),
+        F.lit(DAY).alias("date"),
+        F.lit("10").alias("hour"),
+        F.col("id").cast("string").alias("id"),
+    )
+    index = people_bitmaps(ids.unionByName(ids.limit(5).withColumn("id", F.lit(None).cast("string"))))
+    for i in range(14):
+        found = {r.place for r in places_of(index, spark.createDataFrame([(str(i),)], "id string")).collect()}
+        assert f"place {i % 7}" in found and len(found) <= 2
+    bits = spark.range(1).select(F.lit(bytes([0b00000101, 0b10000000])).alias("bits"))
+    at = bits.select("bits", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("at"))
+    held = at.where(has_bit(F.col("bits"), F.col("at"))).collect()
+    assert sorted(r["at"] for r in held) == [0, 2, 15]
+
+
+def test_many_segments_become_one(spark, shop, monkeypatch):
+    landing, curated, index = shop
+    monkeypatch.setattr(erasure, "MOST_SEGMENTS", 2)
+    for n in range(4):
+        land_at(frame(spark, "customer", {"id": f"x{n}"}), landing, "customer", "15", f"people-{20 + n}")
+        erasure.index_landed(spark, landing, index)
+    known = commits.read_records(spark, f"{index}/customer/commits")
+    assert len(known) == 4 and len(known[3]["segments"]) <= 2
+    ids = spark.createDataFrame([("x0",), ("x3",)], "id string")
+    found = places_of(erasure.index_landed(spark, landing, index), ids).collect()
+    assert {"people-20", "people-23"} <= {r.place for r in found}

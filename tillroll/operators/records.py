@@ -17,8 +17,9 @@ from tillroll.schemas import (
     Feed,
 )
 
-# Log columns that later steps need: event time, position, and the date and hour of the feed's file.
-CARRIED = ["timestamp", "offset", "feed_date", "feed_hour"]
+# Log columns that later steps need: event time, position, the date and hour of the feed's file, and
+# which record of which file it is.
+CARRIED = ["timestamp", "offset", "feed_date", "feed_hour", "record_id"]
 HEADERS = "array<struct<key:string,value:binary>>"
 
 
@@ -26,12 +27,20 @@ def no_headers() -> Column:
     return F.lit(None).cast(HEADERS)
 
 
-def feed_headers(date: Column, hour: Column) -> Column:
-    """The date and hour of a feed's file as record headers."""
-    pairs = (("date", date), ("hour", hour))
+def feed_headers(date: Column, hour: Column, record: Column | None = None) -> Column:
+    """The date and hour of a feed's file as record headers, and the record's identity if known."""
+    pairs = [("date", date), ("hour", hour), *([] if record is None else [("record", record)])]
     return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("binary").alias("value")) for k, v in pairs])
 
 
+def record_identity(feed: Feed) -> Column:
+    """The same for each publishing of one line of one feed file, and of no other line.
+
+    Made of the file, the line's place in it and its text, so that equal lines remain two records.
+    """
+    return F.md5(F.concat_ws("\n", F.lit(feed.name), "file", "line", "value"))
+
+
 def _header(name: str) -> Column:
     found = F.filter("headers", lambda h: h["key"] == name)
     return F.get(F.transform(found, lambda h: h["value"].cast("string")), F.lit(0))
@@ -45,12 +54,11 @@ def log_text(log: DataFrame) -> DataFrame:
 
 
 def with_feed_slice(log: DataFrame) -> DataFrame:
-    """The date and hour of the feed's file, where the record's headers hold them."""
+    """The date and hour of the feed's file and the record's identity, where headers hold them."""
     known = "headers" in log.columns
     none = F.lit(None).cast("string")
-    return log.withColumns(
-        {f"feed_{n}": _header(n) if known else none for n in ("date", "hour")}
-    )
+    carried = {"feed_date": "date", "feed_hour": "hour", "record_id": "record"}
+    return log.withColumns({c: _header(n) if known else none for c, n in carried.items()})
 
 
 def decode_feed(log: DataFrame, feed: Feed, *, envelope: str = "json") -> DataFrame:
@@ -141,16 +149,20 @@ def routed(
     """Raw lines (column ``value``) as log records, keyed and sent to the feed's partition.
 
     The ``date`` and ``hour`` of the lines' file travel as headers, so that records land there
-    whenever they were published. ``time`` sets the records' timestamp in a file-backed log; a
-    broker sets its own.
+    whenever they were published; so does the identity of numbered lines, by which a record that was
+    published twice lands once. ``time`` sets the records' timestamp in a file-backed log; a broker
+    sets its own.
     """
     placed = {"date", "hour"} <= set(lines.columns)
+    record = record_identity(feed) if {"file", "line"} <= set(lines.columns) else None
     columns = [
         F.lit(topic).alias("topic"),
         F.lit(feed.key).cast("binary").alias("key"),
         env.encode(env.strip_quotes(F.col("value"))).cast("binary").alias("value"),
         F.lit(feed.partition).alias("partition"),
-        (feed_headers(F.col("date"), F.col("hour")) if placed else no_headers()).alias("headers"),
+        (
+            feed_headers(F.col("date"), F.col("hour"), record) if placed else no_headers()
+        ).alias("headers"),
     ]
     if time is not None:
         columns.append(time.alias("timestamp"))

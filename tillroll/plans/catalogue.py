@@ -19,6 +19,7 @@ from tillroll.operators.records import (
 )
 from tillroll.plans import sample_feeds as feeds
 from tillroll.plans.curate import curate, curate_slice, enrich_lines
+from tillroll.plans.erasure import erase_stored
 from tillroll.plans.lineage import recurate_late
 from tillroll.plans.snapshot import EVERYTHING, newest_until, write_snapshot
 from tillroll.schemas import (
@@ -475,6 +476,30 @@ def curated_erased_late(spark: SparkSession, sf: str) -> DataFrame:
     return read_curated(spark, f"{root}/curated")
 
 
+def erasure_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers are landed and curated in the clear; then their requests land, and reach back."""
+    root = scratch_dir(spark, "backfill")
+    _landed_products(spark, sf, root, "2020-01-01")
+    slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
+    lines = feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(slice_of)
+    land(lines, root, "transaction", "lines-0")
+    people = customer.known_customers(feeds.customers(spark, sf)).withColumns(
+        slice_of | {"key": F.lit("customer"), "masked": F.lit(False)}
+    )
+    land(people, root, "customer", "people-0")
+    asked = feeds.erasures(spark, sf).withColumns(slice_of | {"key": F.lit("erasure")})
+    early = F.col("customer-id").cast("bigint") % 4 == 3  # these go in when the hour is curated
+    land(asked.where(early), root, "erasure", "asked-0")
+    curate_slice(spark, root, f"{root}/curated", "2020-01-01", "10")
+    land(asked.where(~early), root, "erasure", "asked-1")
+    for _ in range(2):  # a second run changes nothing
+        erase_stored(spark, root, f"{root}/curated", f"{root}/index")
+    landed = customer.latest_customers(read_landed(spark, root, "customer"))
+    kept = landed.select("id", F.col("email").alias("_email"), F.col("phone_number").alias("_phone"))
+    rows = read_curated(spark, f"{root}/curated").join(kept, "id")
+    return rows.where("email = _email and phone_number <=> _phone").drop("_email", "_phone")
+
+
 def landed_compacted(spark: SparkSession, sf: str) -> DataFrame:
     """Lines landed by many small batches, copied into few files."""
     root = scratch_dir(spark, "compacted")
@@ -547,6 +572,19 @@ def stream_transaction_land(spark: SparkSession, sf: str) -> DataFrame:
     return landed.select(*LANDED_LINE, "date", "hour")
 
 
+def stream_transaction_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed files published twice, as a sink that retries does; each record lands once."""
+    root = scratch_dir(spark, "replayed")
+    to = Landing(tables=f"{root}/tables", checkpoints=f"{root}/checkpoints", once=True)
+    _write_feed_hour(_raw(spark, sf, TRANSACTION), f"{root}/feeds", TRANSACTION, "10")
+    for time in range(2):
+        lines = feed_lines(spark, f"{root}/feeds", TRANSACTION, numbered=True)
+        write_log_files(as_log(routed(lines, TRANSACTION)), f"{root}/log", time)
+        log = read_log_files(spark, f"{root}/log", [TRANSACTION.partition])
+        land_transactions(log, to).awaitTermination()
+    return read_landed(spark, to.tables, "transaction").select(*LANDED_LINE)
+
+
 def stream_customer_erased(spark: SparkSession, sf: str) -> DataFrame:
     """Customers anonymised by the erasure requests landed before them."""
     to = _landing(spark, "customers")
@@ -622,10 +660,12 @@ QUERIES = {
         snapshot_late_erasure,
         curated_late_lines,
         curated_erased_late,
+        erasure_backfill,
         landed_compacted,
         stream_product_dedup,
         stream_event_dedup_watermark,
         stream_transaction_land,
+        stream_transaction_replayed,
         stream_customer_erased,
         stream_product_rejects,
         feeds_to_curated,

@@ -288,12 +288,18 @@ from feed_line t join product_clean p on t.sku = p.sku""",
         "",
         ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
     ),
+    "erasure_backfill": curated(
+        running("customer_id"),
+        "",
+        ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
+    ),
     "landed_compacted": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
     "stream_product_dedup": with_feeds(PRODUCTS, "product_clean"),
     "stream_event_dedup_watermark": "select * from events",
     "stream_transaction_land": with_feeds(
         f"select {LANDED_LINE}, '2020-01-01' as date, '10' as hour from feed_line", "feed_line"
     ),
+    "stream_transaction_replayed": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
     "stream_customer_erased": with_feeds("select * from customer_erased", "customer_erased"),
     "stream_product_rejects": with_feeds(REJECTS, "feed_product"),
     "feeds_to_curated": curated(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.scalar import slice_date, slice_hour
 from tillroll.operators.records import CARRIED
+from tillroll.sinks import commits
 from tillroll.sources.ledger import record_batch
 from tillroll.sources.tables import read_landed
 
@@ -60,6 +61,42 @@ def land(
     record_batch(rows.sparkSession, root, table, batch, landed)
 
 
+def unlanded(records: DataFrame, root: str, table: str, batch: str) -> DataFrame:
+    """A batch's records without those that landed before, or come twice in the batch itself.
+
+    A log that is written at least once holds some records twice. Copies carry the identity and the slice
+    of one feed line, so it takes the identities landed in the batch's slices to tell, however long
+    ago that was: ``{root}/_records/{table}/date=/hour=/batch=``, to which those of this batch are added.
+    Repeating the batch finds the same records. Records without an identity all stay.
+    """
+    spark, base = records.sparkSession, f"{root}/_records/{table}"
+    own = sliced(records).withColumn(
+        "_key",
+        F.coalesce("record_id", F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))),
+    )
+    named = own.where(F.col("record_id").isNotNull())
+    slices = named.select("date", "hour").distinct().collect()  # hours of one batch
+    if not slices:
+        return records
+    once = own.dropDuplicates(["_key"])
+    held = [f"{base}/date={r.date}/hour={r.hour}" for r in slices]
+    held = [path for path in held if commits.exists(spark, path)]
+    if held:
+        reader = spark.read.schema("record_id string, date string, hour string, batch string")
+        before = reader.option("basePath", base).parquet(*held).where(F.col("batch") != batch)
+        once = once.join(before.select(F.col("record_id").alias("_key")).distinct(), "_key", "left_anti")
+    new = once.where(F.col("record_id").isNotNull()).select("record_id", "date", "hour")
+    (
+        new.withColumn("batch", F.lit(batch))
+        .hint("rebalance", "date", "hour")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "hour", "batch")
+        .parquet(base)
+    )
+    return once.select(*records.columns)
+
+
 def compact_slice(
     spark: SparkSession,
     root: str,
