@@ -174,16 +174,18 @@ def test_lines_are_dropped_from_texts(docs):
 
 
 def test_contamination(docs, none, spark):
-    items = [(1, PASSAGE), (2, None), (None, PASSAGE), (3, ""), (4, "one two"), (4, "one two")]
+    items = [(1, PASSAGE), (2, None), (None, PASSAGE), (3, ""), (4, "one two"), (4, "one two"), (5, "One!")]
     bench = crowded(spark.createDataFrame(items, "item_id long, text string"))
     got = contamination.find_contamination(docs, bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {
-        (6, 1), (7, 1), (None, 1), (9, 1), (5, 4),
+        (6, 1), (7, 1), (None, 1), (9, 1), (5, 4), (4, 5), (5, 5),
     }
+    whole = contamination.drop_contaminated(docs, bench, least_item=1)
+    assert {r.doc_id for r in whole.collect()} == {i for i, t in ROWS if i not in (4, 5) and PASSAGE not in (t or "")}
     clean = contamination.drop_contaminated(docs, bench)
     assert clean.columns == docs.columns
     assert bag(clean, "doc_id", "text") == Counter(
-        (i, t) for i, t in ROWS if i != 5 and PASSAGE not in (t or "")
+        (i, t) for i, t in ROWS if PASSAGE not in (t or "")  # one or two words cost no document
     )
     assert contamination.find_contamination(none, bench).count() == 0
     assert contamination.find_contamination(docs, bench.limit(0)).count() == 0

@@ -6,11 +6,15 @@ e edits, at least m - 1 - e / 2 neighbouring matches have one edit or none betwe
 seeds. A score of ``least_score`` thus takes at least least_score * n - 1 seeds of an item of n words,
 whichever words were changed, dropped or added, on diagonals at most 2 * n * (1 - least_score) apart.
 
+A share of a short item is a phrase that anybody writes. So a passage must also score as much as
+``LEAST_WORDS`` words in order, or as the whole item where that is shorter: an item of up to so many words is
+found where it stands whole, each word next to the other. A one-word item is its own seed.
+
 First pass: in how many documents each seed occurs, over the whole corpus. Seeds in more than ``COMMON``
 of all documents are left out, the most common first and never more than half of those any alignment
 must have. Second pass: where a document holds enough of an item's seeds on near diagonals, the
 passage around them is aligned with the item by Smith-Waterman over words. No passage that scores
-``least_score`` is missed: the result is that of aligning every document with every item.
+enough is missed: the result is that of aligning every document with every item.
 
 Test items are taken in blocks of at most ``BLOCK_BYTES`` of text, which is what a task is sent; a
 larger benchmark takes more blocks, each read against the whole corpus. Nothing else is broadcast,
@@ -29,7 +33,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.rolling import BASE, Slices, words_of
@@ -37,6 +41,8 @@ from tillroll.llm.tables import keyed_texts, text_bytes, text_rows
 from tillroll.operators.lookup import lookup_join
 
 LEAST_SCORE = 0.45
+LEAST_WORDS = 6  # in order, or the whole item, that a passage scores as much as
+LEAST_ITEM = 3  # words of an item that costs a document its place
 BLOCK_BYTES = 16 * 1024 * 1024
 MATCH, MISMATCH, GAP = 2, -1, -1
 COMMON = 0.01  # of all documents; a seed in more of them may be left out
@@ -62,6 +68,11 @@ def _seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def least_share(sizes: np.ndarray, least_score: float) -> np.ndarray:
+    """The share of its greatest score that a copy of an item of so many words must reach."""
+    return np.maximum(least_score, np.minimum(sizes, LEAST_WORDS) / np.maximum(sizes, 1))
+
+
 class Items:
     """A block of test items: their words, and which seeds they have where."""
 
@@ -79,10 +90,12 @@ class Items:
             self.ids.append(item_id)
             self.words.append(words)
         sizes = np.array([len(w) for w in self.words], np.int64)
+        self.share = least_share(sizes, least_score)
+        self.singles = bool((sizes == 1).any())
         # A little is taken off before rounding up, as the product may lie just above a whole number.
-        must = np.ceil(least_score * sizes - 1e-9).astype(np.int64) - 1
+        must = np.ceil(self.share * sizes - 1e-9).astype(np.int64) - 1
         self.need = np.maximum(must, 1)
-        self.reach = np.ceil(2 * (1 - least_score) * sizes).astype(np.int64) + 1
+        self.reach = np.ceil(2 * (1 - self.share) * sizes).astype(np.int64) + 1
         none = np.zeros(0, np.int64)
         self._take(
             np.concatenate(seeds) if seeds else none.astype(np.uint64),
@@ -140,9 +153,17 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _document_seeds(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """A document's seeds and their first words; single words too, if an item is one."""
+    seeds, first = _seeds(words)
+    if not items.singles or len(words) == 1:
+        return seeds, first
+    return np.concatenate((seeds, words)), np.concatenate((first, np.arange(len(words))))
+
+
 def _passages(words: np.ndarray, items: Items):
     """(item, begin, stop) of the parts of a document that hold enough of an item's seeds."""
-    seeds, first = _seeds(words)
+    seeds, first = _document_seeds(words, items)
     at, which = items.hits(seeds)
     if not len(at):
         return
@@ -175,8 +196,24 @@ def _passages(words: np.ndarray, items: Items):
     yield item, begin, stop
 
 
+def _whole_copies(target: np.ndarray, words: np.ndarray, begin: int, stop: int):
+    """The same for an item that must be there whole: from left to right, none overlapping."""
+    n = len(target)
+    starts = np.arange(begin, stop - n + 1)
+    for i, w in enumerate(target):
+        starts = starts[words[starts + i] == w]
+    free = begin
+    for at in starts.tolist():
+        if at >= free:
+            free = at + n
+            yield MATCH * n, at, free
+
+
 def _copies(target: np.ndarray, words: np.ndarray, begin: int, stop: int, least: float):
     """(score, first, stop) of the copies of an item in [begin, stop), the best first."""
+    if least >= MATCH * len(target):
+        yield from _whole_copies(target, words, begin, stop)
+        return
     parts = [(begin, stop)]
     while parts:
         a, b = parts.pop()
@@ -191,7 +228,7 @@ def _copies(target: np.ndarray, words: np.ndarray, begin: int, stop: int, least:
         parts += [(a, a + end - back), (a + end, b)]
 
 
-def _matches(raw: bytes, items: Items, least_score: float):
+def _matches(raw: bytes, items: Items):
     """(item id, score, first word, stop) of each passage of a document that copies an item."""
     joined, starts, ends = _words(raw)
     if not len(starts):
@@ -200,7 +237,10 @@ def _matches(raw: bytes, items: Items, least_score: float):
     for item, begin, stop in _passages(words, items):
         target = items.words[item]
         top = MATCH * len(target)
-        for score, first, end in _copies(target, words, begin, stop, least_score * top):
+        # Scores are whole numbers: a little off the least one lets none below it pass.
+        least = items.share[item] * top - 1e-9
+        least = top if least > top - 1 else least
+        for score, first, end in _copies(target, words, begin, stop, least):
             yield items.ids[item], score / top, first, end
 
 
@@ -210,7 +250,7 @@ MATCHES = "doc_id bigint, item_id bigint, score double, first int, stop int"
 def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     """In how many documents each known seed occurs, and how many there are.
 
-    As many rows come back as there are seeds.
+    One number per seed comes back, as columns: those of a block, whose size is bounded.
     """
 
     def run(batches):
@@ -219,7 +259,8 @@ def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
             n_docs += 1
             joined, starts, ends = _words(raw)
             if len(starts):
-                _, which = items.hits(_seeds(Slices(joined).hashes(starts, ends))[0])
+                words = Slices(joined).hashes(starts, ends)
+                _, which = items.hits(_document_seeds(words, items)[0])
                 counts[np.unique(which)] += 1
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -228,16 +269,15 @@ def _counted(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         )
 
     found = keyed_texts(docs).mapInArrow(run, "seed bigint, n bigint")
-    out, n_docs = np.zeros(len(items.known), np.int64), 0
-    for r in found.groupBy("seed").agg(F.sum("n").alias("n")).collect():
-        if r["seed"] < 0:
-            n_docs = r["n"]
-        else:
-            out[r["seed"]] = r["n"]
+    sums = found.groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
+    seeds, n = (sums.column(c).to_numpy() for c in ("seed", "n"))
+    out = np.zeros(len(items.known), np.int64)
+    out[seeds[seeds >= 0]] = n[seeds >= 0]
+    n_docs = int(n[seeds < 0].sum())
     return out, n_docs
 
 
-def _block_matches(docs: DataFrame, items: Items, least_score: float) -> DataFrame:
+def _block_matches(docs: DataFrame, items: Items) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
          ("first", pa.int32()), ("stop", pa.int32())]
@@ -246,7 +286,7 @@ def _block_matches(docs: DataFrame, items: Items, least_score: float) -> DataFra
     def run(batches):
         rows = []
         for doc_id, raw in text_rows(batches):
-            rows += [(doc_id, *m) for m in _matches(raw, items, least_score)]
+            rows += [(doc_id, *m) for m in _matches(raw, items)]
             if len(rows) > 5000:
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
                 rows = []
@@ -278,17 +318,26 @@ def find_contamination(
         rows = numbered.where(F.col("block") == b).orderBy("item_id", "text").collect()
         block = Items([(r["item_id"], bytes(r["text"])) for r in rows], least_score)
         block.only_rare(*_counted(docs, block))
-        found.append(_block_matches(docs, block, least_score))
+        found.append(_block_matches(docs, block))
     return reduce(DataFrame.unionByName, found)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without a passage that copies a test item.
+def _n_words(text: Column) -> Column:
+    """Words as they are compared here."""
+    return F.size(F.filter(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != ""))
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, *, least_item: int = LEAST_ITEM, **options
+) -> DataFrame:
+    """The documents without a passage that copies a test item of ``least_item`` words or more.
 
+    Shorter items, a word or two, are found by :func:`find_contamination`, but stand in clean texts too.
     Rows are told apart by id and text together, so one without id is judged by its own text.
     """
     marked = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key"))
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    benchmark = benchmark.where(_n_words(F.col("text")) >= least_item)
     bad = find_contamination(keyed, benchmark, **options).select(F.col("doc_id").alias("bad"))
     clean = lookup_join(marked, bad.distinct(), {"key": "bad"}, "left_anti")
     return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
