@@ -353,6 +353,50 @@ def test_changed_and_half_copies_have_seeds(spark, exact_elsewhere):
     assert {w[:2] for w in want} == {(r.doc_id, r.item_id) for r in found}
 
 
+def test_items_of_any_size_are_found_as_by_alignment(spark):
+    """Items of 1 to 16 words in random texts of few words: none missed, none besides."""
+    rng = random.Random(21)
+    word = lambda: rng.choice("abcdefghijkl")
+    items = {n * 10 + k: [word() for _ in range(n)] for n in range(1, 17) for k in range(6)}
+    rows = []
+    for i in range(220):
+        text = [word() for _ in range(rng.randint(1, 40))]
+        if i % 2:
+            copied = list(list(items.values())[i // 2 % len(items)])
+            for _ in range(rng.randint(0, 3) if i % 4 == 1 else 0):
+                at = rng.randrange(len(copied) + 1)
+                copied[at : at + rng.randint(0, 1)] = [word()][: rng.randint(0, 1)]
+            text[5:5] = copied
+        rows.append((i, " ".join(text)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    found = contamination.find_contamination(make_documents(spark, *rows), bench).collect()
+
+    def hashed(text):
+        joined, starts, ends = contamination._words(text.encode())
+        return Slices(joined).hashes(starts, ends)
+
+    want, targets = set(), {i: hashed(" ".join(w)) for i, w in items.items()}
+    for doc_id, text in rows:
+        for item_id, target in targets.items():
+            n = len(target)
+            least = max(contamination.LEAST_SCORE * 2 * n, 2 * min(n, contamination.LEAST_WORDS))
+            if contamination.align(target, hashed(text))[0] >= least - 1e-9:
+                want.add((doc_id, item_id))
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert {len(items[i]) for _, i in want} == set(range(1, 17))
+    singles = [(r.first, r.stop) for r in found if len(items[r.item_id]) == 1 and r.doc_id == 0]
+    assert all(b == a + 1 for a, b in singles)
+
+
+def test_a_common_phrase_of_a_short_item_is_no_copy(spark):
+    bench = spark.createDataFrame([(1, "what is the capital city")], "item_id long, text string")
+    rows = [(1, "so this is what is the matter"), (2, "x what is the capital city y"), (3, "what is the capital big city")]
+    found = contamination.find_contamination(make_documents(spark, *rows), bench).collect()
+    assert [(r.doc_id, r.score, r.first, r.stop) for r in found] == [(2, 1.0, 1, 6)]
+    many = make_documents(spark, (1, "what is the capital city " * 20_000))
+    assert contamination.find_contamination(many, bench).count() == 20_000
+
+
 def test_copies_in_one_document_are_told_apart(spark):
     words = [f"word{i}" for i in range(30)]
     bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
@@ -385,10 +429,31 @@ def test_learned_rules(spark):
     assert quality.learn(stats, spark.createDataFrame([(1, 1)], "doc_id long, quality int")) == []
 
 
+def test_many_matches_in_one_text(spark):
+    """Places beyond the first block, and a cost that keeps in step with the matches."""
+    import re
+    import time
+
+    took = {}
+    for n in (4_000, 16_000):
+        text = " é ".join(f"10.0.{i % 256}.{i % 311}" for i in range(n))
+        docs = make_documents(spark, (1, text))
+        want = [(m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+){3}", text) if int(m[0].split(".")[3]) < 256]
+        start = time.perf_counter()
+        [row] = pii.find_pii(docs).collect()
+        took[n] = time.perf_counter() - start
+        assert [(x.s, x.e) for x in row.base] == want
+    assert took[16_000] < 6 * took[4_000] + 1
+
+
 def test_checksums_and_context(spark):
     texts = {
         "IBAN GB82 WEST 1234 5698 7654 32 is mine": "iban:5:32",
         "IBAN GB82 WEST 1234 5698 7654 33 is wrong": "",
+        "IBAN BE68 5390 0754 7034 EUR 20": "iban:5:24",  # a word after it is none of its groups
+        "IBAN ES91 2100 0418 4502 0005 1332 BIC X": "iban:5:34",
+        "IBAN NO9386011117947 OK": "iban:5:20",
+        "IBAN BE68 5390 0754 7034A": "",
         "my SSN 123-45-6789 here": "ssn:7:18",
         "part 123-45-6789 here": "",
         "call 555-123-4567 now": "local_phone:5:17",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 SPAN = "array<struct<s:int,kind:int,e:int,score:double>>"
 CONTEXT = 48  # code points looked at on either side of a match
+BLOCK = 256  # matches gathered by one aggregate
 
 
 def spans(
@@ -26,12 +27,17 @@ def spans(
 
     ``score(match, before, after)`` sees up to ``CONTEXT`` code points of text on either side, but
     not beyond a neighbouring match. The pattern must not match the empty string.
+
+    An aggregate copies what it has gathered at every step, so matches are taken in blocks: lengths are
+    added up over blocks first, then within each.
     """
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     after = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
     steps = F.arrays_zip(pieces.alias("p"), found.alias("m"), after.alias("a"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    zipped = F.transform(
+        steps, lambda z: F.struct(z["p"].alias("0"), z["m"].alias("1"), z["a"].alias("2"))
+    )
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.char_length(x["0"])
@@ -45,14 +51,33 @@ def spans(
         grown = F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("at"), grown.alias("out"))
 
-    zipped = F.transform(
-        steps, lambda z: F.struct(z["p"].alias("0"), z["m"].alias("1"), z["a"].alias("2"))
-    )
-    places = F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    def places_from(begin: Column, part: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.array().cast(SPAN).alias("out"))
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def in_blocks(whole: Column) -> Column:
+        numbers = F.sequence(F.lit(1), F.size(whole), F.lit(BLOCK))
+        blocks = F.transform(numbers, lambda i: F.slice(whole, i, F.lit(BLOCK)))
+        widths = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), _width))
+        begins = F.aggregate(
+            widths, F.array(F.lit(0)), lambda acc, w: F.concat(acc, F.array(F.element_at(acc, -1) + w))
+        )
+        placed = F.arrays_zip(blocks.alias("block"), begins.alias("begin"))
+        # The last begin is the end of the text and has no block.
+        held = F.filter(placed, lambda z: z["block"].isNotNull())
+        return F.flatten(F.transform(held, lambda z: places_from(z["begin"], z["block"])))
+
+    few = places_from(F.lit(0), zipped)
+    places = F.when(F.size(pieces) <= BLOCK, few).otherwise(in_blocks(zipped))
     # Most texts have no match at all: one scan then, and no interpreted steps.
     return F.when(text.rlike(pattern), places).otherwise(F.array().cast(SPAN))
 
 
+def _width(total: Column, x: Column) -> Column:
+    """The code points of a piece and of the match after it, added."""
+    return total + F.char_length(x["0"]) + F.coalesce(F.char_length(x["1"]), F.lit(0))
+
+
 def scored(found: Column, least: float) -> Column:
     return F.filter(found, lambda x: x["score"] >= least)
 
