@@ -59,6 +59,17 @@ def test_murmur3_masks_the_same_rows_as_sha2(spark):
     assert spark_bag(sha.where(seen)) == spark_bag(murmur.where(seen))
 
 
+def test_without_the_text_operators_the_others_remain(monkeypatch):
+    """Whether their folder is gone, left empty, or needs a package that is not there."""
+    import sys
+
+    from tillroll.plans.catalogue import QUERIES as RETAIL
+
+    monkeypatch.setitem(sys.modules, "tillroll.llm", None)
+    assert set(entry_points.queries()) == set(RETAIL)
+    assert set(entry_points.oracle_sql()) <= set(RETAIL)
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark)
     assert rows.count() == 272

@@ -4,6 +4,9 @@
     python -m tillroll land --kafka broker:9092 --tables hdfs:///shop/landed --checkpoints ...
     python -m tillroll snapshot --tables hdfs:///shop/landed --snapshots ... 2020-01-01 10
     python -m tillroll curate --tables hdfs:///shop/landed --curated ... 2020-01-01 10
+    python -m tillroll recurate --tables hdfs:///shop/landed --curated ...
+    python -m tillroll erase --tables hdfs:///shop/landed --curated ... --index ...
+    python -m tillroll expire --snapshots ... --curated ...
     python -m tillroll compact --tables hdfs:///shop/landed --compacted ... 2020-01-01 10
     python -m tillroll peek --kafka broker:9092
 """
@@ -17,13 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.curate import curate_slice
-from tillroll.plans.snapshot import VERSIONS, write_snapshot
+from tillroll.plans.erasure import erase_stored
+from tillroll.plans.lineage import recurate_late
+from tillroll.plans.snapshot import VERSIONS, expire_snapshots, write_snapshot
 from tillroll.schemas import FEEDS, TOPIC, Feed
 from tillroll.session import use_rocksdb_state
+from tillroll.sinks.curated import vacuum_curated
 from tillroll.sinks.landed import compact_slice
 from tillroll.sinks.log import stream_to_kafka
 from tillroll.sources.log import peek, read_kafka
 from tillroll.streaming.feeds import Landing, start_landing, start_publishing, wait
+from tillroll.streaming.metrics import BatchLog
 
 
 class KafkaLog:
@@ -63,6 +70,9 @@ def _arguments() -> argparse.ArgumentParser:
     land = jobs.add_parser("land", help="land all four feeds from the log")
     snapshot = jobs.add_parser("snapshot", help="store the newest products and customers")
     curate = jobs.add_parser("curate", help="curate one closed slice")
+    recurate = jobs.add_parser("recurate", help="curate slices again for which more has landed")
+    erase = jobs.add_parser("erase", help="mask customers of new requests in what is stored")
+    expire = jobs.add_parser("expire", help="remove old snapshots and replaced curated slices")
     compact = jobs.add_parser("compact", help="copy one closed landed slice into few files")
     look = jobs.add_parser("peek", help="print records of the log")
     for job in (publish, land, look):
@@ -75,27 +85,34 @@ def _arguments() -> argparse.ArgumentParser:
     publish.add_argument("--dates", help="pattern of dates to look at, such as '2020-01-*'")
     publish.add_argument("--files-per-trigger", type=int)
     publish.add_argument("--partitions", type=int, help="spread the lines of large files")
-    for job in (land, curate, snapshot, compact):
+    for job in (land, curate, recurate, erase, snapshot, compact):
         job.add_argument("--tables", required=True)
         job.add_argument("--format", default="parquet")
+    for job in (curate, recurate, erase, expire):
+        job.add_argument("--curated", required=True)
     land.add_argument("--start", default="earliest", help="offsets to start from")
     land.add_argument("--per-trigger", type=int, help="offsets per micro-batch at most")
     land.add_argument("--every", help="time between micro-batches, such as '1 minute'")
     land.add_argument("--envelope", default="json", choices=["json", "regex"])
-    land.add_argument("--dedup", default="forever", choices=["forever", "within_watermark"])
+    land.add_argument("--dedup", default="forever", choices=["forever", "within_watermark", "changes"])
     land.add_argument("--watermark", default="10 minutes")
     land.add_argument("--snapshots", help="read erasure requests from the last snapshot there on")
     land.add_argument("--files", type=int, help="files per micro-batch and table")
-    for job in (land, curate):
+    for job in (land, curate, recurate, erase):
         job.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
         job.add_argument("--mask-columns", type=_words, default=["email", "phone_number"])
         job.add_argument("--mask-salt", metavar="FILE", help="file that holds the salt")
-    curate.add_argument("--curated", required=True)
-    curate.add_argument("--mode", default="running", choices=["running", "per_transaction"])
-    curate.add_argument("--products", default="latest", choices=["slice", "latest"])
-    curate.add_argument("--customers", default="slice", choices=["slice", "latest"])
-    curate.add_argument("--snapshots")
+    for job in (curate, recurate):
+        job.add_argument("--mode", default="running", choices=["running", "per_transaction"])
+        job.add_argument("--products", default="latest", choices=["slice", "latest"])
+        job.add_argument("--customers", default="slice", choices=["slice", "latest"])
+        job.add_argument("--snapshots")
     curate.add_argument("--allow-empty", action="store_true")
+    recurate.add_argument("--since", help="first day of landing to look at")
+    erase.add_argument("--index", required=True, help="folder of this job's own")
+    expire.add_argument("--snapshots", required=True)
+    expire.add_argument("--keep", type=int, default=24, help="snapshots of each table to keep")
+    expire.add_argument("--hours", type=float, default=24, help="least age of what is removed")
     snapshot.add_argument("--snapshots", required=True)
     compact.add_argument("--compacted", required=True)
     for job in (curate, snapshot, compact):
@@ -157,7 +174,10 @@ def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
             snapshots=args.snapshots,
             target_files=dict.fromkeys(tables, args.files) if args.files else {},
         )
-        wait(spark, start_landing(log.open, to).values(), args.once, print)
+        with BatchLog(spark, f"{args.tables}/_batches") as batches:
+            queries = start_landing(log.open, to).values()
+            wait(spark, queries, args.once, print)
+            batches.settle(queries)
     elif args.job == "snapshot":
         for table in VERSIONS:
             write_snapshot(
@@ -168,24 +188,43 @@ def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
             compact_slice(
                 spark, args.tables, args.compacted, table, args.date, args.hour, fmt=args.format
             )
-    elif args.job == "curate":
-        rows = curate_slice(
+    elif args.job == "erase":
+        touched = erase_stored(
             spark,
             args.tables,
             args.curated,
-            args.date,
-            args.hour,
-            mode=args.mode,
-            product_scope=args.products,
-            customer_scope=args.customers,
-            snapshots=args.snapshots,
+            args.index,
+            columns=args.mask_columns,
+            method=args.mask,
+            salt=_salt(spark, args.mask_salt),
             fmt=args.format,
-            allow_empty=args.allow_empty,
-            mask=args.mask,
-            mask_salt=_salt(spark, args.mask_salt),
-            mask_columns=args.mask_columns,
         )
-        print(f"{args.date} {args.hour}: {rows} rows")
+        for table, slices in touched.items():
+            print(f"{table}: {len(slices)} slices")
+    elif args.job == "expire":
+        for table in VERSIONS:
+            expire_snapshots(spark, args.snapshots, table, keep=args.keep, least_hours=args.hours)
+        vacuum_curated(spark, args.curated, least_hours=args.hours)
+    elif args.job in ("curate", "recurate"):
+        options = {
+            "mode": args.mode,
+            "product_scope": args.products,
+            "customer_scope": args.customers,
+            "snapshots": args.snapshots,
+            "fmt": args.format,
+            "mask": args.mask,
+            "mask_salt": _salt(spark, args.mask_salt),
+            "mask_columns": args.mask_columns,
+        }
+        if args.job == "recurate":
+            for date, hour in recurate_late(
+                spark, args.tables, args.curated, since=args.since, **options
+            ):
+                print(f"{date} {hour}: curated again")
+        else:
+            options["allow_empty"] = args.allow_empty
+            rows = curate_slice(spark, args.tables, args.curated, args.date, args.hour, **options)
+            print(f"{args.date} {args.hour}: {rows} rows")
     else:
         for feed in FEEDS.values():
             peek(log.look(feed, args.offset, args.rows), args.rows).show(args.rows, truncate=False)

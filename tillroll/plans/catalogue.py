@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -32,7 +33,7 @@ from tillroll.schemas import (
     Feed,
     names,
 )
-from tillroll.session import scratch_dir
+from tillroll.session import scratch_dir, use_rocksdb_state
 from tillroll.sinks.curated import write_curated
 from tillroll.sinks.landed import compact_slice, land
 from tillroll.sinks.log import as_log, stream_to_log_files, write_log_files
@@ -51,6 +52,9 @@ from tillroll.streaming.feeds import (
     start_publishing,
     wait,
 )
+from tillroll.streaming.late import land_in_time
+from tillroll.streaming.metrics import BatchLog
+from tillroll.streaming.metrics import read_batches as read_metrics
 
 LOG_TIME = "2020-01-01 10:15:00"
 LINE = ["transaction_id", "customer_id", "sku", "quanitity", "total", "total_cost"]
@@ -537,6 +541,25 @@ def stream_product_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return read_landed(spark, to.tables, "product").select(*PRODUCT_COLUMNS)
 
 
+def stream_product_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The product feed published twice, the second time with new names of every third sku; these land
+    again, as do none of the others, also over a restart."""
+    to = replace(_landing(spark, "changes"), product_dedup="changes")
+    raw = feeds.products(spark, sf)
+    third = F.col("sku").cast("bigint") % 3 == 0
+    new = raw.withColumn("name", F.when(third, F.concat("name", F.lit(" (new)"))).otherwise(F.col("name")))
+    log, provider = scratch_dir(spark, "log"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    use_rocksdb_state(spark)
+    try:
+        for batch, records in enumerate((raw, new)):
+            write_log_files(_as_log(feeds.as_text(records), PRODUCT), log, batch)
+            land_products(read_log_files(spark, log, [PRODUCT.partition]), to).awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return read_landed(spark, to.tables, "product").select(*PRODUCT_COLUMNS)
+
+
 def stream_event_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """Events arriving in three spans of time, every one twice, unique within the watermark.
 
@@ -601,6 +624,49 @@ def stream_product_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{to.tables}/rejected_product").select(*PRODUCT_COLUMNS, "reason")
 
 
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events, each twice, the last third of their time first: what has become of every row."""
+    to = _landing(spark, "events")
+    source = feeds.table(spark, sf, "events")
+    first, last = source.agg(F.min("ts"), F.max("ts")).first()
+    cut = F.lit(str(first + 2 * (last - first) / 3)).cast("timestamp_ntz")
+    early = F.coalesce(F.col("ts") < cut, F.lit(False))
+    for part in (source.where(~early), source.where(early)):
+        events = part.withColumn("ts", F.col("ts").cast("timestamp"))
+        events.unionByName(events).write.mode("append").parquet(f"{to.tables}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{to.tables}/in")
+        land_in_time(stream, to, "event", "event_id", "ts").awaitTermination()
+    fates = []
+    for fate in ("event", "late_event"):
+        rows = spark.read.parquet(f"{to.tables}/{fate}")
+        fates.append(rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("fate", F.lit(fate)))
+    sums = spark.read.json(f"{to.tables}/_fates/event").agg(
+        F.sum("repeated").alias("n"), F.sum("seen").alias("seen"), F.sum(F.expr("landed + late + repeated")).alias("all")
+    )
+    repeated = sums.where("seen = all").select(F.lit(None).cast("string").alias("event_type"), "n", F.lit("repeated").alias("fate"))
+    return _union([*fates, repeated]).select("event_type", "fate", "n")
+
+
+def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """All feeds landed, bad requests and transactions among them, and what the batches saw read back."""
+    to = _landing(spark, "metrics")
+    bad = {"erasure": feeds.bad_erasures, "transaction": feeds.bad_transactions}
+    starts = {
+        "erasure": land_erasures, "product": land_products, "transaction": land_transactions,
+        "customer": land_customers,
+    }
+    with BatchLog(spark, f"{to.tables}/_batches") as batches:
+        for name, start in starts.items():
+            feed, log = FEEDS[name], _log_files(spark, sf, FEEDS[name])
+            if name in bad:
+                write_log_files(_as_log(bad[name](spark, sf), feed), log, 1)
+            query = start(read_log_files(spark, log, [feed.partition], max_files_per_trigger=1), to)
+            query.awaitTermination()
+            batches.settle([query])
+    seen = read_metrics(spark, f"{to.tables}/_batches")
+    return seen.groupBy("feed").agg(F.sum("records").alias("records"), F.sum("rejected").alias("rejected"))
+
+
 def feeds_to_curated(spark: SparkSession, sf: str) -> DataFrame:
     """Everything: gzip files, the log, landed tables, the curated table of one hour."""
     root = scratch_dir(spark, "all")
@@ -663,11 +729,14 @@ QUERIES = {
         erasure_backfill,
         landed_compacted,
         stream_product_dedup,
+        stream_product_changes,
         stream_event_dedup_watermark,
         stream_transaction_land,
         stream_transaction_replayed,
         stream_customer_erased,
         stream_product_rejects,
+        stream_late_rows,
+        batch_metrics,
         feeds_to_curated,
     )
 }

@@ -295,7 +295,21 @@ from feed_line t join product_clean p on t.sku = p.sku""",
     ),
     "landed_compacted": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
     "stream_product_dedup": with_feeds(PRODUCTS, "product_clean"),
+    "stream_product_changes": with_feeds(
+        f"""{PRODUCTS}
+union all select sku, name || ' (new)', price, category, popularity from product_clean
+where sku::bigint % 3 = 0""",
+        "product_clean",
+    ),
     "stream_event_dedup_watermark": "select * from events",
+    "stream_late_rows": """with bounds as (
+  select max(ts) as last, min(ts) + 2 * ((max(ts) - min(ts)) / 3) as cut from events),
+fated as (
+  select event_type, case when ts < cut and ts < last - interval 10 minutes then 'late_event' else 'event' end as fate
+  from events, bounds)
+select event_type, fate, sum(case when fate = 'event' then 1 else 2 end)::bigint as n from fated group by all
+union all
+select null, 'repeated', count(*) from fated where fate = 'event'""",
     "stream_transaction_land": with_feeds(
         f"select {LANDED_LINE}, '2020-01-01' as date, '10' as hour from feed_line", "feed_line"
     ),
@@ -308,3 +322,5 @@ from feed_line t join product_clean p on t.sku = p.sku""",
         ", '2020' as year, 'January' as month, '2020-01-01' as date, '10' as hour",
     ),
 }
+# The same counts, from what the landing queries reported batch by batch.
+ORACLE["batch_metrics"] = ORACLE["feed_quality"]
