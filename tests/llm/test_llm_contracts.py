@@ -80,3 +80,18 @@ def test_sharding_against_sql(spark):
         want, columns = oracle_bag(con, catalogue.sharding_sql(limit))
         assert sorted(got.columns) == sorted(columns) and spark_bag(got) == want
     con.close()
+
+
+def test_shards_are_written_and_read_back(spark, monkeypatch):
+    from compare import oracle_bag, oracle_connection, spark_bag
+
+    monkeypatch.setattr(catalogue, "QUERY_SHARD_BYTES", 20_000)
+    got = catalogue.op10_sharding(spark, SF)
+    con = oracle_connection(SF)
+    want, _ = oracle_bag(con, catalogue.sharding_sql(20_000))
+    con.close()
+    assert spark_bag(got) == want
+    shards = got.groupBy("shard").agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")).collect()
+    assert len(shards) > 10 and all(r.bytes <= 20_000 or r.n == 1 for r in shards)
+    files = {f.rsplit("/", 2)[1] for f in got.inputFiles()}
+    assert len(files) == len(got.inputFiles()) == len(shards)  # one file each

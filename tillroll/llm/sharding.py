@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.operators.lookup import lookup_join
 from tillroll.session import scratch_dir
@@ -69,10 +70,18 @@ def directory(sized: DataFrame, limit: int, step: int) -> DataFrame:
             .agg(F.sum("bytes").alias("bytes"))
         )
         fits = levels.where(F.col("bytes") <= limit).select("depth", "prefix")
-        own = cells.select("cell", F.explode(depths).alias("depth")).withColumn(
-            "prefix", _coarser("cell", F.lit(fine) - F.col("depth"))
+        # A shard is a prefix that fits and whose parent does not; it has the cells below it. All keys
+        # here are unique, so no join has a hot one.
+        below = fits.select(
+            (F.col("depth") + 1).alias("depth"),
+            F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"),
         )
-        found = own.join(fits, ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
+        shards = fits.join(below, ["depth", "prefix"], "left_anti")
+        first, stop = (
+            F.call_function("shiftleft", p, F.lit(fine) - F.col("depth"))
+            for p in (F.col("prefix"), F.col("prefix") + 1)
+        )
+        found = shards.select("depth", F.explode(F.sequence(first, stop - 1)).alias("cell"))
         placed = cells.select("cell").join(found, "cell", "left")
         path = scratch_dir(spark, "directory")
         placed.write.parquet(path)
@@ -184,6 +193,18 @@ def shard_sizes(sharded: DataFrame) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard: ``shard=<bits>``; the shard of everything is ``shard=all``."""
+    """One folder per shard: ``shard=<bits>``; the shard of everything is ``shard=all``.
+
+    A shard is brought together before it is written, by one task into one file: it fits the limit.
+    """
     named = sharded.withColumn("shard", F.when(F.col("shard") == "", "all").otherwise(F.col("shard")))
-    named.write.partitionBy("shard").parquet(path)
+    named.repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, fields: StructType) -> DataFrame:
+    """The rows of all shards, or with a filter on ``shard`` of some, as they were written.
+
+    ``fields`` are those of the sharded rows; a shard's bits stay text.
+    """
+    rows = spark.read.schema(fields).parquet(path)
+    return rows.withColumn("shard", F.when(F.col("shard") == "all", "").otherwise(F.col("shard")))
