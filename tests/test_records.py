@@ -175,3 +175,73 @@ def test_log_shape_is_kafkas(spark):
     want = spark.createDataFrame([], LOG_FIELDS).dtypes
     assert log_of(spark, PRODUCT, "x").dtypes == want
     assert log_of(spark, PRODUCT, "x").where(F.col("timestamp").isNull()).count() == 0
+
+
+def test_fields_nobody_declared(spark):
+    from tillroll.operators.records import unknown_fields
+    from tillroll.schemas import CUSTOMER, TRANSACTION
+
+    texts = {
+        '{"id": "1", "email": null}': None,
+        '{"id": "1", "vip": true, "é": {"b": [1, 2.50], "a": null}, "x": null}': (
+            '{"vip":true,"x":null,"é":{"a":null,"b":[1,2.5]}}'
+        ),
+        '{"ID": "1"}': '{"ID":"1"}',
+        "[1]": None,
+        "no json": None,
+        "{}": None,
+        '{"id": 1, "a": 1, "a": 2}': None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "value string")
+    got = rows.select("value", unknown_fields(F.col("value"), CUSTOMER).alias("u")).collect()
+    assert {r.value: r.u for r in got} == texts | {None: None}
+    nested = spark.createDataFrame([('{"purchases": {"more": 1}, "vip": 1}',)], "value string")
+    assert nested.select(unknown_fields(F.col("value"), TRANSACTION)).first()[0] == '{"vip":1}'
+
+
+def test_undeclared_fields_land_beside(spark, tmp_path):
+    from test_streaming import Landing, Log
+
+    from tillroll.schemas import CUSTOMER
+    from tillroll.streaming.feeds import land_customers
+
+    log = Log(spark, tmp_path)
+    log.publish(CUSTOMER, {"id": "1", "vip": True}, {"id": "2"})
+    to = Landing(tables=f"{tmp_path}/t", checkpoints=f"{tmp_path}/c", once=True, keep_unknown=True)
+    land_customers(log.read(CUSTOMER), to).awaitTermination()
+    kept = spark.read.parquet(f"{to.tables}/unknown_customer").collect()
+    assert [(r.id, r.unknown) for r in kept] == [("1", '{"vip":true}')]
+    assert "unknown" not in spark.read.parquet(f"{to.tables}/customer").columns
+
+
+def test_published_files_leave_the_listing(spark, tmp_path):
+    """Files move to the archive once the batch after theirs begins; a late one is still published."""
+    import glob
+    import gzip
+
+    from tillroll.schemas import ERASURE
+    from tillroll.sinks.log import stream_to_log_files
+    from tillroll.sources.files import stream_feed_lines
+    from tillroll.operators.records import routed
+
+    root, archive = f"{tmp_path}/feeds", f"{tmp_path}/archive"
+
+    def put(date, id):
+        folder = tmp_path / "feeds" / f"date={date}" / "hour=00" / ERASURE.file_name
+        folder.mkdir(parents=True, exist_ok=True)
+        with gzip.open(folder / f"{id}.gz", "wt") as f:
+            f.write(f'{{"customer-id": "{id}"}}\n')
+
+    def publish():
+        lines = stream_feed_lines(spark, root, ERASURE, numbered=True, archive=archive)
+        log = stream_to_log_files(routed(lines, ERASURE), f"{tmp_path}/log", f"{tmp_path}/checkpoint")
+        log.awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/log").count()
+
+    for n, date in enumerate(("2020-01-02", "2020-01-03", "2020-01-01", "2020-01-04"), 1):
+        put(date, f"c{n}")  # the third comes late
+        assert publish() == n
+    left = {f.rsplit("/", 1)[1] for f in glob.glob(f"{root}/**/c*.gz", recursive=True)}
+    moved = {f.rsplit("/", 1)[1] for f in glob.glob(f"{archive}/**/c*.gz", recursive=True)}
+    assert {"c1.gz", "c2.gz", "c3.gz"} <= moved | left and not moved & left
+    assert "c1.gz" in moved and "c3.gz" in moved and "c4.gz" in left

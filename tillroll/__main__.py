@@ -84,6 +84,7 @@ def _arguments() -> argparse.ArgumentParser:
     publish.add_argument("--feeds", required=True)
     publish.add_argument("--dates", help="pattern of dates to look at, such as '2020-01-*'")
     publish.add_argument("--files-per-trigger", type=int)
+    publish.add_argument("--archive", help="folder that published files move to")
     publish.add_argument("--partitions", type=int, help="spread the lines of large files")
     for job in (land, curate, recurate, erase, snapshot, compact):
         job.add_argument("--tables", required=True)
@@ -97,6 +98,7 @@ def _arguments() -> argparse.ArgumentParser:
     land.add_argument("--dedup", default="forever", choices=["forever", "within_watermark", "changes"])
     land.add_argument("--watermark", default="10 minutes")
     land.add_argument("--snapshots", help="read erasure requests from the last snapshot there on")
+    land.add_argument("--keep-unknown", action="store_true", help="keep undeclared fields")
     land.add_argument("--files", type=int, help="files per micro-batch and table")
     for job in (land, curate, recurate, erase):
         job.add_argument("--mask", default="sha2", choices=["sha2", "murmur3", "null"])
@@ -154,6 +156,7 @@ def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
             date=args.dates,
             max_files_per_trigger=args.files_per_trigger,
             partitions=args.partitions,
+            archive=args.archive,
         )
         wait(spark, queries.values(), args.once)
     elif args.job == "land":
@@ -172,6 +175,7 @@ def main(argv: Sequence[str] | None = None, log_of=KafkaLog) -> None:
             mask_salt=_salt(spark, args.mask_salt),
             mask_columns=tuple(args.mask_columns),
             snapshots=args.snapshots,
+            keep_unknown=args.keep_unknown,
             target_files=dict.fromkeys(tables, args.files) if args.files else {},
         )
         with BatchLog(spark, f"{args.tables}/_batches") as batches:

@@ -15,7 +15,7 @@ from tillroll.operators.lookup import lookup_join
 
 def known_customers(records: DataFrame) -> DataFrame:
     """Records that carry an id."""
-    return quality.valid(records, "customer")
+    return quality.valid(records, "customer").drop("_unknown")
 
 
 def erasure_requests(landed: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.functions import envelope as env
 from tillroll.functions.scalar import money
@@ -61,23 +62,40 @@ def with_feed_slice(log: DataFrame) -> DataFrame:
     return log.withColumns({c: _header(n) if known else none for c, n in carried.items()})
 
 
-def decode_feed(log: DataFrame, feed: Feed, *, envelope: str = "json") -> DataFrame:
+def unknown_fields(record: Column, feed: Feed) -> Column:
+    """The fields of a record's text that the feed does not declare, as JSON by name; null without any.
+
+    Values stay as they are, nested ones whole. A text that is no JSON object, or names a field twice, has
+    none: it is for the rejects to tell.
+    """
+    fields = F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>")
+    declared = StructType.fromDDL(feed.fields).names
+    others = F.map_filter(fields, lambda name, _: ~name.isin(*declared))
+    return F.when(F.size(others) > 0, F.to_json(others))
+
+
+def decode_feed(
+    log: DataFrame, feed: Feed, *, envelope: str = "json", unknown: bool = False
+) -> DataFrame:
     """The feed's records, parsed and spread into columns.
 
-    ``_corrupt`` holds the text of a record that is not quite what the feed declares.
+    ``_corrupt`` holds the text of a record that is not quite what the feed declares. With ``unknown``,
+    ``_unknown`` holds the fields that it does not declare.
     """
     value = F.col("value")
+    record = F.coalesce(env.decode(value, envelope), value)
     parsed = F.from_json(
-        F.coalesce(env.decode(value, envelope), value),
+        record,
         f"{feed.fields}, _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
+    more = [unknown_fields(record, feed).alias("_unknown")] if unknown else []
     # Spread by a generator, not by a projection: later filters cannot move below it, where
     # each would parse the record once more.
     records = (
         with_feed_slice(log_text(log))
         .where(F.col("key") == feed.key)
-        .select("key", *CARRIED, F.inline(F.array(parsed)))
+        .select("key", *CARRIED, *more, F.inline(F.array(parsed)))
     )
     return _reread(records) if feed is TRANSACTION else records
 

@@ -182,6 +182,22 @@ def transaction_lines_quoted(spark: SparkSession, sf: str) -> DataFrame:
     return decode_transaction_lines(log).select(*LANDED_LINE)
 
 
+def transaction_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of one line each, some with fields that no feed declares, which are kept whole."""
+    raw = _raw(spark, sf, TRANSACTION, lines_per_record=1)
+    key = F.get_json_object("value", "$.transaction_id")
+    number = key.cast("bigint")
+    coupon = F.when(number % 5 == 0, F.format_string('"coupon":{"code":"C%s","cents":[1,%s]},', key, key))
+    note = F.when(number % 3 == 0, F.lit('"note":"thanks, \\"bye\\"",'))
+    added = F.concat(F.lit("{"), F.coalesce(note, F.lit("")), F.coalesce(coupon, F.lit("")))
+    value = F.concat(added, F.substring("value", 2, 1 << 30))
+    made = raw.select(F.explode(F.array(value)).alias("value"))  # made once, not wherever it is used
+    records = decode_feed(_as_log(made, TRANSACTION), TRANSACTION, unknown=True)
+    return records.where("_unknown is not null and _corrupt is null").select(
+        "transaction_id", "customer_id", F.col("_unknown").alias("unknown")
+    )
+
+
 def product_clean(spark: SparkSession, sf: str) -> DataFrame:
     return _clean_products(spark, sf)
 
@@ -699,6 +715,7 @@ QUERIES = {
         topic_peek,
         transaction_lines,
         transaction_lines_quoted,
+        transaction_unknown_fields,
         product_clean,
         product_rejected,
         customer_not_null,

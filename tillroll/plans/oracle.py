@@ -172,6 +172,15 @@ group by all""",
 from events order by event_id limit 20""",
     "transaction_lines": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
     "transaction_lines_quoted": with_feeds(f"select {LANDED_LINE} from feed_line", "feed_line"),
+    "transaction_unknown_fields": with_feeds(
+        """select transaction_id, customer_id,
+  '{' || case when transaction_id::bigint % 5 = 0
+    then '"coupon":{"cents":[1,' || transaction_id || '],"code":"C' || transaction_id || '"}' else '' end
+  || case when transaction_id::bigint % 15 = 0 then ',' else '' end
+  || case when transaction_id::bigint % 3 = 0 then '"note":"thanks, \\"bye\\""' else '' end || '}' as unknown
+from feed_line where transaction_id::bigint % 5 = 0 or transaction_id::bigint % 3 = 0""",
+        "feed_line",
+    ),
     "product_clean": with_feeds(PRODUCTS, "product_clean"),
     "product_rejected": with_feeds(REJECTS, "feed_product"),
     "customer_not_null": with_feeds("select * from customer_known", "customer_known"),

@@ -44,7 +44,7 @@ def land(
     """
     seen = Observation("landed")
     slices = F.collect_set(F.concat_ws(" ", "date", "hour")).alias("slices")  # those of one batch
-    out = rows.drop(*CARRIED, "_corrupt").withColumn("batch", F.lit(batch))
+    out = rows.drop(*CARRIED, "_corrupt", "_unknown").withColumn("batch", F.lit(batch))
     if target_files:
         out = out.repartition(target_files)
     else:

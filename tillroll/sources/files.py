@@ -58,16 +58,20 @@ def stream_feed_lines(
     max_files_per_trigger: int | None = None,
     partitions: int | None = None,
     numbered: bool = False,
+    archive: str | None = None,
 ) -> DataFrame:
     """The same as a stream. The checkpoint remembers the files read, so that none is read
     twice and one that arrives late is still picked up.
 
     Each trigger lists the feed's folders; a ``date`` pattern such as ``2020-01-*`` keeps that
-    short where years of them lie about.
+    short where years of them lie about. With ``archive`` files move to that folder once the batch after
+    theirs begins, so that what is listed are the files to come; one that arrives late is still found.
     """
     reader = spark.readStream.schema(LINE_FIELDS).option("basePath", root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     text = reader.text(feed_glob(root, feed, date))
     lines = _non_blank(numbered_lines(text) if numbered else text)
     return lines.repartition(partitions) if partitions else lines
