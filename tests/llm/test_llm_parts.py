@@ -203,7 +203,7 @@ def test_a_block_of_a_hot_group_of_lines(spark, monkeypatch):
     docs = make_documents(spark, *rows)
     got = sorted(tuple(r) for r in lines.count_lines(docs).select("doc_id", "n_lines", "removed").collect())
     assert got == sorted(brute.line_rows(rows))
-    monkeypatch.setattr(lines, "FILTER_ROWS", 0)  # the way without sending hashes to tasks
+    monkeypatch.setattr(lines, "FILTER_BITS", 15)  # a bitmap that lets most lines through
     again = lines.count_lines(docs).select("doc_id", "n_lines", "removed")
     assert sorted(tuple(r) for r in again.collect()) == got
 
@@ -521,3 +521,18 @@ def test_shards_are_written(spark, tmp_path):
     sharding.write_shards(sharding.shard(docs, 600), f"{tmp_path}/shards")
     back = spark.read.parquet(f"{tmp_path}/shards")
     assert back.count() == 50 and back.select("shard").distinct().count() > 8
+
+
+def test_the_bitmap_lets_every_wanted_line_through(spark, monkeypatch):
+    """One way at every size: a bitmap too small for its lines costs rows, not results."""
+    from tillroll.llm.tables import read_table
+
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    want = Counter(tuple(r) for r in lines.count_lines(docs).collect())
+    for bits in (15, 20):
+        monkeypatch.setattr(lines, "FILTER_BITS", bits)
+        assert Counter(tuple(r) for r in lines.count_lines(docs).collect()) == want
+    hashes = [0, 1, -1, 5 << 50, -(1 << 63)]
+    found = lines._bitmap(spark.createDataFrame([(h,) for h in hashes], "line bigint"))
+    at = (np.array(hashes, np.int64).view(np.uint64) >> np.uint64(44)).astype(np.int64)
+    assert sorted(np.flatnonzero(np.unpackbits(found, bitorder="little")).tolist()) == sorted(set(at.tolist()))

@@ -41,7 +41,7 @@ LEAST_BYTES = 32
 FLUSH_BYTES = 16 * 1024 * 1024
 HASH_BYTES = 1024 * 1024  # of lines hashed at once
 RECORDS_PER_BYTE = 0.6  # bytes of records per byte of text, to plan buckets with
-FILTER_ROWS = 2_000_000  # candidate lines whose hashes a task may be sent, 16 MB
+FILTER_BITS = 27  # of the bitmap of candidate lines that every task is sent: 16 MB at any size
 BLOCK = 1024  # lines of a group that are checked together
 _WHITE = SPACES.encode()
 
@@ -234,25 +234,38 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"grp": name.view(np.int64), "line": refs.view(np.int64), "probe": probe})
 
 
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """A bit for each value of the first ``FILTER_BITS`` bits of a hash, set where a wanted line has it.
+
+    Its size is the same however many lines are wanted; it comes back in pieces of 4 kB.
+    """
+    value = F.expr(f"shiftrightunsigned(line, {64 - FILTER_BITS}) + 1")
+    pieces = wanted.groupBy(F.bitmap_bucket_number(value).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits")
+    )
+    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    rows = pieces.toArrow()
+    for piece, bits in zip(rows.column("piece").to_pylist(), rows.column("bits"), strict=True):
+        raw = np.frombuffer(bits.as_buffer(), np.uint8)
+        found[(piece - 1) * len(raw) : piece * len(raw)] = raw
+    return found
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``line`` and ``text`` of the wanted line hashes.
+    """``line`` and ``text`` of the wanted line hashes, and of others that a bitmap lets through.
 
-    Where they are few, tasks are sent the hashes and only those lines leave them; otherwise all
-    lines are shuffled to the join.
+    Only these leave the tasks that read them. With n lines wanted, about one in 2**FILTER_BITS / n of the
+    others is let through; the join that follows drops it.
     """
-    n = wanted.count()
-    known = None
-    if n <= FILTER_ROWS:
-        known = np.sort(np.array([r[0] for r in wanted.collect()], np.int64).view(np.uint64))
+    known = _bitmap(wanted)
     schema = pa.schema([("line", pa.int64()), ("text", pa.binary())])
 
     def batch(lines: dict[int, bytes]) -> pa.RecordBatch:
         hashes = np.array(list(lines), np.uint64)
         texts = list(lines.values())
-        if known is not None:
-            at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-            keep = np.flatnonzero(known[at] == hashes) if len(known) else np.zeros(0, np.int64)
-            hashes, texts = hashes[keep], [texts[i] for i in keep.tolist()]
+        at = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        keep = np.flatnonzero(known[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+        hashes, texts = hashes[keep], [texts[i] for i in keep.tolist()]
         return pa.RecordBatch.from_arrays(
             [pa.array(hashes.view(np.int64)), pa.array(texts, pa.binary())], schema=schema
         )
