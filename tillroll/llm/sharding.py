@@ -104,6 +104,23 @@ def directory(sized: DataFrame, limit: int, step: int) -> DataFrame:
     )
 
 
+def _own(bits: Column, depth: Column) -> Column:
+    return F.call_function("shiftright", bits, F.lit(BITS) - depth)
+
+
+def _shards_near(cells: DataFrame, depth: int) -> DataFrame:
+    """Per prefix of a depth (``near``), the depths and prefixes of the ``shards`` within it or around it."""
+    d, p = F.col("depth"), F.col("prefix")
+    down = [
+        F.call_function("shiftleft", x, F.greatest(F.lit(depth) - d, F.lit(0))) for x in (p, p + 1)
+    ]
+    around = F.sequence(down[0], down[1] - 1)
+    within = F.array(F.call_function("shiftright", p, F.greatest(d - F.lit(depth), F.lit(0))))
+    found = cells.where(d.isNotNull()).select("depth", "prefix").distinct()
+    met = found.select("depth", "prefix", F.explode(F.when(d < depth, around).otherwise(within)).alias("near"))
+    return met.groupBy("near").agg(F.collect_list(F.struct("depth", "prefix")).alias("shards"))
+
+
 def n_bytes() -> Column:
     return F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
 
@@ -128,23 +145,24 @@ def shard(
     )
     sized = placed.select(F.col("_hash").alias("hash"), F.col("n_bytes").alias("bytes"))
     cells = directory(sized, limit, step)
-    depths = sorted(r[0] for r in cells.select("cell_depth").distinct().collect())
-    keys = {"cell_depth": "_cell_depth", "cell": "_cell", "depth": "_depth", "prefix": "_prefix"}
-    entries = cells.withColumnsRenamed(keys)
-    if not depths:  # no rows
-        entries = entries.withColumn("_cell_depth", F.lit(1))
-        depths = [1]
-    # What the directory leaves open at one depth belongs to cells of the next.
-    out = None
-    for d in depths:
-        level = entries.where(F.col("_cell_depth") == d).drop("_cell_depth")
-        met = lookup_join(
-            placed.withColumn("_at", _prefix(F.col("_hash"), d)), level, {"_at": "_cell"}
-        ).drop("_at")
-        out = met if out is None else out.unionByName(met)
+    depths = [r[0] for r in cells.select("cell_depth").distinct().collect()]
+    # A prefix that a few shards share, so that one join brings each shard's rows together.
+    n_shards = cells.select("depth", "prefix").distinct().count()
+    depth = max(0, n_shards.bit_length() - 2)
+    near = _shards_near(cells, depth)
+    met = lookup_join(
+        placed.withColumn("_near", _prefix(F.col("_hash"), depth)),
+        near.hint("merge"),  # at every size, as broadcasting would leave the rows where they are
+        {"_near": "near"},
+        "left",
+    ).drop("_near")
+    held = F.filter("shards", lambda x: _own(F.col("_hash"), x["depth"]) == x["prefix"])
+    out = met.withColumn("_shard", F.get(held, F.lit(0))).drop("shards")
+    out = out.select("*", F.col("_shard.depth").alias("_depth"), F.col("_shard.prefix").alias("_prefix"))
+    out = out.drop("_shard")
     bits = F.lpad(F.conv(F.col("_prefix").cast("string"), 10, 2), F.col("_depth"), F.lit("0"))
     named = out.withColumn("_name", F.when(F.col("_depth") == 0, "").otherwise(bits))
-    dealt = _dealt(named, limit, depths[-1])
+    dealt = _dealt(named, limit, max(depths, default=0))
     kept = [F.col("_row").getField(c).alias(c) for c in rows.columns if c not in ("shard", "n_bytes")]
     return dealt.select(*kept, "n_bytes", "shard")
 
@@ -195,10 +213,11 @@ def shard_sizes(sharded: DataFrame) -> DataFrame:
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder per shard: ``shard=<bits>``; the shard of everything is ``shard=all``.
 
-    A shard is brought together before it is written, by one task into one file: it fits the limit.
+    Rows as they come from :func:`shard` are together by shard, so a task writes whole shards: those of
+    a prefix, one file each. Only a shard larger in hash space than most has several files.
     """
     named = sharded.withColumn("shard", F.when(F.col("shard") == "", "all").otherwise(F.col("shard")))
-    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    named.write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, fields: StructType) -> DataFrame:
