@@ -40,10 +40,15 @@ def _stale_until(slices: DataFrame, entries: DataFrame) -> DataFrame:
 
     Per landing query, the highest number up to a slice runs along the slices in order.
     """
-    queries = entries.select("query").distinct().withColumn("_all", F.lit(1))
-    own = slices.where("key like 'until:%' or key like 'all:%'").withColumn("_all", F.lit(1))
-    at = {c: F.when(F.col("key").startswith("all:"), v).otherwise(F.col(c)) for c, v in zip(("date", "hour"), EVERYTHING, strict=True)}
-    asked = own.join(queries, "_all").select(
+    names = [r.query for r in entries.select("query").distinct().collect()]  # one per checkpoint
+    queries = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    own = slices.where("key like 'until:%' or key like 'all:%'").withColumn("query", F.explode(queries))
+    whole = F.col("key").startswith("all:")
+    at = {
+        c: F.when(whole, last).otherwise(F.col(c))
+        for c, last in zip(("date", "hour"), EVERYTHING, strict=True)
+    }
+    asked = own.select(
         "query", at["date"].alias("date"), at["hour"].alias("hour"),
         F.struct("date", "hour").alias("of"), F.lit(None).cast("bigint").alias("number"),
         F.coalesce(F.col("clock")[F.col("query")], F.lit(-1)).alias("taken"),
