@@ -68,6 +68,35 @@ def test_lines(spark, docs):
     assert got.where(F.size(F.split("removed", ",")) != F.greatest("n_removed", F.lit(1))).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op6_line_dedup", "op8_substring_dedup"])
+def test_repeats_against_sql(spark, name):
+    from compare import oracle_bag, oracle_connection, spark_bag
+
+    con = oracle_connection(SF)
+    want, columns = oracle_bag(con, catalogue.ORACLE[name])
+    con.close()
+    got = catalogue.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns) and spark_bag(got) == want
+
+
+def test_lines_against_sql_on_edited_lines(spark, tmp_path):
+    """Bytes beyond ASCII, edits at both ends, chains of edits, blank and short lines."""
+    import duckdb
+
+    line = "Gr\u00fc\u00dfe aus dem Norden, wo der Wind \u00fcber die Felder weht"
+    near = [line, "x" + line, line[1:], line.replace("\u00fc", "u", 1), line + "zz", line + "zzyy", line[2:-1]]
+    texts = ["\n".join([f"{i} of its own", near[i % 7], "", " \t", "short", near[i * 3 % 7] + " "]) for i in range(12)]
+    path = str(tmp_path / "documents.parquet")
+    rows = [*enumerate(texts), (50, None), (51, ""), (None, texts[0])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view documents as from '{path}/*.parquet'")
+    names = "doc_id, n_lines, n_removed, removed"
+    want = con.sql(f"select {names} from ({catalogue.LINES_SQL})").fetchall()
+    got = [tuple(r) for r in catalogue.op6_line_dedup(spark, str(tmp_path)).select(*names.split(", ")).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_sharding_against_sql(spark):
     from compare import oracle_bag, oracle_connection, spark_bag
 

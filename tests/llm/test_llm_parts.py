@@ -220,6 +220,25 @@ def test_super_kmers_cover_every_window_once():
     assert seen == list(range(len(starts) - 49))
 
 
+def test_more_hot_minimisers_than_tasks_are_sent(spark, monkeypatch):
+    """Which hot minimisers are told apart one by one decides no result."""
+    rng = random.Random(14)
+    own = lambda n: " ".join("".join(rng.choices("abcdef", k=6)) for _ in range(n))
+    passage = own(200)
+    rows = [(i, f"{own(20)} {passage} {own(20)}") for i in range(60)]
+    docs = make_documents(spark, *rows).repartition(4)
+    texts = docs.selectExpr("doc_id", "xxhash64(text) as text_hash", "cast(text as binary) as text")
+    monkeypatch.setattr(substring, "HOT", 20)
+    names = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    want = sorted(brute.substring_rows(rows))
+    for most in (2, 1 << 20):
+        monkeypatch.setattr(substring, "MOST_HOT", most)
+        hot = substring._hot_minimisers(texts, 50, 8).tolist()
+        assert hot == sorted(hot) and (len(hot) == 2 if most == 2 else len(hot) > 2)
+        got = substring.remove_repeats(docs).select(*names).collect()
+        assert sorted(tuple(r) for r in got) == want
+
+
 def test_substring_of_small_windows(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(rng.choices("abc", k=rng.randint(0, 60)))) for i in range(40)]

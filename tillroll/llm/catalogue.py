@@ -141,7 +141,72 @@ select doc_id, n_bytes,
 from placed"""
 
 
+#: Words of a window of 50 that also starts in an earlier document, window by window.
+REPEATS_SQL = r"""with docs as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+windows as (
+  select r, doc_id, i, array_to_string(words[i:i + 49], ' ') as w
+  from docs, unnest(range(1, len(words) - 48)) s(i)
+  where doc_id is not null),
+firsts as (select w, min(doc_id) as least from windows group by w having min(doc_id) < max(doc_id)),
+hits as (select r, i from windows join firsts using (w) where doc_id > least),
+words as (select r, j, words[j] as word from docs, unnest(range(1, len(words) + 1)) s(j)),
+judged as (
+  select words.r, j, word, count(i) over (
+    partition by words.r order by j rows between 49 preceding and current row) > 0 as gone
+  from words left join hits on words.r = hits.r and words.j = hits.i),
+kept as (
+  select r, count(*) as n_words, count_if(gone)::bigint as n_removed,
+    string_agg(word, ' ' order by j) filter (not gone) as kept
+  from judged group by r)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from docs left join kept using (r)"""
+
+#: Edit distance of all lines of like length, of which one holds a third of the other unchanged.
+LINES_SQL = f"""with recursive docs as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as parts
+  from documents),
+lines as (
+  select r, doc_id, place, trim(parts[place + 1], e' \\t\\n\\x0b\\x0c\\r') as line
+  from docs, unnest(range(0, len(parts))) s(place)),
+own as (select * from lines where line <> ''),
+sized as materialized (
+  select line, strlen(line) as n, left(line, length(line) // 3) as head,
+    substr(line, length(line) // 3 + 1, length(line) // 3) as middle,
+    substr(line, 2 * (length(line) // 3) + 1) as tail
+  from (select distinct line from own) where strlen(line) >= {lines.LEAST_BYTES}),
+like_long as materialized (
+  select a.line as a, a.head, a.middle, a.tail, b.line as b
+  from sized a join sized b
+  on b.n between a.n and a.n + {lines.MAX_EDITS} and a.line <> b.line),
+near as materialized (
+  select a, b from like_long where contains(b, head) or contains(b, middle) or contains(b, tail)),
+links as (select a, b from near where levenshtein(a, b) <= {lines.MAX_EDITS}),
+both_ways as (select a, b from links union select b, a from links),
+reached(a, b) as (
+  select a, b from both_ways union select reached.a, both_ways.b from reached join both_ways on reached.b = both_ways.a),
+classes as (
+  select line, coalesce(least(line, min(b)), line) as class
+  from (select distinct line from own) left join reached on line = a group by line),
+placed as (
+  select r, place, row(doc_id is null, doc_id, r, place) as spot,
+    min(row(doc_id is null, doc_id, r, place)) over (partition by class) as first
+  from own join classes using (line)),
+counted as (
+  select r, count(*) as n_lines, count_if(spot > first)::bigint as n_removed,
+    string_agg(place::varchar, ',' order by place) filter (spot > first) as removed
+  from placed group by r)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+  coalesce(removed, '') as removed
+from docs left join counted using (r)"""
+
+
 ORACLE = {
+    "op6_line_dedup": LINES_SQL,
+    "op8_substring_dedup": REPEATS_SQL,
     "op10_sharding": sharding_sql(QUERY_SHARD_BYTES),
     "op11_source_divergence": divergence.AUDIT_SQL,
 }

@@ -11,7 +11,9 @@ first, and those of more than ``HOT`` strings do not go to a bucket: their windo
 one, by a 128-bit BLAKE2 digest of their words. The least doc_id per digest is combined before its
 shuffle, and only digests of two documents or more are joined back, by a join that splits hot keys.
 A task counts ``COUNTED`` strings at a time and leaves out minimisers it met once among them, so a bucket
-gets at most ``HOT`` strings of a minimiser and one for each such count.
+gets at most ``HOT`` strings of a minimiser and one for each such count. Tasks are sent the ``MOST_HOT``
+most frequent of them, 8 MB at any size; a minimiser beyond those has less than one in ``MOST_HOT`` of all
+strings. Which way a window goes decides no result.
 
 A document is its doc_id. Rows that repeat are treated alike, as each row's words are compared with
 smaller ids only. A row without doc_id keeps all its words and removes none. A null or empty text
@@ -46,6 +48,7 @@ MINIMISER = 8
 FLUSH_BYTES = 24 * 1024 * 1024
 LEVEL = 3
 HOT = 10_000  # strings of one minimiser, wherever they lie, that one task may lay out
+MOST_HOT = 1 << 20  # minimisers whose windows are told apart one by one
 COUNTED = 1_000_000
 GROWTH = 3.2  # bytes of super-k-mers per byte of text, to plan buckets with
 
@@ -73,12 +76,26 @@ def _runs(raw: bytes, window: int, minimiser: int):
     return joined, starts, ends, least[begins], begins, np.append(cuts, len(least))
 
 
-def super_kmers(raw: bytes, window: int, minimiser: int):
-    """(minimiser's hash, first word, words) of every run of windows with one minimiser."""
+NONE_HOT = np.zeros(0, np.uint64)
+
+
+def super_kmers(
+    raw: bytes, window: int, minimiser: int, hot: np.ndarray = NONE_HOT, of_hot: bool = False
+):
+    """(minimiser's hash, first word, words) of every run of windows with one minimiser.
+
+    ``hot`` is ascending; only runs whose minimiser is in it, or only the others, come out.
+    """
     found = _runs(raw, window, minimiser)
     if found is None:
         return
     joined, starts, ends, least, begins, stops = found
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+        own = (hot[at] == least) == of_hot
+        least, begins, stops = least[own], begins[own], stops[own]
+    elif of_hot:
+        return
     spans = zip(
         least.tolist(), begins.tolist(), starts[begins].tolist(),
         ends[stops - 2 + window].tolist(), strict=True,
@@ -136,8 +153,8 @@ def _rows(batches):
             yield from zip(*columns, strict=True)
 
 
-def _hot_minimisers(texts: DataFrame, window: int, minimiser: int, most: int) -> frozenset[int]:
-    """Hashes of the minimisers of more than ``most`` strings: at most one for so many strings in all."""
+def _hot_minimisers(texts: DataFrame, window: int, minimiser: int) -> np.ndarray:
+    """Hashes, ascending, of the most frequent minimisers among those of more than ``HOT`` strings."""
 
     def counted(parts):
         values, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -161,17 +178,17 @@ def _hot_minimisers(texts: DataFrame, window: int, minimiser: int, most: int) ->
             yield counted(parts)
 
     counts = texts.mapInArrow(run, "minimiser bigint, n bigint").groupBy("minimiser")
-    hot = counts.agg(F.sum("n").alias("n")).where(F.col("n") > most).collect()
-    return frozenset(r["minimiser"] % 2**64 for r in hot)
+    hot = counts.agg(F.sum("n").alias("n")).where(F.col("n") > HOT)
+    most = hot.orderBy(F.desc("n"), "minimiser").limit(MOST_HOT).select("minimiser").toArrow()
+    return np.sort(most.column("minimiser").to_numpy().view(np.uint64))
 
 
-def _scan(window: int, minimiser: int, buckets: int, hot: frozenset[int]):
+def _scan(window: int, minimiser: int, buckets: int, hot: np.ndarray):
     def run(batches):
         out = _Outgoing(buckets)
         for doc_id, text_hash, raw in _rows(batches):
-            for h, first, words in super_kmers(raw, window, minimiser):
-                if h not in hot:
-                    out.add(h, words, doc_id, text_hash, first)
+            for h, first, words in super_kmers(raw, window, minimiser, hot):
+                out.add(h, words, doc_id, text_hash, first)
             if out.size > FLUSH_BYTES:
                 yield out.flush()
         if out.met:
@@ -254,7 +271,7 @@ def _count(window: int):
 HOT_WINDOWS = "digest binary, doc_id bigint, text_hash bigint, first int"
 
 
-def _hot_windows(window: int, minimiser: int, hot: frozenset[int]):
+def _hot_windows(window: int, minimiser: int, hot: np.ndarray):
     schema = pa.schema(
         [("digest", pa.binary()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int32())]
     )
@@ -267,9 +284,7 @@ def _hot_windows(window: int, minimiser: int, hot: frozenset[int]):
     def run(batches):
         rows, digests = [], {}
         for doc_id, text_hash, raw in _rows(batches):
-            for h, first, words in super_kmers(raw, window, minimiser):
-                if h not in hot:
-                    continue
+            for _, first, words in super_kmers(raw, window, minimiser, hot, of_hot=True):
                 own = digests.get(words)
                 if own is None:
                     if len(digests) >= 5000:
@@ -306,7 +321,7 @@ def _as_runs(window: int):
     return run
 
 
-def _hot_ranges(texts: DataFrame, window: int, minimiser: int, hot: frozenset[int]) -> DataFrame:
+def _hot_ranges(texts: DataFrame, window: int, minimiser: int, hot: np.ndarray) -> DataFrame:
     """Ranges to remove among the windows of hot minimisers."""
     windows = texts.mapInArrow(_hot_windows(window, minimiser, hot), HOT_WINDOWS)
     ids = windows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -328,10 +343,10 @@ def repeated_ranges(
         F.xxhash64(whole_text()).alias("text_hash"),
         whole_text().cast("binary").alias("text"),
     )
-    hot = _hot_minimisers(texts, window, minimiser, HOT)
+    hot = _hot_minimisers(texts, window, minimiser)
     strings = texts.mapInArrow(_scan(window, minimiser, buckets, hot), PACKED)
     ranges = strings.groupBy("bucket").applyInArrow(_count(window), RANGES)
-    return ranges.unionByName(_hot_ranges(texts, window, minimiser, hot)) if hot else ranges
+    return ranges.unionByName(_hot_ranges(texts, window, minimiser, hot)) if len(hot) else ranges
 
 
 def _kept_words(raw: bytes, ranges: list) -> tuple[list[bytes], int]:
