@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -397,3 +399,101 @@ def divergence_rows(docs, least_docs=10):
                 ranked = sorted(rows, key=lambda r: (-r[0], r[1].encode()))[:most]
                 out += [(lang, s, part, x, v, k + 1) for k, (v, x) in enumerate(ranked)]
     return out
+
+
+def _signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def quality_features(text):
+    text = text or ""
+    n, chars, symbols, dup, repeated, _ = quality_row(text)
+    n_lines = sum(bool(words(line)) for line in text.split("\n"))
+    count = lambda pattern: len(re.findall(pattern, text))
+    share = lambda a, b: a / b if b else 0.0
+    return {
+        "repeat_share": share(repeated, n),
+        "symbols_per_word": share(symbols, n),
+        "dup_line_share": share(dup, n_lines),
+        "word_length": share(chars, n),
+        "upper_share": share(count("[A-Z]"), chars),
+        "digit_share": share(count("[0-9]"), chars),
+        "marks_per_word": share(count(r"""[!?;:"'()\[\]{}/\\~^_=+@`]"""), n),
+        "words_per_line": share(n, n_lines),
+    }
+
+
+def _holds(rule, values):
+    return all((values[f] > t) == above for f, above, t in rule)
+
+
+def quality_rules(docs, labels):
+    """Ordered rules, each a list of (feature, above, threshold), by sequential covering."""
+    bad = {}
+    for i, quality in labels:
+        if i is not None and quality is not None:
+            bad[i] = bad.get(i, False) or quality == 0
+    known = [(i, quality_features(t), bad[i]) for i, t in docs if i in bad and not quality_row(t)[-1]]
+    if len({b for _, _, b in known}) < 2:
+        return []
+    cuts = {}
+    for f in known[0][1]:
+        cuts[f] = set()
+        for kind in (True, False):
+            values = sorted(v[f] for _, v, b in known if b == kind)
+            for k in range(25):
+                cuts[f].add(values[max(math.ceil(k / 24 * len(values)) - 1, 0)])
+    third = lambda i: _signed(xxhash.xxh64_intdigest(struct.pack("<q", i), 42)) % 3 == 0
+    growing = [(v, b) for i, v, b in known if not third(i)]
+    pruning = [(v, b) for i, v, b in known if third(i)]
+    rules = []
+    while len(rules) < 8:
+        now, grown = growing, []
+        while len(grown) < 3:
+            bad0, best = sum(b for _, b in now), (1e-9, None)
+            for f, own in cuts.items():
+                for cut in sorted(own):
+                    for above in (False, True):
+                        left = [b for v, b in now if (v[f] > cut) == above]
+                        n_bad = sum(left)
+                        if n_bad:
+                            before, after = bad0 / len(now), n_bad / len(left)
+                            gain = n_bad * (math.log2(after) - math.log2(before))
+                            if gain > best[0] + 1e-9:
+                                best = (gain, (f, above, cut))
+            if best[1] is None:
+                break
+            f, above, cut = best[1]
+            low = max(v[f] for v, _ in now if v[f] <= cut)
+            high = min(v[f] for v, _ in now if v[f] > cut)
+            grown.append((f, above, (low + high) / 2))
+            now = [(v, b) for v, b in now if _holds(grown[-1:], v)]
+            if all(b for _, b in now):
+                break
+        best = (0.0, [])
+        for k in range(1, len(grown) + 1):
+            got = [b for v, b in pruning if _holds(grown[:k], v)]
+            n, n_bad, share = len(got), sum(got), sum(b for _, b in pruning) / max(len(pruning), 1)
+            if not n_bad or n_bad < 0.95 * n or n_bad / n <= share:
+                continue
+            told = n_bad * math.log(n_bad / n / share)
+            if n > n_bad:
+                told += (n - n_bad) * math.log((n - n_bad) / n / (1 - share))
+            if math.exp(-told) <= 0.001 and (n_bad + 0.5) / (n + 1) > best[0]:
+                best = ((n_bad + 0.5) / (n + 1), grown[:k])
+        if not best[1]:
+            break
+        rules.append(best[1])
+        growing, pruning = ([r for r in rows if not _holds(best[1], r[0])] for rows in (growing, pruning))
+    return rules
+
+
+def quality_verdicts(docs, labels):
+    """(doc_id, kept, number of the rule that rejects it)."""
+    rules = quality_rules(docs, labels)
+    out = []
+    for i, text in docs:
+        values = quality_features(text)
+        rule = next((k for k, r in enumerate(rules) if _holds(r, values)), None)
+        out.append((i, rule is None and not quality_row(text)[-1], rule))
+    return out

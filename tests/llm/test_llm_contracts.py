@@ -31,6 +31,17 @@ def test_quality_statistics(spark, docs):
     assert got.where("kept and base_failed").count() == 0
 
 
+def test_quality_verdicts(spark):
+    """The learned list against the plain learner, where there are labels enough for one."""
+    sf = SF.replace("0.001", "0.01")
+    rows = [tuple(r) for r in read_table(spark, sf, "documents").select("doc_id", "text").collect()]
+    labels = [tuple(r) for r in read_table(spark, sf, "labels").select("doc_id", "quality").collect()]
+    want = brute.quality_verdicts(rows, labels)
+    assert any(rule is not None for _, _, rule in want)
+    got = catalogue.op2_quality_rules(spark, sf).select("doc_id", "kept", "rule").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_pii(spark, docs):
     got = catalogue.op3_pii(spark, SF)
     kinds = pii.KINDS[: pii.N_BASE]

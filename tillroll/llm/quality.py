@@ -4,7 +4,8 @@ Built-in functions only. Sequential covering: a rule is grown threshold by thres
 of the labelled texts not covered yet, pruned on the other third, and kept if it is right often
 enough there; what it covers is set aside and the next one is grown. The result is an ordered
 conditional expression. All counting is done by Spark over all labelled texts; the driver sees a
-few counts per threshold.
+few counts per threshold. A threshold lies half-way between the values of the growing texts that it
+parts, so a text a little beyond all good ones seen is not rejected yet.
 
 A null text has no words. Rows that repeat are judged alike. A document with several labels counts
 once, as bad if any label says so; labels that are null or belong to no document are left out. With
@@ -13,9 +14,9 @@ no labels, or one kind only, the list is empty and the base rule alone decides.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
-from math import log2
+from math import exp, log, log2
 from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
@@ -162,13 +163,18 @@ def verdict(rules: list[Rule]) -> Column:
 
 @dataclass(frozen=True)
 class Learning:
-    """How rules are learned; ``least_precision`` is what a rule must reach on the pruning third."""
+    """How rules are learned.
+
+    On the pruning third a rule must reach ``least_precision``, and cover so many bad texts that as many
+    among texts taken at random are less likely than ``most_chance``: a few where bad texts are
+    rare, more where they are common, so that small sets of labels are learned from too.
+    """
 
     max_rules: int = 8
     max_conditions: int = 3
     cuts: int = 24
     least_precision: float = 0.95
-    least_covered: int = 8
+    most_chance: float = 0.001
 
 
 def _gain(bad: int, good: int, bad0: int, good0: int) -> float:
@@ -178,6 +184,15 @@ def _gain(bad: int, good: int, bad0: int, good0: int) -> float:
     return bad * (log2(bad / (bad + good)) - log2(bad0 / (bad0 + good0)))
 
 
+def _chance(bad: int, good: int, share: float) -> float:
+    """A bound (Chernoff's) of how likely such a share of bad texts is, where ``share`` of all are bad."""
+    n = bad + good
+    if not n or bad / n <= share:
+        return 1.0
+    told = sum(k * log(k / (n * of)) for k, of in ((bad, share), (good, 1 - share)) if k)
+    return exp(-told)
+
+
 def _cuts(rows: DataFrame, options: Learning) -> dict[str, list[float]]:
     """Candidate thresholds per feature: quantiles of the bad texts and of the good ones."""
     shares = [i / options.cuts for i in range(options.cuts + 1)]
@@ -224,6 +239,13 @@ def _best(histogram, cuts) -> tuple[float, Condition | None, int]:
     return best, chosen, left
 
 
+def _half_way(rows: DataFrame, condition: Condition) -> Condition:
+    """The condition with its threshold in the middle of the gap between rows that it lies in."""
+    value, c = F.col(condition.feature), condition.threshold
+    gap = rows.agg(F.max(F.when(value <= c, value)), F.min(F.when(value > c, value))).first()
+    return replace(condition, threshold=(gap[0] + gap[1]) / 2)
+
+
 def _grow(rows: DataFrame, cuts, options: Learning) -> Rule:
     rule: Rule = ()
     while len(rule) < options.max_conditions:
@@ -231,7 +253,7 @@ def _grow(rows: DataFrame, cuts, options: Learning) -> Rule:
         gain, condition, n_good = _best(_histogram(now, cuts), cuts)
         if condition is None:
             break
-        rule = (*rule, condition)
+        rule = (*rule, _half_way(now, condition))
         if n_good == 0:
             break
     return rule
@@ -250,19 +272,24 @@ def _prune(rows: DataFrame, rule: Rule, options: Learning) -> Rule:
     """The shortest beginning of the rule with the best precision on rows it was not grown on."""
     stems = [rule[: i + 1] for i in range(len(rule))]
     counts = rows.agg(
+        F.count_if("bad").alias("bad"),
+        F.count(F.lit(1)).alias("n"),
         *[
             F.count_if(_on_columns(s) & (F.col("bad") == b)).alias(f"n{i}_{int(b)}")
             for i, s in enumerate(stems)
             for b in (True, False)
-        ]
+        ],
     ).first()
     best: tuple[float, Rule] = (0.0, ())
     for i, stem in enumerate(stems):
         bad, good = counts[f"n{i}_1"], counts[f"n{i}_0"]
+        if bad < options.least_precision * (bad + good):
+            continue
         precision = (bad + 0.5) / (bad + good + 1)
-        if bad >= options.least_covered and precision > best[0]:
+        likely = _chance(bad, good, counts["bad"] / counts["n"]) if bad else 1.0
+        if likely <= options.most_chance and precision > best[0]:
             best = (precision, stem)
-    return best[1] if best[0] >= options.least_precision else ()
+    return best[1]
 
 
 def learn(stats: DataFrame, labels: DataFrame, options: Learning = Learning()) -> list[Rule]:
