@@ -71,7 +71,8 @@ def unknown_fields(record: Column, feed: Feed) -> Column:
     fields = F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>")
     declared = StructType.fromDDL(feed.fields).names
     others = F.map_filter(fields, lambda name, _: ~name.isin(*declared))
-    return F.when(F.size(others) > 0, F.to_json(others))
+    # One use of each part, as an expression used twice is computed twice.
+    return F.get(F.filter(F.array(F.to_json(others)), lambda text: text != "{}"), F.lit(0))
 
 
 def decode_feed(
@@ -84,19 +85,19 @@ def decode_feed(
     """
     value = F.col("value")
     record = F.coalesce(env.decode(value, envelope), value)
+    texts, more = with_feed_slice(log_text(log)).where(F.col("key") == feed.key), []
+    if unknown:  # made once each, whatever is selected or filtered later
+        texts = texts.select("key", *CARRIED, F.explode(F.array(record)).alias("_record"))
+        record, more = F.col("_record"), ["_unknown"]
+        texts = texts.select("*", F.explode(F.array(unknown_fields(record, feed))).alias("_unknown"))
     parsed = F.from_json(
         record,
         f"{feed.fields}, _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    more = [unknown_fields(record, feed).alias("_unknown")] if unknown else []
     # Spread by a generator, not by a projection: later filters cannot move below it, where
     # each would parse the record once more.
-    records = (
-        with_feed_slice(log_text(log))
-        .where(F.col("key") == feed.key)
-        .select("key", *CARRIED, *more, F.inline(F.array(parsed)))
-    )
+    records = texts.select("key", *CARRIED, *more, F.inline(F.array(parsed)))
     return _reread(records) if feed is TRANSACTION else records
 
 

@@ -185,7 +185,8 @@ def transaction_lines_quoted(spark: SparkSession, sf: str) -> DataFrame:
 def transaction_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Records of one line each, some with fields that no feed declares, which are kept whole."""
     raw = _raw(spark, sf, TRANSACTION, lines_per_record=1)
-    key = F.get_json_object("value", "$.transaction_id")
+    raw = raw.withColumn("_id", F.get_json_object("value", "$.transaction_id"))
+    key = F.col("_id")
     number = key.cast("bigint")
     coupon = F.when(number % 5 == 0, F.format_string('"coupon":{"code":"C%s","cents":[1,%s]},', key, key))
     note = F.when(number % 3 == 0, F.lit('"note":"thanks, \\"bye\\"",'))
