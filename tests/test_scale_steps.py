@@ -1,10 +1,15 @@
 """Steps whose cost must grow with the input alone: what they shuffle, and how often they compute."""
 
+import json
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators.records import decode_feed, routed
+from tillroll.functions import envelope as env
+from tillroll.operators.records import decode_feed, decode_transaction_lines, routed
 from tillroll.plans import catalogue
+from tillroll.plans.sample_feeds import transaction_text
 from tillroll.schemas import TRANSACTION
 from tillroll.sinks import landed
 from tillroll.sinks.landed import compact_slice, land, unlanded
@@ -113,3 +118,36 @@ def test_baskets_land_whole_after_they_are_spread(spark, tmp_path, lines):
     assert got.count() == 50 * lines
     assert {r.hour: r["count"] for r in got.groupBy("hour").count().collect()} == {"10": 17 * lines, "11": 17 * lines, "12": 16 * lines}
     assert len(got.inputFiles()) <= 12  # rebalanced: not a file per task and slice
+
+
+
+
+
+def test_records_move_as_the_columns_they_are_made_of(spark, tmp_path):
+    when = [F.lit(f"2020-01-01 10:00:00.{n}").cast("timestamp_ntz") for n in (1, 2)]
+    spark.range(1, 3).select(
+        F.lit(7).cast("bigint").alias("o_orderkey"), F.lit(5).cast("bigint").alias("o_custkey"),
+        F.when(F.col("id") == 1, when[0]).otherwise(when[1]).alias("o_orderdate"),
+        F.lit(None).cast("string").alias("o_orderpriority"), F.lit("s").alias("o_orderstatus"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(3).select(
+        F.lit(7).cast("bigint").alias("l_orderkey"), F.when(F.col("id") > 0, F.col("id")).alias("l_partkey"),
+        F.lit(2.0).alias("l_quantity"), F.lit(3.5).alias("l_extendedprice"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    text = transaction_text(spark, str(tmp_path))
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)?", plan(text))
+    assert not any("transaction_id" in m or "address" in m for m in moved)
+    [record] = [json.loads(r.value) for r in text.collect()]  # orders alike but for a part of a second are one
+    bought = [{k: v for k, v in p.items() if v is not None} for p in record["purchases"]["products"]]
+    price = {"price": "3.50", "total": "3.50"}
+    want = [price, {"sku": "1", "quantity": "2", **price}, {"sku": "2", "quanitity": "2", **price}] * 2
+    assert sorted(map(str, bought)) == sorted(map(str, want))
+    assert record["purchases"]["total_cost"] == "10.50" and "city" not in record["delivery_address"]
+
+
+def test_quotes_and_brackets_around_records(spark):
+    texts = ['"{}"', '""[x]""', "[é]", '"', "", "null", None, '[{"a":"\\u00e9\\""}]', '"x', 'x"']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", env.strip_quotes(F.col("t")).alias("bare"), env.encode(F.col("t")).alias("coded")).collect()
+    assert [r.bare for r in got] == [t if t is None else t.strip('"') for t in texts]
+    assert [r.coded and json.loads(r.coded) for r in got] == texts
