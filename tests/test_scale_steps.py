@@ -120,8 +120,30 @@ def test_baskets_land_whole_after_they_are_spread(spark, tmp_path, lines):
     assert len(got.inputFiles()) <= 12  # rebalanced: not a file per task and slice
 
 
+def parses(rows, what="from_json"):
+    return rows._jdf.queryExecution().optimizedPlan().toString().count(what)
 
 
+def test_quoted_parts_are_parsed_once(spark):
+    line = '{"sku":"s","quantity":"1","price":"2","total":"2"}'
+    purchases = json.dumps({"products": [line, line], "total_cost": "4"})
+    place = json.dumps({"address": "a", "postcode": "p", "city": "c", "country": "l"})
+    text = json.dumps({"transaction_id": "t", "delivery_address": place, "purchases": purchases})
+    raw = spark.createDataFrame([(text,)], "value string")
+    log = as_log(routed(raw, TRANSACTION, time=F.lit(0).cast("timestamp")))
+    got = decode_transaction_lines(log)
+    assert [(r.transaction_id, r.city, r.sku, str(r.total_cost)) for r in got.collect()] == [("t", "c", "s", "4.00")] * 2
+    # The envelope, the record, its text, the address, the basket, a line.
+    assert parses(got) == 6
+
+
+def test_a_line_does_not_carry_its_basket(spark):
+    raw = spark.createDataFrame([("{}",)], "value string")
+    got = decode_transaction_lines(as_log(routed(raw, TRANSACTION, time=F.lit(0).cast("timestamp"))))
+    optimized = got._jdf.queryExecution().optimizedPlan().toString()
+    above = optimized[: optimized.index("Generate explode")]
+    assert "purchases" not in above and "delivery_address" not in above
+
 
 def test_records_move_as_the_columns_they_are_made_of(spark, tmp_path):
     when = [F.lit(f"2020-01-01 10:00:00.{n}").cast("timestamp_ntz") for n in (1, 2)]
