@@ -1,6 +1,8 @@
 """De-duplication by change, late rows, and the stored log of batches."""
 
 from dataclasses import replace
+from datetime import datetime, timezone
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from test_streaming import Log, landed, landing, log, product  # noqa: F401
 
 from tillroll.schemas import CUSTOMER, ERASURE, PRODUCT
 from tillroll.sinks import commits
-from tillroll.streaming.dedup import _changes_in_batch
+from tillroll.streaming.dedup import Changes, _changes_in_batch
 from tillroll.streaming.feeds import land_customers, land_erasures, land_products
 from tillroll.streaming.late import land_in_time, split_late
 from tillroll.streaming.metrics import BatchLog, compact_day, read_batches
@@ -145,3 +147,59 @@ def test_batches_are_logged_over_restarts(spark, log, landing):  # noqa: F811
         assert len(commits.names_in(spark, f"{root}/day={day}")) == 1
     assert seen(read_batches(spark, root)) == want
     assert read_batches(spark, root, since="9999-01-01").count() == 0
+
+
+class Handle:
+    """A bucket's state as Spark keeps it, with a count of the calls that reach it."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_state_of_a_bucket_is_read_and_written_once():
+    at = lambda minute: datetime(2020, 1, 1, 10, minute, tzinfo=timezone.utc)
+    ms = lambda minute: int(at(minute).timestamp() * 1000)
+    changes, state = Changes(["sku", "n"], "sku", "string", "ts", 60_000), Handle()
+    changes.init(state)
+
+    def seen(*rows):
+        state.calls.clear()
+        rows = [dict(zip(("sku", "_digest", "ts", "n"), (*r, i), strict=True)) for i, r in enumerate(rows)]
+        return [(r.sku, r.n) for r in changes.handleInputRows((1,), iter(rows), None)]
+
+    def fire(minute):
+        timer = state.timers.pop()
+        expired = SimpleNamespace(getExpiryTimeInMs=lambda: timer)
+        assert not list(changes.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: ms(minute) + 1), expired))
+
+    many = [(f"s{i}", "x", at(10)) for i in range(200)]
+    assert len(seen(*many, (None, "x", None))) == 201
+    assert state.calls == ["get", "timer", "update"] and state.timers == {ms(11)}
+    assert seen(*many) == [] and state.calls == ["get"]
+    assert seen(("s0", "y", at(12)), ("s0", "x", at(12)), ("old", "x", at(9))) == [("s0", 0), ("s0", 1), ("old", 2)]
+    assert state.timers == {ms(10)}  # set for the oldest
+    fire(11)
+    # All but those seen later, or without a time, are forgotten.
+    assert sorted(state.value[0], key=str) == [None, "s0"] and state.timers == {ms(13)}
+    assert seen(("s0", "x", at(12)), ("s1", "x", at(12)), (None, "x", None)) == [("s1", 1)]
