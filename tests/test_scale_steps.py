@@ -173,3 +173,23 @@ def test_quotes_and_brackets_around_records(spark):
     got = rows.select("t", env.strip_quotes(F.col("t")).alias("bare"), env.encode(F.col("t")).alias("coded")).collect()
     assert [r.bare for r in got] == [t if t is None else t.strip('"') for t in texts]
     assert [r.coded and json.loads(r.coded) for r in got] == texts
+
+
+@pytest.mark.parametrize("query", ["curated_erased_late", "curated_missing_input"])
+def test_lines_of_one_slice_land_without_moving(spark, monkeypatch, query):
+    landed_as, real = {}, catalogue.land
+
+    def curated(*args, **options):
+        raise RuntimeError("landed")
+
+    def seen(rows, root, table, batch, **options):
+        landed_as[table] = options
+        real(rows, root, table, batch, **options)
+        if table == "transaction":
+            landed_as["rows"] = read_landed(spark, root, table).count() - rows.count()
+
+    monkeypatch.setattr(catalogue, "land", seen)
+    monkeypatch.setattr(catalogue, "curate_slice", curated)
+    with pytest.raises(RuntimeError, match="landed"):
+        catalogue.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert landed_as["transaction"] == {"spread": False} and landed_as["rows"] == 0

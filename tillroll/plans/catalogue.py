@@ -380,7 +380,8 @@ def curated_slice_rewrite(spark: SparkSession, sf: str) -> DataFrame:
 def _landed_day(spark: SparkSession, sf: str, root: str, lines: DataFrame, date: str) -> None:
     """One hour of one day landed: transaction lines, and all customers."""
     slice_of = {"date": F.lit(date), "hour": F.lit("10")}
-    land(lines.select(*LANDED_LINE).withColumns(slice_of), root, "transaction", "b0")
+    # Of one slice, and in parts of a sensible size already: no need to move them.
+    land(lines.select(*LANDED_LINE).withColumns(slice_of), root, "transaction", "b0", spread=False)
     people = _clean_customers(spark, sf).withColumns(slice_of | {"key": F.lit("customer")})
     land(people, root, "customer", "b0")
 
@@ -490,9 +491,8 @@ def curated_erased_late(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "late")
     _landed_products(spark, sf, root, "2020-01-01")
     slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
-    land(
-        feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(slice_of), root, "transaction", "b0"
-    )
+    lines = feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(slice_of)
+    land(lines, root, "transaction", "b0", spread=False)  # as in _landed_day
     requests = customer.erasure_requests(feeds.erasures(spark, sf))
     early = F.col("customer_id").cast("bigint") % 4 == 3  # these are masked when they land
     people = customer.erase_customers(
@@ -513,7 +513,7 @@ def erasure_backfill(spark: SparkSession, sf: str) -> DataFrame:
     _landed_products(spark, sf, root, "2020-01-01")
     slice_of = {"date": F.lit("2020-01-01"), "hour": F.lit("10")}
     lines = feeds.lines(spark, sf).select(*LANDED_LINE).withColumns(slice_of)
-    land(lines, root, "transaction", "lines-0")
+    land(lines, root, "transaction", "lines-0", spread=False)  # as in _landed_day
     people = customer.known_customers(feeds.customers(spark, sf)).withColumns(
         slice_of | {"key": F.lit("customer"), "masked": F.lit(False)}
     )
