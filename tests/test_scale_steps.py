@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions import envelope as env
+from tillroll.operators.basket import running_totals
 from tillroll.operators.records import decode_feed, decode_transaction_lines, routed
 from tillroll.plans import catalogue
+from tillroll.plans.curate import curate
 from tillroll.plans.sample_feeds import transaction_text
 from tillroll.schemas import TRANSACTION
 from tillroll.sinks import landed
@@ -193,3 +195,75 @@ def test_lines_of_one_slice_land_without_moving(spark, monkeypatch, query):
     with pytest.raises(RuntimeError, match="landed"):
         catalogue.QUERIES[query](spark, "/root/testdata/sf0.001")
     assert landed_as["transaction"] == {"spread": False} and landed_as["rows"] == 0
+
+
+def unbroadcast(conf):
+    """Plans as over large tables, and whole before they run."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+
+
+@pytest.mark.parametrize(("slices", "moves"), [(["day"], 2), ([], 2)])
+def test_lines_move_once_for_their_basket_and_once_for_their_product(spark, conf, slices, moves):
+    unbroadcast(conf)
+    text = "day string, customer_id string, transaction_id string, transaction_time string, sku string, quanitity string"
+    lines = spark.createDataFrame([], f"{text}, total decimal(30,2), total_cost decimal(30,2)")
+    products = spark.createDataFrame([], "sku string, name string, category string, popularity float")
+    customers = spark.createDataFrame([], ", ".join(f"{c} string" for c in catalogue.CUSTOMER_COLUMNS))
+    tree = curate(lines.repartition(2), products, customers, slices=slices)._jdf.queryExecution().executedPlan()
+    exchanges, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString():
+            exchanges.append(node.output().toString())
+    assert sum("transaction_time" in e for e in exchanges) == moves
+
+
+def test_baskets_of_both_ways_to_a_line_are_shuffled_once(spark, conf):
+    unbroadcast(conf)
+    got = plan(catalogue.curated_running_by_day(spark, "/root/testdata/sf0.001"))
+    assert re.search(r"ReusedExchange \[_lk_0#\d+L, o_custkey#\d+L", got)
+    # Days and times are written per order, before its columns meet its lines.
+    above = got[: got.index("FileScan")]
+    assert "date_format" not in above[: above.rindex("SortMergeJoin")]
+
+
+def test_only_blocks_with_something_before_them_are_carried(spark):
+    lines = spark.createDataFrame([], "customer_id string, total_cost decimal(30,2), total decimal(30,2)")
+    optimized = running_totals(lines)._jdf.queryExecution().optimizedPlan().toString()
+    carry = optimized[optimized.index("Union") :]
+    assert re.search(r"Filter isnotnull\(_we\d+#", carry)
+
+
+@pytest.mark.parametrize("slices", [["day"], []])
+@pytest.mark.parametrize("mode", ["running", "per_transaction"])
+def test_curated_lines_are_those_that_plain_steps_give(spark, slices, mode):
+    """With unknown and null customers, skus, days and costs, and rows that come twice."""
+    text = "day string, customer_id string, transaction_id string, transaction_time string, sku string, quanitity string"
+    rows = []
+    for n in range(400):
+        customer, day = [None, "a", "b", "c", "nobody"][n % 5], [None, "d1", "d2"][n % 3]
+        sku, paid = [None, "s1", "s2", "unknown"][n // 5 % 4], n % 7
+        cost = [None, paid, paid, 7][n // 20 % 4]
+        rows.append((day, customer, f"t{n % 90}", "T", sku, "1", paid, cost))
+    rows += rows[:60:7]
+    rows += [(f"e{n}", c, f"u{n}", "T", "s1", "1", 2, 2) for n, c in enumerate("ccd")]  # these add up
+    lines = spark.createDataFrame(rows, f"{text}, total int, total_cost int")
+    lines = lines.withColumns({c: F.col(c).cast("decimal(30,2)") for c in ("total", "total_cost")})
+    products = spark.createDataFrame([("s1", "n", "c", 1.0), ("s2", "m", None, None), (None, "x", "x", 1.0)], "sku string, name string, category string, popularity float")
+    fields = ", ".join(f"{c} string" for c in catalogue.CUSTOMER_COLUMNS)
+    people = [tuple(i if c == "id" else f"{c}{i}" for c in catalogue.CUSTOMER_COLUMNS) for i in ("a", "b", "c", "d", None)]
+    customers = spark.createDataFrame(people + people[:1], fields)
+    totals = "sum(total) over (partition by {} order by total_cost)" if mode == "running" else "sum(total) over (partition by {})"
+    key = "customer_id" if mode == "running" else "transaction_id"
+    lines.withColumn("total_price", F.expr(totals.format(", ".join([*slices, key])))).createOrReplaceTempView("plain_lines")
+    products.createOrReplaceTempView("plain_products")
+    customers.distinct().createOrReplaceTempView("plain_customers")
+    got = curate(lines, products, customers, mode=mode, slices=slices)
+    want = spark.sql(
+        f"""select {", ".join([*slices, *got.columns[len(slices):]])} from (select l.*, p.name, p.category, p.popularity, c.*
+from plain_lines l join plain_products p on l.sku = p.sku join plain_customers c on l.customer_id = c.id
+where total_price = total_cost)"""
+    )
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
