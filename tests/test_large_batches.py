@@ -108,3 +108,11 @@ def test_rows_of_more_slices_than_are_written_at_once(spark, tmp_path):
     land(rows, str(tmp_path), "transaction", "q-0")
     counts = read_landed(spark, str(tmp_path), "transaction").groupBy("hour").count().collect()
     assert len(counts) == 24 and {r["count"] for r in counts} == {25}
+
+
+def test_curated_rows_are_kept_only_while_they_are_stored(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(catalogue, "scratch_dir", lambda _, purpose: f"{tmp_path}/{purpose}")
+    with catalogue._kept(spark, spark.range(10).repartition(2)) as kept:
+        assert kept.count() == 10
+        assert any("kept" in name for name in os.listdir(tmp_path))
+    assert not any("kept" in name for name in os.listdir(tmp_path))
