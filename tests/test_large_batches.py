@@ -3,10 +3,13 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.records import routed
 from tillroll.plans import catalogue
+from tillroll.plans.curate import curate
+from tillroll.plans.sample_feeds import lines as sample_lines
 from tillroll.schemas import TRANSACTION
 from tillroll.sinks.curated import write_curated
 from tillroll.sinks.landed import land
@@ -16,6 +19,9 @@ from tillroll.sources.tables import read_curated, read_landed
 from tillroll.streaming import feeds
 from tillroll.streaming.feeds import Landing, land_transactions
 
+SF = "/root/testdata/sf0.001"
+
+
 def published(spark, path, hours, n=30):
     """A log of transactions of two lines each, one of them without sku, in so many hours."""
     products = [F.struct(s.alias("sku"), F.lit("1.00").alias("total")) for s in (F.lit("s"), F.lit(None).cast("string"))]
@@ -110,6 +116,41 @@ def test_rows_of_more_slices_than_are_written_at_once(spark, tmp_path):
     assert len(counts) == 24 and {r["count"] for r in counts} == {25}
 
 
+def exchanges(rows: DataFrame) -> list[str]:
+    """What each shuffle of a plan moves."""
+    found, todo = [], [rows._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString():
+            found.append(node.output().toString())
+    return found
+
+
+@pytest.mark.parametrize("mode", ["running", "per_transaction"])
+def test_lines_do_not_carry_the_sum_that_is_their_total(spark, conf, mode):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    text = "customer_id string, transaction_id string, transaction_time string, sku string, quanitity string"
+    lines = spark.createDataFrame([], f"{text}, total decimal(30,2), total_cost decimal(30,2)")
+    products = spark.createDataFrame([], "sku string, name string, category string, popularity float")
+    customers = spark.createDataFrame([], ", ".join(f"{c} string" for c in catalogue.CUSTOMER_COLUMNS))
+    got = curate(lines.repartition(2), products, customers, mode=mode)
+    moved = [e for e in exchanges(got) if "transaction_time" in e]
+    assert moved and not any("total_price" in e for e in moved)
+    assert got.schema["total_price"].dataType.simpleString() == "decimal(38,2)"
+
+
+def test_amounts_move_as_the_numbers_they_are(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    moved = [e for e in exchanges(sample_lines(spark, SF)) if "l_partkey" in e]
+    assert moved and all("l_extendedprice" in e and "total#" not in e for e in moved)
+
+
+def test_lines_are_made_once_for_both_uses(spark):
+    got = catalogue.curated_per_transaction(spark, SF)
+    assert not any("lineitem" in f for f in got.inputFiles())
+
+
 def test_curated_rows_are_kept_only_while_they_are_stored(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(catalogue, "scratch_dir", lambda _, purpose: f"{tmp_path}/{purpose}")
     with catalogue._kept(spark, spark.range(10).repartition(2)) as kept:
